@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.functions import text as tx
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -68,29 +70,32 @@ def _number(text: Column) -> Column:
 def parse_count(text: Column, dialect: str) -> Column:
     """struct<value bigint, status string>; status is empty, unit, digits, none or failed."""
     rules = DIALECTS[dialect]
-    raw = text.cast("string")
-    body = _without(raw, rules.drop)
+
+    def read(body: Column) -> Column:
+        run = F.regexp_extract(body, rules.digits, 0)
+        value = F.when(run != "", _number(run).try_cast("bigint"))  # null where not readable
+        kind = F.when(run != "", "digits").otherwise("none")
+        for markers, factor in reversed(rules.units):
+            found = reduce(lambda a, b: a | b, [F.contains(body, F.lit(m)) for m in markers])
+            scaled = (_number(_without(body, markers)) * F.lit(float(factor))).try_cast("bigint")
+            value = F.when(found, scaled).otherwise(value)
+            kind = F.when(found, "unit").otherwise(kind)
+        return F.struct(value.alias("value"), kind.alias("kind"))
+
+    def settle(read_value: Column) -> Column:
+        value, kind = read_value["value"], read_value["kind"]
+        status = (
+            F.when(F.coalesce(text.cast("string"), F.lit("")) == "", "empty")
+            .when(value.isNull() & (kind != "none"), "failed")
+            .otherwise(kind)
+        )
+        known = F.coalesce(value, F.lit(0).cast("bigint"))
+        return F.struct(known.alias("value"), status.alias("status"))
+
+    body = _without(F.coalesce(text.cast("string"), F.lit("")), rules.drop)
     if rules.strip:
         body = F.regexp_replace(body, _EDGE_SPACE, "")
-
-    # ``value`` stays null where the number cannot be read.
-    run = F.regexp_extract(body, rules.digits, 0)
-    value = F.when(run != "", _number(run).try_cast("bigint"))
-    has_unit = F.lit(False)
-    for markers, factor in reversed(rules.units):
-        found = reduce(lambda a, b: a | b, [F.contains(body, F.lit(m)) for m in markers])
-        scaled = (_number(_without(body, markers)) * F.lit(float(factor))).try_cast("bigint")
-        value = F.when(found, scaled).otherwise(value)
-        has_unit = has_unit | found
-
-    status = (
-        F.when(raw.isNull() | (raw == ""), "empty")
-        .when(value.isNull() & ~has_unit & (run == ""), "none")
-        .when(value.isNull(), "failed")
-        .when(has_unit, "unit")
-        .otherwise("digits")
-    )
-    return F.struct(F.coalesce(value, F.lit(0).cast("bigint")).alias("value"), status.alias("status"))
+    return tx.let(body, lambda b: tx.let(read(b), settle))
 
 
 def count_value(text: Column, dialect: str) -> Column:
@@ -101,13 +106,13 @@ def normalise_counts(
     df: DataFrame, columns: list[str], dialect: str, status_suffix: str | None = "_status"
 ) -> DataFrame:
     """Replace each raw text column by its number, next to a status column per value."""
-    added = {}
+    parsed = df
     for name in columns:
-        parsed = parse_count(F.col(name), dialect)
-        added[name] = parsed["value"]
-        if status_suffix:
-            added[f"{name}{status_suffix}"] = parsed["status"]
-    return df.withColumns(added)
+        parsed = tx.with_once(parsed, f"_{name}", parse_count(F.col(name), dialect))
+    added = {name: F.col(f"_{name}.value") for name in columns}
+    if status_suffix:
+        added |= {f"{name}{status_suffix}": F.col(f"_{name}.status") for name in columns}
+    return parsed.withColumns(added).drop(*[f"_{name}" for name in columns])
 
 
 def parse_report(df: DataFrame, column: str, dialect: str) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: what counts as a token without a tagger.
@@ -84,18 +84,38 @@ def keep_tags(tagged: Column, tags: Iterable[str] = (), prefixes: Iterable[str]
 
 def ngrams(tokens_col: Column, low: int = 1, high: int = 2) -> Column:
     """All runs of low..high neighbouring tokens, joined by one space."""
-    parts = []
-    for n in range(low, high + 1):
-        if n == 1:
-            parts.append(tokens_col)
-            continue
-        starts = F.when(
-            F.size(tokens_col) >= n, F.sequence(F.lit(1), F.size(tokens_col) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        parts.append(
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens_col, i, n), " "))
-        )
-    return F.concat(*parts)
+
+    def runs(n: int) -> Column:
+        # Shifted copies are zipped: a lambda that looked into the whole array by position
+        # would have the array computed again for every position.
+        count = F.greatest(F.size(tokens_col) - (n - 1), F.lit(0))
+        joined = F.slice(tokens_col, F.lit(1), count)
+        for shift in range(1, n):
+            shifted = F.slice(tokens_col, F.lit(shift + 1), count)
+            joined = F.zip_with(joined, shifted, lambda a, b: F.concat_ws(" ", a, b))
+        return joined
+
+    return F.concat(*[runs(n) for n in range(low, high + 1)])
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def with_once(
+    df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Add a column that is computed once per row, and drop rows where ``keep`` of it is false.
+
+    A plain column is pasted into every filter and projection that uses it; an expensive one
+    would then run once for each of them.
+    """
+    box = F.array(value)
+    if keep is not None:
+        box = F.filter(box, keep)
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*others, F.explode(box).alias(name))
 
 
 def literal_pattern(strings: Sequence[str]) -> str:

@@ -57,11 +57,11 @@ def tokenise(
     else:
         raw = tx.keep_tags(with_tagger(text), tags, prefixes)
     kept = tx.drop_stopwords(raw, stop) if stop or with_tagger else raw
-    return df.withColumn(out, kept).filter(F.size(out) > 0)
+    return tx.with_once(df, out, kept, lambda tokens: F.size(tokens) > 0)
 
 
 def term_counts(
-    docs: DataFrame, by: Sequence[str] = ("doc_id",), tokens: str = "tokens"
+    docs: DataFrame, by: Sequence[str] = ("doc_id",), tokens: str | Column = "tokens"
 ) -> DataFrame:
     """(by..., term, tf). Counted inside each task first, so words of one text never travel twice."""
     exploded = docs.select(*by, F.explode(tokens).alias("term"))
@@ -106,8 +106,7 @@ def class_tfidf(
     f is the count of the term over all classes, A the whole part of the mean word count of
     a class. Noise documents take part as a class of their own.
     """
-    grams = docs.select(label, tx.ngrams(F.col(tokens), low, high).alias("_grams"))
-    counts = term_counts(grams, [label], "_grams")
+    counts = term_counts(docs, [label], tx.ngrams(F.col(tokens), low, high))
     totals = counts.groupBy(label).agg(F.sum("tf").alias("words"))
     average = totals.agg(F.floor(F.avg("words"))).scalar()
     everywhere = F.sum("tf").over(Window.partitionBy("term"))  # one row per class and term
