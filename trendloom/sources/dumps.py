@@ -64,10 +64,16 @@ def read_dump(
         F.col("_metadata.file_name").alias(FILE),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias(ROW),
-        CORRUPT,
+        _marked(header).alias(CORRUPT),
     )
 
 
+def _marked(header: Sequence[str]):
+    """The corrupt text, tied to a column of the file: Spark cannot read it on its own."""
+    first = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
+    return F.when(F.length(first) >= 0, F.col(CORRUPT))
+
+
 def _typed(value, data_type: T.DataType):
     if isinstance(data_type, T.IntegralType):  # writers turn whole numbers into '12.0'
         return F.coalesce(value.try_cast(data_type), value.try_cast("double").try_cast(data_type))

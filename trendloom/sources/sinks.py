@@ -35,20 +35,20 @@ def save_version(df: DataFrame, path: str) -> int:
     A run that dies leaves the last complete version in place, and a table may be read
     while its successor is written.
     """
-    version = (latest_version(df.sparkSession, path) or 0) + 1
+    spark = df.sparkSession
+    version = (latest_version(spark, path) or 0) + 1
     df.drop("author_id_clean").write.mode("overwrite").parquet(f"{path}/version={version}")
+    done = spark.range(1).select(F.lit(version).alias("done"))
+    done.write.mode("append").parquet(f"{path}/finished")
     return version
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """The highest version whose write was finished."""
     try:
-        marks = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS")
-        names = marks.option("recursiveFileLookup", True).load(path).select("path")
+        return spark.read.parquet(f"{path}/finished").agg(F.max("done")).first()[0]
     except AnalysisException:
         return None
-    number = F.regexp_extract("path", r"version=([0-9]+)", 1).try_cast("int")
-    return names.agg(F.max(number)).first()[0]
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
