@@ -1,8 +1,7 @@
-from conftest import rows
-from hypothesis import given, settings
-from hypothesis import strategies as st
-import re
+import random
 
+import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from trendloom.functions import text as tx
@@ -59,12 +58,20 @@ def test_ngrams(spark):
     assert grams([], 1, 2) == []
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.text(min_size=1, max_size=4), min_size=1, max_size=5), st.text(max_size=12))
-def test_literal_pattern_finds_what_python_finds(words, text):
-    # Python's engine checks the shape of the pattern; Java reads the same syntax.
-    pattern = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), tx.literal_pattern(words))
-    assert bool(re.search(pattern, text)) == any(w in text for w in words)
+@pytest.mark.parametrize("way", ["compiled", "automaton", "listed"])
+def test_contains_any_finds_what_python_finds(spark, monkeypatch, way):
+    rng = random.Random(7)
+    alphabet = "ab.가ㅋ[ "
+    text = lambda n: "".join(rng.choice(alphabet) for _ in range(rng.randint(1, n)))
+    words, texts = [text(4) + "x" for _ in range(30)], [text(60).replace(" ", "x") for _ in range(300)]
+    if way != "compiled":
+        monkeypatch.setattr(tx, "_COMPILED", 3)
+    if way == "listed":
+        monkeypatch.setattr(tx, "ahocorasick", None)
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = df.select("t", tx.contains_any(F.col("t"), words).alias("hit")).collect()
+    assert [r["hit"] for r in got] == [any(w in t for w in words) for t in texts] + [None]
+    assert 0 < sum(bool(r["hit"]) for r in got) < 300
 
 
 def test_contains_any_with_signs(spark):

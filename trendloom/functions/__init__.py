@@ -1 +1 @@
-"""Column functions: everything here maps columns to columns and stays inside the JVM."""
+"""Column functions: columns in, columns out, inside the JVM but for very long word lists."""

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+try:
+    import ahocorasick
+except ImportError:  # long word lists are then tested one by one
+    ahocorasick = None
 
 # Fixed value: what counts as a token without a tagger.
 TOKEN_PATTERN = "[가-힣a-zA-Z0-9]{2,}"
@@ -118,29 +124,45 @@ def with_once(
     return df.select(*others, F.explode(box).alias(name))
 
 
-def literal_pattern(strings: Sequence[str]) -> str:
-    """One regular expression that finds any of the strings.
+def contains_any(text: Column, strings: Sequence[str]) -> Column:
+    """True where the text holds at least one of the strings; null text stays null.
 
-    The look-ahead on first characters lets the matcher skip most positions without
-    trying the strings one by one.
+    A short list becomes one test per string, compiled into the scan. The cost of that grows
+    with the list, so a long one is looked for all at once by an automaton in Python.
     """
     usable = sorted({s for s in strings if s})
-    heads = "".join(sorted({_quote(s[0]) for s in usable}))
-    return f"(?=[{heads}])(?:{'|'.join(_quote(s) for s in usable)})"
+    if not usable:
+        return F.when(text.isNotNull(), F.lit(False))
+    if len(usable) <= _COMPILED:
+        return _any([F.contains(text, F.lit(s)) for s in usable])
+    if ahocorasick is not None:
+        return _automaton(usable)(text)
+    listed = F.array(*[F.lit(s) for s in usable])
+    return let(text, lambda t: F.exists(listed, lambda s: F.contains(t, s)))
 
 
-def _quote(text: str) -> str:
-    return re.sub(r"([^\w가-힣]|_)", r"\\\1", text, flags=re.ASCII) if text.isascii() else "".join(
-        c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text
-    )
+_COMPILED = 64
 
 
-def contains_any(text: Column, strings: Sequence[str]) -> Column:
-    """True where the text holds at least one of the strings; null text stays null."""
-    usable = [s for s in strings if s]
-    if not usable:
-        return F.when(text.isNotNull(), F.lit(False))
-    return text.rlike(literal_pattern(usable))
+def _any(tests: list[Column]) -> Column:
+    """The tests joined by OR, halved and halved again so that the expression stays flat."""
+    if len(tests) == 1:
+        return tests[0]
+    middle = len(tests) // 2
+    return _any(tests[:middle]) | _any(tests[middle:])
+
+
+def _automaton(strings: Sequence[str]) -> Callable[[Column], Column]:
+    @F.pandas_udf(T.BooleanType())
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = ahocorasick.Automaton()
+        for s in strings:
+            finder.add_word(s, True)
+        finder.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else next(finder.iter(t), None) is not None)
+
+    return holds
 
 
 def percent(part: Column, whole: Column) -> Column:

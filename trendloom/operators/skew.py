@@ -51,13 +51,17 @@ def lookup(
     salt_by: Sequence[str | Column],
     how: str = "left",
     salts: int = SALTS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join facts to a table with one row per key, however unevenly facts use the keys.
 
     Each dim row is repeated once per salt and each fact asks for one salt, so a hot key is
     read by ``salts`` tasks. Spark still turns this into a broadcast by itself where it has
-    measured the dim side to be small.
+    measured the dim side to be small. With ``max_rows`` the dim side, which should be a
+    written table then, is counted first and broadcast up to that many rows.
     """
+    if max_rows is not None and dim.limit(max_rows + 1).count() <= max_rows:
+        return facts.join(F.broadcast(dim), list(on), how)
     dealt = facts.withColumn("_salt", salt_of(list(salt_by), salts))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")

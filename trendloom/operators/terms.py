@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom import session
 from trendloom.functions import text as tx
 from trendloom.operators import skew
 
@@ -61,35 +62,59 @@ def tokenise(
 
 
 def term_counts(
-    docs: DataFrame, by: Sequence[str] = ("doc_id",), tokens: str | Column = "tokens"
+    docs: DataFrame, by: Sequence[str], tokens: str | Column = "tokens"
 ) -> DataFrame:
-    """(by..., term, tf). Counted inside each task first, so words of one text never travel twice."""
+    """(by..., term, tf). Words are counted inside each task before anything is shuffled."""
     exploded = docs.select(*by, F.explode(tokens).alias("term"))
     return exploded.groupBy(*by, "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(
-    docs: DataFrame, min_df: int = 2, max_df: float = 0.8, counts: DataFrame | None = None
-) -> DataFrame:
+def doc_term_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, term, tf) where a document is one row: counted in the row, without a shuffle.
+
+    In sorted tokens a word's repeats are neighbours, so its count is the distance from its
+    first place to the next word's.
+    """
+    ordered = tx.with_once(docs.select("doc_id", "tokens"), "_s", F.array_sort("tokens")).drop("tokens")
+    shifted = F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", F.lit(1), F.size("_s") - 1))
+    new = F.zip_with("_s", shifted, lambda here, before: ~here.eqNullSafe(before))
+    places = F.filter(F.transform(new, lambda is_new, i: F.when(is_new, i)), lambda i: i.isNotNull())
+    placed = tx.with_once(ordered, "_at", places)
+    ends = F.concat(F.slice("_at", F.lit(2), F.size("_at") - 1), F.array(F.size("_s")))
+    counted = F.zip_with(
+        "_at",
+        ends,
+        lambda at, end: F.struct(F.get("_s", at).alias("term"), (end - at).cast("bigint").alias("tf")),
+    )
+    return placed.select("doc_id", F.inline(counted))
+
+
+def vocabulary(docs: DataFrame, min_df: int = 2, max_df: float = 0.8) -> DataFrame:
     """(term, df) of the terms found in at least min_df documents and at most a share max_df."""
-    counts = term_counts(docs) if counts is None else counts
     n = docs.agg(F.count("*")).scalar()
     return (
-        counts.groupBy("term")
+        docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
+        .groupBy("term")
         .agg(F.count("*").alias("df"))
         .filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
     )
 
 
-def tfidf(docs: DataFrame, min_df: int = 2, max_df: float = 0.8) -> DataFrame:
-    """(doc_id, term, weight): tf * (ln((1+n)/(1+df)) + 1), each document of length 1."""
-    counts = term_counts(docs)
-    terms = vocabulary(docs, min_df, max_df, counts)
+def tfidf(
+    docs: DataFrame, min_df: int = 2, max_df: float = 0.8, broadcast_rows: int = 2_000_000
+) -> DataFrame:
+    """(doc_id, term, weight): tf * (ln((1+n)/(1+df)) + 1), each document of length 1.
+
+    The vocabulary is written first. Up to ``broadcast_rows`` terms it is broadcast, and the
+    counts are then shuffled once, by document, for their length; a larger one is joined
+    with salted keys, as the most common terms appear in most documents.
+    """
     n = docs.agg(F.count("*")).scalar()
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1.0
-    weighted = skew.lookup(counts, terms, ["term"], ["doc_id"], "inner").select(
-        "doc_id", "term", (F.col("tf") * idf).alias("w")
-    )
+    terms = session.cut_lineage(vocabulary(docs, min_df, max_df).withColumn("idf", idf).drop("df"))
+    weighted = skew.lookup(
+        doc_term_counts(docs), terms, ["term"], ["doc_id"], "inner", max_rows=broadcast_rows
+    ).select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return weighted.select("doc_id", "term", (F.col("w") / length).alias("weight"))
 

@@ -33,8 +33,17 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table. ``spread`` asks for a task per core where the work on a row is heavy.
+
+    That deals out the rows of a table with fewer splits than cores. A large table has more
+    splits than the cluster has cores and is read as it lies, without a shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 # A word list as a user would give it; one word has capitals, one a blank.
@@ -48,7 +57,7 @@ EXCLUDED_SQL = " OR ".join(f"contains(lower(text), '{w.lower()}')" for w in EXCL
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         F.col("doc_id").alias("seq"), F.col("source").alias("search_query"), "text"
     )
 

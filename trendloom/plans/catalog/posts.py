@@ -172,7 +172,7 @@ def distinct_titles(spark, sf_dir):
     SELECT DISTINCT term AS keyword FROM r WHERE rn <= 10"""
 )
 def keyword_union(spark, sf_dir):
-    docs = terms.tokenise(table(spark, sf_dir, "documents"))
+    docs = terms.tokenise(table(spark, sf_dir, "documents", spread=True))
     counts = terms.term_counts(docs, ["source"])
     return dedup.keyword_union(terms.top_terms(counts, 10, "source", "tf"), "term")
 

@@ -21,7 +21,7 @@ _COUNTS_SQL = f"""{_TOKENS_SQL}, tf AS (SELECT doc_id, term, count(*) AS tf FROM
 
 
 def _docs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "source", "lang", "text")
     return terms.tokenise(docs, stop=_STOP, lower=True).drop("text")
 
 

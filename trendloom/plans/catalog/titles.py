@@ -48,7 +48,7 @@ def feed_titles(spark, sf_dir):
 
 
 def _unescape(html: str) -> str:
-    for entity, sign in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+    for entity, sign in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"), ("&amp", "&")):
         html = f"replace({html}, '{entity}', '{sign}')"
     return f"trim({html})"
 
@@ -58,7 +58,7 @@ def _unescape(html: str) -> str:
       {_unescape("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS title FROM pages"""
 )
 def page_titles(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = table(spark, sf_dir, "pages", spread=True).select("page_id", "html")
     return texts.page_titles(pages, ["article.post h2", "article h1"])
 
 
@@ -69,7 +69,7 @@ def page_titles(spark, sf_dir):
     SELECT page_id, CAST(pos AS INTEGER) AS pos, {_unescape("links[pos + 1]")} AS title FROM e"""
 )
 def page_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = table(spark, sf_dir, "pages", spread=True).select("page_id", "html")
     return texts.page_titles(pages, ["nav li a"], per_page=3)
 
 
@@ -88,7 +88,7 @@ _REPLY = "concat('```csv', chr(10), 'keyword', chr(10), text, ',', chr(10), '}}}
     FROM k WHERE keyword <> ''"""
 )
 def keyword_replies(spark, sf_dir):
-    replies = table(spark, sf_dir, "documents").select(
+    replies = table(spark, sf_dir, "documents", spread=True).select(
         F.col("doc_id").alias("reply_id"), F.expr(_REPLY).alias("text")
     )
     return texts.keyword_replies(replies).select("reply_id", "pos", F.md5("keyword").alias("keyword_md5"))
