@@ -59,20 +59,45 @@ def test_dedup_prefix_counts_characters(spark):
 @pytest.mark.parametrize("n", [1, 5, 2000])
 def test_first_n_of_a_hot_key(spark, n):
     df = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    got = skew.first_n(df.repartition(9), ["k"], [F.col("id").desc()], n, ["id"], rank="rank")
+    got = skew.first_n(df.repartition(9), ["k"], [F.col("id").desc()], n, rank="rank")
     hot = got.filter("k = 'hot'")
     expected = [i for i in range(4999, -1, -1) if i % 3][:n]
     assert [r["id"] for r in hot.orderBy("rank").collect()] == expected
     assert got.filter("k <> 'hot'").count() == 1667
 
 
-def test_lookup_keeps_every_row_once(spark):
+@pytest.mark.parametrize("hot_rows", [10, 100_000])
+def test_lookup_keeps_every_row_once(spark, hot_rows):
+    def lookup(facts, how="left"):
+        return skew.lookup(facts, dim, ["k"], ["id"], how, hot_rows=hot_rows)
+
     facts = spark.range(1000).select("id", F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("k"))
     dim = spark.createDataFrame([(1, "a"), (950, "b")], "k long, v string")
-    left = skew.lookup(facts, dim, ["k"], ["id"])
-    assert left.count() == 1000
-    assert rows(left.groupBy("v").count()) == [(None, 99), ("a", 900), ("b", 1)]
-    assert skew.lookup(facts, dim, ["k"], ["id"], "inner").count() == 901
+    assert lookup(facts).count() == 1000
+    assert lookup(facts).columns == ["id", "k", "v"]
+    assert rows(lookup(facts).groupBy("v").count()) == [(None, 99), ("a", 900), ("b", 1)]
+    assert lookup(facts, "inner").count() == 901
+    assert lookup(facts, "left_semi").count() == 901
+    assert lookup(facts, "left_semi").columns == ["id", "k"]
+    nulls = facts.withColumn("k", F.when(F.col("id") % 2 == 0, F.col("k")))
+    assert lookup(nulls).filter("v IS NULL").count() == 549
+    assert lookup(facts.limit(0)).count() == 0
+
+
+def test_hot_facts_are_dealt_over_salts(spark):
+    facts = spark.range(4000).select("id", F.lit(1).alias("k"))
+    dim = spark.createDataFrame([(1, "a")], "k int, v string")
+    plan = skew.lookup(facts, dim, ["k"], ["id"], hot_rows=10)
+    assert "_salt" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count() == 4000
+
+
+def test_hot_keys(spark):
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert rows(skew.hot_keys(df, "k", min_rows=5000)) == [(-1,)]
+    assert skew.hot_keys(df, "k").count() == 0
+    assert 1 <= skew.hot_keys(df, "k", limit=5, min_rows=1).count() <= 5
+    assert skew.hot_keys(df.limit(0), "k").count() == 0
 
 
 def test_dense_index_is_a_permutation(spark):

@@ -25,14 +25,15 @@ def dedup_first(
     """
     if not subset:
         return dedup_rows(df)
-    keys = [F.col(c) if isinstance(c, str) else c for c in subset]
-    named = [f"_key{i}" for i in range(len(keys))]
-    keyed = df.withColumns(dict(zip(named, keys)) | {"_hash": F.xxhash64(*keys)})
-    window = Window.partitionBy("_hash", *named).orderBy(*order)
+    # A named column is used as it is; only computed keys become columns of their own.
+    made = {f"_key{i}": c for i, c in enumerate(subset) if not isinstance(c, str)}
+    keys = [c if isinstance(c, str) else f"_key{i}" for i, c in enumerate(subset)]
+    keyed = df.withColumns(made).withColumn("_hash", F.xxhash64(*keys))
+    window = Window.partitionBy("_hash", *keys).orderBy(*order)
     return (
         keyed.withColumn("_rank", F.row_number().over(window))
         .filter(F.col("_rank") == 1)
-        .drop("_rank", "_hash", *named)
+        .drop("_rank", "_hash", *made)
     )
 
 

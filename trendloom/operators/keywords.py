@@ -155,7 +155,7 @@ def limit_per_query(
     """Noise filter, prefix dedup, then the first n posts per query in arrival order."""
     clean = filters.is_clean(posts, column, noise_words)
     unique = dedup.dedup_prefix(clean, column, query, [order], prefix)
-    return skew.first_n(unique, [query], [F.col(order)], n, [order], rank="rank")
+    return skew.first_n(unique, [query], [F.col(order)], n, rank="rank")
 
 
 def scan_report(
@@ -191,15 +191,11 @@ def comments_limit(rows: DataFrame, n: int = 100, min_length: int = 15) -> DataF
     )
     is_comment = F.when(F.col("type") == "description", 0).otherwise(1)
     unique = dedup.dedup_first(long_enough, ["video_url", "type", "author", "comment"], ["seq"])
-    return skew.first_n(
-        unique, ["video_url"], [is_comment, F.col("seq")], n + 1, ["seq"], rank="rank"
-    )
+    return skew.first_n(unique, ["video_url"], [is_comment, F.col("seq")], n + 1, rank="rank")
 
 
 def videos_per_keyword(
     videos: DataFrame, n: int = 10, keyword: str = "search_keyword", order: str = "seq"
 ) -> DataFrame:
     """The first n regular videos found per keyword."""
-    return skew.first_n(
-        filters.watch_links(videos), [keyword], [F.col(order)], n, [order], rank="rank"
-    )
+    return skew.first_n(filters.watch_links(videos), [keyword], [F.col(order)], n, rank="rank")

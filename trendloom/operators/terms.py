@@ -146,7 +146,7 @@ def top_terms(
 ) -> DataFrame:
     """The k heaviest terms per class with their rank; alphabetical on a tie."""
     order = [F.col(weight).desc(), F.col("term").asc()]
-    return skew.first_n(weights, [by], order, k, ["term"], rank="rank")
+    return skew.first_n(weights, [by], order, k, rank="rank")
 
 
 def topic_keywords(
