@@ -39,14 +39,18 @@ def test_unrank_lists_all_sets_in_order(n, size):
     assert got == list(itertools.combinations(range(n), size))
 
 
-def test_detect_keyword(spark):
+@pytest.mark.parametrize("group", [256, 1])
+def test_detect_keyword(spark, group):
     posts = spark.createDataFrame(
-        [(1, "q", "about gpu and AI"), (2, "q", "none"), (3, "other", "x")],
+        [(1, "q", "about gpu and AI"), (2, "q", "none"), (3, "other", "x"), (4, "q", None), (5, "q", "an ai")],
         "seq int, search_query string, text string",
     )
-    pairs = spark.createDataFrame([("q", 2, "ai"), ("q", 1, "GPU"), ("q", 0, "tpu")], "search_query string, pos int, keyword string")
-    got = keywords.detect_keyword(posts, keywords.keyword_groups(pairs))
-    assert rows(got, "seq", "search_keyword") == [(1, "GPU"), (2, "tpu")]
+    pairs = spark.createDataFrame(
+        [("q", 2, "ai"), ("q", 1, "GPU"), ("q", 0, "tpu"), ("r", 0, "z")], "search_query string, pos int, keyword string"
+    )
+    got = keywords.detect_keyword(posts, keywords.keyword_groups(pairs, group))
+    expected = [(1, "GPU"), (2, "tpu"), (4, "tpu"), (5, "ai")]
+    assert rows(got, "seq", "search_keyword") == expected
 
 
 def test_limit_per_query_order_of_steps(spark):

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom import session
 from trendloom.functions import text as tx
 from trendloom.operators import dedup, filters, skew
 
@@ -112,35 +113,62 @@ def _unrank(number: int, n: int, size: int) -> list[int]:
     return out
 
 
-def keyword_groups(pairs: DataFrame) -> DataFrame:
-    """(search_query, keywords): keywords of a query in list order, from (search_query, pos, keyword).
+GROUP = 256
 
-    A query is at most 500 characters long and holds its keywords, which bounds the array.
+
+def keyword_groups(pairs: DataFrame, group: int = GROUP) -> DataFrame:
+    """(search_query, part, parts, keywords) from (search_query, pos, keyword).
+
+    ``keywords`` holds (pos, keyword) in list order. A query with many keywords is cut by
+    hash into parts of about ``group``, so that no array grows with the list.
     """
-    return pairs.groupBy("search_query").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("pos", "keyword"))), lambda s: s["keyword"]
-        ).alias("keywords")
+    sizes = pairs.groupBy("search_query").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
+    parted = skew.lookup(pairs, sizes, ["search_query"], ["pos", "keyword"], "inner")
+    part = F.pmod(F.xxhash64("pos", "keyword"), F.col("parts")).cast("int").alias("part")
+    return parted.groupBy("search_query", part, "parts").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "keyword"))).alias("keywords")
     )
 
 
 def detect_keyword(
-    posts: DataFrame, groups: DataFrame, column: str = "text", salt_by: Sequence[str] = ("seq",)
+    posts: DataFrame, groups: DataFrame, column: str = "text", key: str = "seq"
 ) -> DataFrame:
-    """The first keyword of the row's query found in the text, else the first of the list."""
-    joined = skew.lookup(posts, groups, ["search_query"], salt_by, how="inner")
-    # The text is lower-cased once and handed to the test of every keyword.
-    found = F.element_at(
-        F.transform(
-            F.array(F.lower(column)),
-            lambda t: F.get(
-                F.filter(F.col("keywords"), lambda k: F.contains(t, F.lower(k))), F.lit(0)
-            ),
-        ),
-        1,
+    """The first keyword of the row's query found in the text, else the first of the list.
+
+    ``key`` is unique per post. Where a query has several parts, a post meets each of them
+    and only the numbers and keywords of the parts are then put together.
+    """
+    groups = session.cut_lineage(groups)  # keyword lists: read for the count and for the join
+    parts = groups.agg(F.coalesce(F.max("parts"), F.lit(1))).first()[0]
+    if parts == 1:
+        joined = skew.lookup(posts, groups.drop("part", "parts"), ["search_query"], [key], "inner")
+        best = _first_match(F.col(column), F.col("keywords"))
+        return joined.withColumn("search_keyword", best["keyword"]).drop("keywords")
+
+    sizes = groups.select("search_query", "parts").distinct()
+    spread = skew.lookup(posts, sizes, ["search_query"], [key], "inner").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
-    first = F.get(F.col("keywords"), F.lit(0))
-    return joined.withColumn("search_keyword", F.coalesce(found, first)).drop("keywords")
+    met = skew.lookup(spread, groups.drop("parts"), ["search_query", "part"], [key], "inner")
+    best = _first_match(F.col(column), F.col("keywords"))
+    found = met.select(key, best.alias("best")).groupBy(key).agg(F.min("best")["keyword"].alias("search_keyword"))
+    return posts.join(found, key)
+
+
+def _first_match(text: Column, keywords: Column) -> Column:
+    """struct<missing, pos, keyword> of the first (pos, keyword) found, else of the first one."""
+
+    def best(lowered: Column) -> Column:
+        # The text is lower-cased once and handed to the test of every keyword.
+        hits = F.filter(keywords, lambda k: F.contains(lowered, F.lower(k["keyword"])))
+        return F.coalesce(_with_rank(F.get(hits, F.lit(0)), 0), _with_rank(F.get(keywords, F.lit(0)), 1))
+
+    return tx.let(F.lower(text), best)
+
+
+def _with_rank(item: Column, missing: int) -> Column:
+    named = F.struct(F.lit(missing).alias("missing"), item["pos"].alias("pos"), item["keyword"].alias("keyword"))
+    return F.when(item.isNotNull(), named)
 
 
 def limit_per_query(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom import session
 from trendloom.functions import text as tx
 from trendloom.operators import quantiles
 
@@ -36,7 +37,7 @@ def step_counts(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
 
 def dedup_counts(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Rows before a dedup, removed by it, and after it; nulls equal each other."""
-    per_key = df.groupBy(*subset).agg(F.count("*").alias("n"))
+    per_key = df.groupBy(*_digests(df, subset)).agg(F.count("*").alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("before"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("removed"),
@@ -44,6 +45,12 @@ def dedup_counts(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     )
 
 
+def _digests(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Columns for counting: whole texts are not shuffled only to be told apart."""
+    kinds = dict(df.dtypes)
+    return [(tx.digest(F.col(c)) if kinds[c] == "string" else F.col(c)).alias(c) for c in columns]
+
+
 def date_range(df: DataFrame, column: str = "created_at") -> DataFrame:
     """First and last time; text that is not a date is left out."""
     times = tx.parse_created_at(F.col(column))
@@ -53,7 +60,7 @@ def date_range(df: DataFrame, column: str = "created_at") -> DataFrame:
 def unique_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column."""
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(f"unique_{c}") for c in columns])
+    return df.select(_digests(df, columns)).agg(*[count(c).alias(f"unique_{c}") for c in columns])
 
 
 def non_null_count(df: DataFrame, column: str) -> DataFrame:
@@ -74,6 +81,7 @@ def similarity_stats(
         raise ValueError(f"unknown population: {population}")
     if population == "kept" and threshold is not None:
         scored = scored.filter(F.col(column) >= threshold)
+    scored = session.cut_lineage(scored.select(column))  # scored once, read for each figure
     median = quantiles.exact_median(scored, column).scalar()
     return scored.agg(
         F.count(column).alias("n"),

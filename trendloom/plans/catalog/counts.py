@@ -136,22 +136,20 @@ def count_from_source(spark, sf_dir):
     )
 
 
-# Raw video pages out of conversations: one page per conversation, its turns as comments.
+# Raw video pages out of documents: one page per document, its lines as comments.
 def _raw_videos(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations")
-    pages = rows.groupBy("conv_id").agg(  # the few turns of one conversation
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
-    )
-    number = F.col("conv_id").cast("string")
-    kind = F.col("conv_id") % 4
+    docs = table(spark, sf_dir, "documents", spread=True)
+    lines = F.split("text", "\n")
+    number = F.col("doc_id").cast("string")
+    kind = F.col("doc_id") % 4
     none = F.array().cast("array<string>")
     label = F.struct(F.lit("공유").alias("text"), F.lit("share 77").alias("label"))
-    return pages.select(
-        F.col("conv_id").alias("seq"),
+    return docs.select(
+        F.col("doc_id").alias("seq"),
         F.lit("kw").alias("search_keyword"),
         F.concat(F.lit("video "), number).alias("title"),
         F.concat(F.lit("/watch?v="), number).alias("url"),
-        F.get("turns", F.lit(0))["text"].alias("description"),
+        F.get(lines, F.lit(0)).alias("description"),
         F.concat(F.lit('x"originalViewCount":"'), number, F.lit('"')).alias("page_source"),
         F.when(
             kind == 0,
@@ -181,29 +179,31 @@ def _raw_videos(spark, sf_dir):
         F.when(kind == 3, F.array(F.lit("none"), F.lit("7 views"))).otherwise(none).alias("view_texts"),
         F.array(F.lit(""), F.concat(F.lit("구독자 "), number, F.lit("만명"))).alias("subscriber_texts"),
         F.transform(
-            "turns",
-            lambda t: F.struct(
-                t["text"].alias("text"), t["role"].alias("author"), F.lit("3주 전").alias("published")
+            lines,
+            lambda line, i: F.struct(
+                line.alias("text"),
+                F.concat(F.lit(" a"), i.cast("string")).alias("author"),
+                F.lit("3주 전").alias("published"),
             ),
         ).alias("comments"),
     )
 
 
-_FIELDS_SQL = """SELECT conv_id,
-    CASE conv_id % 4 WHEN 0 THEN CASE WHEN conv_id > 0 THEN '조회수 3주 전' END WHEN 1 THEN '2 years ago'
+_FIELDS_SQL = """SELECT doc_id,
+    CASE doc_id % 4 WHEN 0 THEN CASE WHEN doc_id > 0 THEN '조회수 3주 전' END WHEN 1 THEN '2 years ago'
       WHEN 2 THEN '최초 공개: 2024. 1. 3.' END AS video_published_date,
-    CASE conv_id % 4 WHEN 0 THEN conv_id * 1000 WHEN 1 THEN conv_id * 1000
-      WHEN 2 THEN CAST(concat('1', CAST(conv_id AS VARCHAR)) AS BIGINT) ELSE 0 END AS video_likes,
-    CASE conv_id % 4 WHEN 0 THEN CASE WHEN conv_id > 0 THEN conv_id ELSE 3 END WHEN 1 THEN 1500
-      WHEN 2 THEN conv_id ELSE CASE WHEN conv_id > 0 THEN conv_id ELSE 7 END END AS video_views,
-    conv_id * 10000 AS channel_subscribers FROM (SELECT DISTINCT conv_id FROM conversations)"""
+    CASE doc_id % 4 WHEN 0 THEN doc_id * 1000 WHEN 1 THEN doc_id * 1000
+      WHEN 2 THEN CAST(concat('1', CAST(doc_id AS VARCHAR)) AS BIGINT) ELSE 0 END AS video_likes,
+    CASE doc_id % 4 WHEN 0 THEN CASE WHEN doc_id > 0 THEN doc_id ELSE 3 END WHEN 1 THEN 1500
+      WHEN 2 THEN doc_id ELSE CASE WHEN doc_id > 0 THEN doc_id ELSE 7 END END AS video_views,
+    doc_id * 10000 AS channel_subscribers FROM documents"""
 
 
 @query(_FIELDS_SQL)
 def video_fields(spark, sf_dir):
     fields = extract.video_fields(_raw_videos(spark, sf_dir), "video_fixed")
     return fields.select(
-        F.col("seq").alias("conv_id"),
+        F.col("seq").alias("doc_id"),
         "video_published_date",
         "video_likes",
         "video_views",
@@ -212,15 +212,15 @@ def video_fields(spark, sf_dir):
 
 
 @query(
-    f"""WITH f AS ({_FIELDS_SQL}), c AS (SELECT *, row_number() OVER (
-        PARTITION BY conv_id ORDER BY turn) AS pos FROM conversations),
-    r AS (SELECT conv_id, 0 AS seq, 'Uploader(Desc)' AS author, text, 'description' AS type
+    f"""WITH f AS ({_FIELDS_SQL}), l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+    c AS (SELECT doc_id, ls[pos] AS text, pos FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS pos FROM l)),
+    r AS (SELECT doc_id, 0 AS seq, 'Uploader(Desc)' AS author, text, 'description' AS type
           FROM c WHERE pos = 1 AND length(text) > 50
-          UNION ALL SELECT conv_id, pos, role, text, 'comment' FROM c)
-    SELECT concat('/watch?v=', CAST(conv_id AS VARCHAR)) AS video_url, CAST(seq AS INTEGER) AS seq,
+          UNION ALL SELECT doc_id, pos, concat('a', CAST(pos - 1 AS VARCHAR)), text, 'comment' FROM c)
+    SELECT concat('/watch?v=', CAST(doc_id AS VARCHAR)) AS video_url, CAST(seq AS INTEGER) AS seq,
       author, md5(text) AS comment_md5, type, CASE WHEN type = 'comment' THEN '3주 전' END AS comment_date,
       '2024-02-01' AS crawled_at, video_published_date, video_likes, video_views, channel_subscribers
-    FROM r JOIN f USING (conv_id)"""
+    FROM r JOIN f USING (doc_id)"""
 )
 def video_rows(spark, sf_dir):
     rows = extract.video_rows(_raw_videos(spark, sf_dir), "2024-02-01", dialect="video_fixed")
