@@ -392,7 +392,7 @@ def date_range(spark, sf_dir):
         count(*) FILTER (WHERE NOT ({EXCLUDED_SQL}) AND length(text) >= 200 AND lang = 'en') AS c3
         FROM documents)
     SELECT 1 AS step_no, 'words' AS step, c0 AS "before", c0 - c1 AS removed, c1 AS "after",
-        round(c1 * 100.0 / c0, 4) AS pct_kept FROM c
+        round(c1 * 100.0 / c0, 4) + 0.0 AS pct_kept FROM c
     UNION ALL SELECT 2, 'length', c1, c1 - c2, c2, round(c2 * 100.0 / c0, 4) FROM c
     UNION ALL SELECT 3, 'language', c2, c2 - c3, c3, round(c3 * 100.0 / c0, 4) FROM c"""
 )
@@ -424,7 +424,7 @@ def non_null_count(spark, sf_dir):
 
 @query(
     """SELECT count(*) AS "rows", count(DISTINCT conv_id) AS videos,
-      round(count(*) / count(DISTINCT conv_id), 4) AS rows_per_video FROM conversations"""
+      round(count(*) / count(DISTINCT conv_id), 4) + 0.0 AS rows_per_video FROM conversations"""
 )
 def comments_per_video(spark, sf_dir):
     out = reports.comments_per_video(table(spark, sf_dir, "conversations"), "conv_id")

@@ -64,7 +64,7 @@ def vocabulary(spark, sf_dir):
 @query(
     f"""WITH {_COUNTS_SQL}, w AS (SELECT doc_id, term, tf * (ln((1.0 + n) / (1 + df)) + 1) AS w
       FROM tf JOIN vocab USING (term), n)
-    SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 4) AS weight FROM w"""
+    SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 4) + 0.0 AS weight FROM w"""
 )
 def tfidf(spark, sf_dir):
     weights = terms.tfidf(_docs(spark, sf_dir))
@@ -86,7 +86,7 @@ _UNI_SQL = _class_sql("source", _TOKENS_SQL, "tokens")
 _BIGRAMS = "list_concat(tokens, [tokens[i] || ' ' || tokens[i + 1] FOR i IN range(1, len(tokens))])"
 
 
-@query(f"WITH {_UNI_SQL} SELECT label AS source, term, tf, round(score, 8) AS score FROM cs")
+@query(f"WITH {_UNI_SQL} SELECT label AS source, term, tf, round(score, 8) + 0.0 AS score FROM cs")
 def class_tfidf(spark, sf_dir):
     scores = terms.class_tfidf(_docs(spark, sf_dir), "source", high=1)
     return scores.withColumn("score", F.round("score", 8))
@@ -119,7 +119,7 @@ _TOPICS_SQL = f"""{_class_sql("topic_id", _LABELLED_SQL, _BIGRAMS)},
     names AS (SELECT label, string_agg(term, ' | ' ORDER BY rank) AS topic_name FROM r
         WHERE rank <= 3 GROUP BY label),
     sizes AS (SELECT topic_id AS label, count(*) AS doc_count FROM toks GROUP BY 1),
-    words AS (SELECT label AS topic_id, topic_name, doc_count, term AS keyword, round(score, 4) AS score,
+    words AS (SELECT label AS topic_id, topic_name, doc_count, term AS keyword, round(score, 4) + 0.0 AS score,
         rank FROM r JOIN names USING (label) JOIN sizes USING (label) WHERE rank <= 10 AND label <> -1)"""
 
 
@@ -172,9 +172,9 @@ def cluster_sizes(spark, sf_dir):
     """WITH s AS (SELECT label - 1 AS t, count(*) AS n FROM embeddings GROUP BY 1)
     SELECT CAST(sum(n) AS BIGINT) AS docs, count(*) FILTER (WHERE t <> -1) AS topics,
       CAST(coalesce(sum(n) FILTER (WHERE t = -1), 0) AS BIGINT) AS noise_docs,
-      round(avg(n) FILTER (WHERE t <> -1), 4) AS mean_size, max(n) FILTER (WHERE t <> -1) AS max_size,
+      round(avg(n) FILTER (WHERE t <> -1), 4) + 0.0 AS mean_size, max(n) FILTER (WHERE t <> -1) AS max_size,
       min(n) FILTER (WHERE t <> -1) AS min_size,
-      round(coalesce(sum(n) FILTER (WHERE t = -1), 0) * 100.0 / sum(n), 4) AS noise_pct FROM s"""
+      round(coalesce(sum(n) FILTER (WHERE t = -1), 0) * 100.0 / sum(n), 4) + 0.0 AS noise_pct FROM s"""
 )
 def topic_size_stats(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select((F.col("label") - 1).alias("topic_id"))
@@ -222,7 +222,7 @@ def _top_words(docs):
 
 
 @query(
-    f"""WITH {_WINDOWS_SQL} SELECT DISTINCT a, b, n_a, n_b, n_ab, n, round(npmi, 4) AS npmi
+    f"""WITH {_WINDOWS_SQL} SELECT DISTINCT a, b, n_a, n_b, n_ab, n, round(npmi, 4) + 0.0 AS npmi
     FROM scored WHERE a <= b"""
 )
 def npmi(spark, sf_dir):
@@ -236,7 +236,7 @@ def npmi(spark, sf_dir):
     s AS (SELECT topic_id, b, sum(npmi) AS s FROM scored GROUP BY 1, 2),
     c AS (SELECT x.topic_id, a, sum(npmi * s) / (sqrt(sum(npmi * npmi)) * sqrt(sum(s * s))) AS c
         FROM scored x JOIN s ON x.topic_id = s.topic_id AND x.b = s.b GROUP BY 1, 2)
-    SELECT topic_id, round(avg(c), 4) AS coherence FROM c GROUP BY 1"""
+    SELECT topic_id, round(avg(c), 4) + 0.0 AS coherence FROM c GROUP BY 1"""
 )
 def coherence_c_v(spark, sf_dir):
     docs = _docs(spark, sf_dir)
@@ -253,7 +253,7 @@ def coherence_c_v(spark, sf_dir):
     s AS (SELECT topic_id, ln(((SELECT count(*) FROM has h JOIN has g ON h.doc_id = g.doc_id
           WHERE h.term = p.a AND g.term = p.b) / n + 1e-12)
         / ((SELECT count(*) FROM has h WHERE h.term = p.b) / n)) AS s FROM p, n)
-    SELECT topic_id, round(avg(s), 4) AS coherence FROM s GROUP BY 1"""
+    SELECT topic_id, round(avg(s), 4) + 0.0 AS coherence FROM s GROUP BY 1"""
 )
 def coherence_umass(spark, sf_dir):
     docs = _docs(spark, sf_dir)

@@ -31,20 +31,20 @@ def _scored(spark, sf_dir):
     return vectors.max_similarity(rows, _references(spark, sf_dir)).drop("embedding")
 
 
-@query(f"WITH {_REFS_SQL} SELECT label, i, round(ref[i], 4) AS mean FROM (SELECT label, ref, unnest(range(1, len(ref) + 1)) AS i FROM refs)")
+@query(f"WITH {_REFS_SQL} SELECT label, i, round(ref[i], 4) + 0.0 AS mean FROM (SELECT label, ref, unnest(range(1, len(ref) + 1)) AS i FROM refs)")
 def centroid(spark, sf_dir):
     means = _references(spark, sf_dir).select("label", F.posexplode("embedding").alias("i", "mean"))
     return means.select("label", (F.col("i") + 1).cast("bigint").alias("i"), F.round("mean", 4).alias("mean"))
 
 
-@query(f"WITH {_MAX_SQL} SELECT vec_id, round(s, 4) AS tech_similarity FROM scored")
+@query(f"WITH {_MAX_SQL} SELECT vec_id, round(s, 4) + 0.0 AS tech_similarity FROM scored")
 def max_similarity(spark, sf_dir):
     scored = _scored(spark, sf_dir)
     return scored.withColumn("tech_similarity", F.round("tech_similarity", 4))
 
 
 @query(
-    f"""WITH {_REFS_SQL} SELECT vec_id, round(list_cosine_similarity(e, ref), 4) AS tech_similarity
+    f"""WITH {_REFS_SQL} SELECT vec_id, round(list_cosine_similarity(e, ref), 4) + 0.0 AS tech_similarity
     FROM vecs, centre"""
 )
 def centroid_similarity(spark, sf_dir):
@@ -54,11 +54,11 @@ def centroid_similarity(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_REFS_SQL}, s AS (SELECT vec_id, label, round(list_cosine_similarity(e, ref), 6) AS s
+    f"""WITH {_REFS_SQL}, s AS (SELECT vec_id, label, round(list_cosine_similarity(e, ref), 6) + 0.0 AS s
       FROM (SELECT vec_id, e FROM vecs), refs),
     r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS rn,
       avg(s) OVER (PARTITION BY vec_id) AS mean FROM s)
-    SELECT vec_id, label AS ref, round(s, 4) AS score, round(mean, 4) AS mean_score FROM r WHERE rn = 1"""
+    SELECT vec_id, label AS ref, round(s, 4) + 0.0 AS score, round(mean, 4) + 0.0 AS mean_score FROM r WHERE rn = 1"""
 )
 def score_cross(spark, sf_dir):
     """All reference scores of a row in one array, reduced to the best and the mean."""
@@ -82,8 +82,8 @@ def min_similarity(spark, sf_dir):
     return filters.min_similarity(_scored(spark, sf_dir), _THRESHOLD).select("vec_id")
 
 
-_STATS_SQL = """count(*) AS n, round(avg(s), 4) AS mean, round(median(s), 4) AS median,
-    round(min(s), 4) AS lowest, round(max(s), 4) AS highest"""
+_STATS_SQL = """count(*) AS n, round(avg(s), 4) + 0.0 AS mean, round(median(s), 4) + 0.0 AS median,
+    round(min(s), 4) + 0.0 AS lowest, round(max(s), 4) + 0.0 AS highest"""
 
 
 def _rounded(stats):
@@ -111,7 +111,7 @@ def top_bottom(spark, sf_dir):
 
 
 @query(
-    """WITH s AS (SELECT label AS k, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS score
+    """WITH s AS (SELECT label AS k, round(avg(CAST(embedding[1] AS DOUBLE)), 6) + 0.0 AS score
       FROM embeddings GROUP BY 1)
     SELECT k, score FROM s ORDER BY score DESC, k LIMIT 1"""
 )
@@ -131,7 +131,7 @@ def _posts_with_vectors(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_MAX_SQL} SELECT doc_id, round(s, 4) AS tech_similarity
+    f"""WITH {_MAX_SQL} SELECT doc_id, round(s, 4) + 0.0 AS tech_similarity
     FROM documents JOIN scored ON doc_id = vec_id
     WHERE NOT ({EXCLUDED_SQL}) AND s >= {_THRESHOLD}"""
 )
@@ -165,7 +165,7 @@ def _video_scores(spark, sf_dir, titles):
 
 
 @query(
-    f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn, round(s, 4) AS tech_similarity
+    f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn, round(s, 4) + 0.0 AS tech_similarity
     FROM conversations c JOIN scored USING (conv_id) WHERE s >= 0.0"""
 )
 def domain_filter_videos(spark, sf_dir):
@@ -187,7 +187,7 @@ def keep_related(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn, round(s, 4) AS tech_similarity
+    f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn, round(s, 4) + 0.0 AS tech_similarity
     FROM conversations c LEFT JOIN scored USING (conv_id)"""
 )
 def attach_score(spark, sf_dir):
