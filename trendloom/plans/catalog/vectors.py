@@ -194,3 +194,32 @@ def attach_score(spark, sf_dir):
     rows, titles = _titled_rows(spark, sf_dir)
     scored = domain.attach_score(rows, _video_scores(spark, sf_dir, titles))
     return scored.select("conv_id", "turn", F.round("tech_similarity", 4).alias("tech_similarity"))
+
+
+@query(
+    f"""WITH {_MAX_SQL}, p AS (SELECT ({EXCLUDED_SQL}) AS bad, s FROM documents JOIN scored ON doc_id = vec_id),
+    c AS (SELECT count(*) AS c0, count(*) FILTER (WHERE NOT bad) AS c1,
+        count(*) FILTER (WHERE NOT bad AND s >= {_THRESHOLD}) AS c2 FROM p)
+    SELECT 1 AS step_no, 'words' AS step, c0 AS "before", c0 - c1 AS removed, c1 AS "after",
+      round(c1 * 100.0 / c0, 4) AS pct_kept FROM c
+    UNION ALL SELECT 2, 'similarity', c1, c1 - c2, c2, round(c2 * 100.0 / c0, 4) FROM c"""
+)
+def domain_report_posts(spark, sf_dir):
+    report = domain.post_report(
+        _posts_with_vectors(spark, sf_dir), _references(spark, sf_dir), EXCLUDED, _THRESHOLD
+    )
+    return report.withColumn("pct_kept", F.round("pct_kept", 4))
+
+
+@query(
+    f"""WITH {_CENTRE_SQL}, n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1),
+    m AS (SELECT n, s FROM n JOIN titles USING (conv_id) LEFT JOIN scored USING (conv_id))
+    SELECT count(*) AS titles, count(s) AS clean_titles, count(*) FILTER (WHERE s >= 0.0) AS videos,
+      CAST(sum(n) FILTER (WHERE s >= 0.0) AS BIGINT) AS "rows",
+      round(sum(n) FILTER (WHERE s >= 0.0) / count(*) FILTER (WHERE s >= 0.0), 4) AS rows_per_video,
+      round(count(*) FILTER (WHERE s >= 0.0) * 100.0 / count(*), 4) AS pct_kept FROM m"""
+)
+def domain_report_videos(spark, sf_dir):
+    rows, titles = _titled_rows(spark, sf_dir)
+    report = domain.video_report(rows, _references(spark, sf_dir), EXCLUDED, 0.0, titles)
+    return report.withColumns({c: F.round(c, 4) for c in ("rows_per_video", "pct_kept")})

@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.operators import filters, skew, vectors
+from trendloom.functions import text as tx
+from trendloom.operators import filters, reports, skew, vectors
 
 # The thresholds in force.
 POST_THRESHOLD = 0.5
@@ -43,6 +44,55 @@ def domain_filter_posts(
     return filters.min_similarity(score_posts(posts, references, words, **options), threshold)
 
 
+def post_report(
+    posts: DataFrame,
+    references: DataFrame | np.ndarray,
+    words: Sequence[str],
+    threshold: float = POST_THRESHOLD,
+    column: str = "text",
+    vector: str = "embedding",
+) -> DataFrame:
+    """Rows before, removed and after the word step and the similarity step, in one pass.
+
+    Excluded posts reach the scoring without a vector, so nothing is computed for them.
+    """
+    clean = ~filters.has_excluded(F.col(column), words)
+    marked = posts.select(clean.alias("_clean"), F.when(clean, F.col(vector)).alias(vector))
+    scored = vectors.max_similarity(marked, references, vector, "_score")
+    steps = {"words": F.col("_clean"), "similarity": F.col("_score") >= threshold}
+    return reports.step_counts(scored, steps)
+
+
+def video_report(
+    rows: DataFrame,
+    references: DataFrame,
+    words: Sequence[str],
+    threshold: float = VIDEO_THRESHOLD,
+    titles: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """(titles, clean_titles, videos, rows, rows_per_video, pct_kept) of the video filter.
+
+    Rows are counted per title before they meet the scores, so the join sees titles only.
+    """
+    per_title = rows.groupBy("video_title").agg(F.count("*").alias("rows"))
+    scores = score_titles(rows if titles is None else titles, references, words, **options)
+    met = per_title.join(scores.withColumn("_clean", F.lit(True)), "video_title", "left")
+    passed = F.coalesce(F.col("tech_similarity") >= threshold, F.lit(False))
+    counted = met.agg(
+        F.count("*").alias("titles"),
+        F.count_if("_clean").alias("clean_titles"),
+        F.count_if(passed).alias("videos"),
+        F.coalesce(F.sum(F.when(passed, F.col("rows"))), F.lit(0)).alias("rows"),
+    )
+    return counted.withColumns(
+        {
+            "rows_per_video": F.try_divide("rows", "videos"),
+            "pct_kept": tx.percent(F.col("videos"), F.col("titles")),
+        }
+    )
+
+
 def score_titles(
     titles: DataFrame,
     references: DataFrame,
