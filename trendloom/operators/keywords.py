@@ -119,14 +119,16 @@ GROUP = 256
 def keyword_groups(pairs: DataFrame, group: int = GROUP) -> DataFrame:
     """(search_query, part, parts, keywords) from (search_query, pos, keyword).
 
-    ``keywords`` holds (pos, keyword) in list order. A query with many keywords is cut by
+    ``keywords`` holds (pos, keyword, lowered) in list order. A query with many keywords is cut by
     hash into parts of about ``group``, so that no array grows with the list.
     """
     sizes = pairs.groupBy("search_query").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
     parted = skew.lookup(pairs, sizes, ["search_query"], ["pos", "keyword"], "inner")
     part = F.pmod(F.xxhash64("pos", "keyword"), F.col("parts")).cast("int").alias("part")
     return parted.groupBy("search_query", part, "parts").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "keyword"))).alias("keywords")
+        F.array_sort(
+            F.collect_list(F.struct("pos", "keyword", F.lower("keyword").alias("lowered")))
+        ).alias("keywords")
     )
 
 
@@ -160,7 +162,7 @@ def _first_match(text: Column, keywords: Column) -> Column:
 
     def best(lowered: Column) -> Column:
         # The text is lower-cased once and handed to the test of every keyword.
-        hits = F.filter(keywords, lambda k: F.contains(lowered, F.lower(k["keyword"])))
+        hits = F.filter(keywords, lambda k: F.contains(lowered, k["lowered"]))
         return F.coalesce(_with_rank(F.get(hits, F.lit(0)), 0), _with_rank(F.get(keywords, F.lit(0)), 1))
 
     return tx.let(F.lower(text), best)

@@ -131,12 +131,13 @@ def class_tfidf(
     f is the count of the term over all classes, A the whole part of the mean word count of
     a class. Noise documents take part as a class of their own.
     """
-    counts = term_counts(docs, [label], tx.ngrams(F.col(tokens), low, high))
+    # Far smaller than the text and used four times: written once.
+    counts = session.cut_lineage(term_counts(docs, [label], tx.ngrams(F.col(tokens), low, high)))
     totals = counts.groupBy(label).agg(F.sum("tf").alias("words"))
     average = totals.agg(F.floor(F.avg("words"))).scalar()
     everywhere = F.sum("tf").over(Window.partitionBy("term"))  # one row per class and term
     with_f = counts.withColumn("f", everywhere)
-    joined = skew.lookup(with_f, totals, [label], ["term"], "inner")
+    joined = skew.lookup(with_f, totals, [label], ["term"], "inner", max_rows=1_000_000)
     score = F.col("tf") / F.col("words") * F.log(average / F.col("f") + 1)
     return joined.select(label, "term", "tf", score.alias("score"))
 

@@ -27,7 +27,7 @@ _UNION_SQL = """
 
 
 def _two_dumps(spark, sf_dir):
-    first = table(spark, sf_dir, "documents").select(
+    first = table(spark, sf_dir, "documents", spread=True).select(
         F.lit("a").alias("file_name"),
         F.col("doc_id").alias("row_no"),
         "text",
@@ -179,7 +179,7 @@ def keyword_union(spark, sf_dir):
 
 @query(f"SELECT doc_id FROM documents WHERE NOT ({EXCLUDED_SQL})")
 def drop_excluded(spark, sf_dir):
-    return filters.drop_excluded(table(spark, sf_dir, "documents"), "text", EXCLUDED).select("doc_id")
+    return filters.drop_excluded(table(spark, sf_dir, "documents", spread=True), "text", EXCLUDED).select("doc_id")
 
 
 @query(
@@ -199,7 +199,7 @@ def is_clean(spark, sf_dir):
     )
 )
 def noise_hits(spark, sf_dir):
-    return filters.noise_hits(table(spark, sf_dir, "documents"), "text", THEMES)
+    return filters.noise_hits(table(spark, sf_dir, "documents", spread=True), "text", THEMES)
 
 
 _TITLE_SQL = "regexp_extract(html, '<title>(.*?)</title>', 1)"
@@ -255,7 +255,7 @@ def drop_empty(spark, sf_dir):
     SELECT query, md5(keyword) AS keyword_md5 FROM q WHERE length(query) <= 500"""
 )
 def build_queries(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select(
+    lines = table(spark, sf_dir, "documents", spread=True).select(
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("keyword")
     )
     return keywords.build_queries(lines).select("query", F.md5("keyword").alias("keyword_md5"))
@@ -402,7 +402,7 @@ def step_counts(spark, sf_dir):
         "length": F.length("text") >= 200,
         "language": F.col("lang") == "en",
     }
-    out = reports.step_counts(table(spark, sf_dir, "documents"), steps)
+    out = reports.step_counts(table(spark, sf_dir, "documents", spread=True), steps)
     return out.withColumn("pct_kept", F.round("pct_kept", 4))
 
 

@@ -125,7 +125,7 @@ def best_k(spark, sf_dir):
 
 
 def _posts_with_vectors(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     return docs.join(vecs, "doc_id")
 
