@@ -8,29 +8,29 @@ ATOM = "<feed xmlns='http://www.w3.org/2005/Atom'><title>f</title><entry><title>
 
 def test_feeds(spark):
     feeds = spark.createDataFrame(
-        [("r", "u1", RSS), ("a", "d2.naver", ATOM), ("x", "u2", ATOM), ("bad", "u3", "<rss><channel>"), ("none", "u4", None), ("e", "u5", "")],
+        [("r", "u1", RSS), ("a", "d2.example", ATOM), ("x", "u2", ATOM), ("bad", "u3", "<rss><channel>"), ("none", "u4", None), ("e", "u5", "")],
         "source string, url string, xml string",
     )
     assert rows(texts.feed_titles(feeds), "source", "title") == [("a", "E1"), ("a", "E2"), ("r", "A & B"), ("x", "E1"), ("x", "E2")]
-    marked = texts.feed_titles(feeds, ["d2.naver"])
+    marked = texts.feed_titles(feeds, ["d2.example"])
     assert rows(marked, "source", "title") == [("a", "E1"), ("a", "E2"), ("r", "A & B")]
 
 
-PAGE = """<html><body><table><tr class="ub-content us-post"><td class="gall_tit"><a href=x> One &lt;b&gt; <b>bold</b></a>
-<a>second</a></td></tr><tr class=ub-content><td class="gall_tit wide"><br><img src=y><a></a><a>Two</a></td></tr></table>
+PAGE = """<html><body><table><tr class="row main"><td class="name"><a href=x> One &lt;b&gt; <b>bold</b></a>
+<a>second</a></td></tr><tr class=row><td class="name wide"><br><img src=y><a></a><a>Two</a></td></tr></table>
 <p>unclosed<p>again<a>outside</a></body>"""
 
 
 def test_pages(spark):
     pages = spark.createDataFrame([("s", "u", PAGE), ("s", "v", None), ("s", "w", "<<<>")], "source string, url string, html string")
-    first = texts.page_titles(pages, [".us-post .gall_tit a", "tr.ub-content .gall_tit a"])
+    first = texts.page_titles(pages, [".main .name a", "tr.row .name a"])
     assert rows(first, "pos", "title") == [(0, "One <b> bold"), (1, "second")]
-    second = texts.page_titles(pages, ["tr.missing a", "tr.ub-content .gall_tit a"])
+    second = texts.page_titles(pages, ["tr.missing a", "tr.row .name a"])
     assert rows(second, "title") == [("One <b> bold",), ("Two",), ("second",)]
-    assert rows(texts.page_titles(pages, ["tr.ub-content .gall_tit a"], per_page=1), "title") == [("One <b> bold",)]
+    assert rows(texts.page_titles(pages, ["tr.row .name a"], per_page=1), "title") == [("One <b> bold",)]
 
 
 def test_replies(spark):
-    reply = "```csv\nkeyword\nChatGPT,\n\n  HBM4E 메모리, \n}} done\nSora }} tail\n자율주행\n```"
+    reply = "```csv\nkeyword\n그래프 DB,\n\n  양자 내성 암호, \n}} done\nEdge chip }} tail\n로봇 팔\n```"
     df = spark.createDataFrame([(1, reply), (2, None), (3, "")], "reply_id long, text string")
-    assert rows(texts.keyword_replies(df), "reply_id", "keyword") == [(1, "ChatGPT"), (1, "HBM4E 메모리"), (1, "Sora"), (1, "자율주행")]
+    assert rows(texts.keyword_replies(df), "reply_id", "keyword") == sorted((1, k) for k in ["그래프 DB", "양자 내성 암호", "Edge chip", "로봇 팔"])
