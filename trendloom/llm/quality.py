@@ -15,7 +15,9 @@ keeps what the base rule keeps; repeated rows are judged alike; other columns ar
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,28 +61,40 @@ def with_stats(docs: DataFrame, text: str = "text", name: str = "stats") -> Data
     """Add a struct with the counts of each text."""
 
     def stats(t: Column) -> Column:
-        trimmed = F.regexp_replace(t, f"^[{SPACE}]+|[{SPACE}]+$", "")
+        trimmed = F.trim(t, F.lit(" \t\n\x0b\f\r"))
+        rare = F.regexp_replace(t, f"[a-z{SPACE}]+", "")  # holds all that is counted below, and is short
         words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+"))
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
         word_counts = let(
-            words, lambda w: F.struct(F.size(w).alias("n_words"), _repeat_words(w).alias("n_repeat_words"))
-        )
-        return let(
-            word_counts,
+            words,
             lambda w: F.struct(
-                w["n_words"].cast("long").alias("n_words"),
-                (F.length(t) - _count(t, f"[{SPACE}]")).cast("long").alias("word_chars"),
-                _count(t, f"[{SYMBOLS}]").cast("long").alias("n_symbols"),
-                let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-                F.size(lines).cast("long").alias("n_lines"),
-                w["n_repeat_words"].cast("long").alias("n_repeat_words"),
-                _count(t, "[A-Z]").cast("long").alias("n_capitals"),
-                _count(t, "[!?]").cast("long").alias("n_shouts"),
-                _count(t, "[0-9]").cast("long").alias("n_digits"),
+                F.size(w).cast("long").alias("n_words"),
+                F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"),
+                _repeat_words(w).cast("long").alias("n_repeat_words"),
+            ),
+        )
+        marks = let(
+            rare,
+            lambda r: F.struct(
+                _count(r, f"[{SYMBOLS}]").cast("long").alias("n_symbols"),
+                _count(r, "[A-Z]").cast("long").alias("n_capitals"),
+                _count(r, "[!?]").cast("long").alias("n_shouts"),
+                _count(r, "[0-9]").cast("long").alias("n_digits"),
             ),
         )
+        line_counts = let(
+            lines,
+            lambda x: F.struct(
+                F.size(x).cast("long").alias("n_lines"),
+                (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            ),
+        )
+        return F.struct(word_counts.alias("words"), marks.alias("marks"), line_counts.alias("lines"))
 
-    return docs.withColumn(name, let(F.coalesce(F.col(text), F.lit("")), stats))
+    parts = docs.withColumn(name, let(F.coalesce(F.col(text), F.lit("")), stats))
+    return parts.withColumn(
+        name, F.struct(f"{name}.words.*", f"{name}.marks.*", f"{name}.lines.*")
+    )
 
 
 def base_failed(stats: Column) -> Column:
@@ -167,8 +181,6 @@ def learn(
 
     Sets of rows are the bits of an integer, so trying a condition is one ``&`` and a count.
     """
-    from math import log2
-
     rows = sorted(rows, key=lambda r: tuple(r[f] for f in FEATURES) + (r["bad"], r["prune"]))
     bits = lambda chosen: sum(1 << i for i, r in enumerate(rows) if chosen(r))
     bad, prune = bits(lambda r: r["bad"]), bits(lambda r: r["prune"])
@@ -178,12 +190,13 @@ def learn(
         values = sorted({r[name] for r in rows})
         by_value = sorted(range(len(rows)), key=lambda i: rows[i][name])
         step = max(1, len(values) // cuts)
-        marks = {(a + b) / 2 for a, b in list(zip(values, values[1:], strict=False))[::step]}
-        ranked = sorted(rows[i][name] for i in by_value)
-        step = max(1, len(ranked) // cuts)
-        marks |= {ranked[i] for i in range(step, len(ranked), step) if ranked[i] < ranked[-1]}
+        gaps = list(zip(values, values[1:], strict=False))
+        chosen = set(range(0, len(gaps), step))
+        step = max(1, len(rows) // cuts)
+        chosen |= {bisect_left(values, rows[by_value[i]][name]) for i in range(0, len(rows), step)}
+        marks = [(gaps[i][0] + gaps[i][1]) / 2 for i in sorted(chosen) if i < len(gaps)]
         mask, at = 0, 0
-        for mark in sorted(marks):
+        for mark in marks:
             while at < len(by_value) and rows[by_value[at]][name] <= mark:
                 mask |= 1 << by_value[at]
                 at += 1
