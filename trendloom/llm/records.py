@@ -81,8 +81,6 @@ class Encoder:
 
     def _learn(self, missing: set[str]) -> None:
         """A key is a chunk without the blank before it, ``\\n...`` as it is, or zero and a chunk as it is."""
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
         parts = {x: ((m[1], "\0" + m[2]) if (m := LETTERS_SIGNS.fullmatch(x)) else (x,)) for x in missing}
         new = list({y for own in parts.values() for y in own if y not in self.chunks})
         texts = [x[1:] if x[0] == "\0" else x if x[0] == "\n" else " " + x for x in new]
@@ -104,11 +102,11 @@ class Encoder:
             pieces[0] = "\0" + pieces[0]
             cut.append(pieces)
         known = self.chunks
+        if len(known) > CACHE:
+            known.clear()
         missing = set().union(*(p for p in cut if p)).difference(known)
         if missing:
             self._learn(missing)
-            if len(known) < len(missing):  # the cache was cleared
-                self._learn(set().union(*(p for p in cut if p)).difference(known))
         whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
         return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
 
