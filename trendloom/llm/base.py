@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +39,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, outlives executors."""
-    path = session.run_dir(df.sparkSession, name)
+    """Write a table to the shared folder and read it back: cuts the lineage, outlives executors.
+
+    Spark drops the shuffle files of a finished job once the driver has collected its plan, which
+    a driver with memory to spare puts off; so it is asked to.
+    """
+    spark = df.sparkSession
+    path = session.run_dir(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
