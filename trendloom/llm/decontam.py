@@ -132,29 +132,48 @@ def find(text: np.ndarray, index: Index, base: int = 0) -> list[tuple[int, int,
     return best
 
 
+def _passages(data: np.ndarray, index: Index, piece: int) -> list[tuple[int, int, int, int]]:
+    """Passages in one text. Long texts go in pieces that overlap by more than any passage."""
+    reach = int((index.lengths + 2 * index.budgets + 2).max())
+    found: set[tuple[int, int, int, int]] = set()
+    for at in range(0, max(len(data), 1), piece):
+        found.update(find(FOLD[data[at : at + piece + reach]], index, at))
+    return sorted(found)
+
+
 def _scanner(items: list[tuple[int, bytes]], q: int, rate: float, piece: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(items, q, rate)
-        reach = int((index.lengths + 2 * index.budgets + 2).max())
-        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
+        schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "item_id", "start", "end")] + [("edits", pa.int32())])
         for batch in batches:
             ids = batch.column(0).to_pylist()
             data, ends = buffers(batch.column(1))
             rows = []
             for doc, a, b in zip(ids, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                found: set[tuple[int, int, int, int]] = set()
-                # Long texts in pieces that overlap by more than any passage; the count per
-                # piece is what the lemma needs.
-                for at in range(a, max(b, a + 1), piece):
-                    text = FOLD[data[at : min(b, at + piece + reach)]]
-                    found.update(find(text, index, at - a))
-                rows += [(doc, index.items[i][0], s, e, n) for i, n, s, e in sorted(found)]
+                rows += [(doc, index.items[i][0], s, e, n) for i, n, s, e in _passages(data[a:b], index, piece)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return scan
 
 
+def _marker(items: list[tuple[int, bytes]], q: int, rate: float, piece: int, names: list[str]):
+    """Pass rows on with ``_leak``: true if it was or if the text holds an item of this block."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(items, q, rate)
+        for batch in batches:
+            data, ends = buffers(batch.column(0))
+            leaks = [
+                before or bool(_passages(data[a:b], index, piece))
+                for before, a, b in zip(batch.column(1).to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(leaks, pa.bool_())], [*names, "_leak"])
+
+    return mark
+
+
 def blocks(benchmark: DataFrame, q: int, block_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
     """The items in blocks of bounded size, one block at a time on the driver."""
     rows = benchmark.filter(F.length(F.encode("text", "UTF-8")) >= q).select("item_id", F.encode("text", "UTF-8").alias("text"))
@@ -185,6 +204,24 @@ def matches(
     return out.dropDuplicates(["doc_id", "item_id", "start", "end"])
 
 
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    rate: float = 0.08,
+    q: int = 10,
+    block_bytes: int = 4 << 20,
+    piece: int = 1 << 20,
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage of an item; rows need no id for it."""
+    names = docs.columns
+    out = docs.withColumn("_leak", F.lit(False))
+    for block in blocks(benchmark, q, block_bytes):
+        text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+        given = out.select(text.alias("_bytes"), F.col("_leak").alias("_before"), *names)
+        out = given.mapInArrow(_marker(block, q, rate, piece, names), docs.schema.add("_leak", "boolean"))
+    return out.filter(~F.col("_leak")).select(*names)
+
+
 @query("op10_decontaminate")
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of a benchmark item in any document, within the edit budget."""

@@ -41,6 +41,7 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 18, hint=r"AKIA[A-Z0-9]{14}"),
     Rule("hex", r"[0-9a-f]{16,}", 16),
 )
+SPANS = "array<struct<kind:string,start:int,end:int>>"
 MORE = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", hint="-----BEGIN "),
     Rule("git_token", r"\bgh[opsur]_[A-Za-z0-9]{36,255}", hint="gh[opsur]_"),
@@ -63,7 +64,7 @@ def spans(text: Column, rule: Rule) -> Column:
         F.transform(found, F.length).alias("n"),
         F.transform(judged, F.length).alias("judged"),
     )
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    empty = F.array().cast(SPANS)
     zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
     def add(state: Column, s: Column) -> Column:
@@ -104,7 +105,8 @@ def scan(
         done = ledger.groupBy("blob").agg(F.collect_set(F.struct("rule", "version")).alias("done"))
         left = F.array_except("todo", F.coalesce("done", F.array().cast("array<struct<rule:string,version:int>>")))
         todo = todo.join(done, "blob", "left").withColumn("todo", left).drop("done").filter(F.size("todo") > 0)
-    texts = rows.join(todo, ["path", "blob"])
+    chosen = todo.withColumnRenamed("path", "one").withColumnRenamed("blob", "address")
+    texts = rows.join(chosen, (F.col("blob") == F.col("address")) & F.col("path").eqNullSafe(F.col("one")))
     each = [
         F.when(
             F.array_contains(F.transform("todo", lambda t: t["rule"]), r.kind),
@@ -116,6 +118,20 @@ def scan(
     return found.dropDuplicates(["blob"]).select("blob", F.inline("found"))
 
 
+def _by_blob(ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(blob, spans) of blobs with findings: spans of the rules' present versions, by start."""
+    versions = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
+    rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
+    ranked = F.transform("all", lambda s: F.struct(s["start"], rank[s["kind"]].alias("rank"), s["end"], s["kind"]))
+    return (
+        ledger.filter(F.array_contains(versions, F.struct("rule", "version")) & (F.size("spans") > 0))
+        .dropDuplicates(["blob", "rule", "version"])
+        .groupBy("blob")
+        .agg(F.flatten(F.collect_list("spans")).alias("all"))
+        .select("blob", F.transform(F.array_sort(ranked), lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("spans"))
+    )
+
+
 def findings(
     paths: DataFrame,
     ledger: DataFrame,
@@ -123,27 +139,34 @@ def findings(
     path: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(path, blob, spans): of every path all spans of the rules' present versions, by start."""
-    versions = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
-    rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
-    spans_of = F.flatten(F.collect_list("spans"))
-    ordered = F.array_sort(
-        F.transform("all", lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    )
-    of_blob = (
-        ledger.filter(F.array_contains(versions, F.struct("rule", "version")))
-        .dropDuplicates(["blob", "rule", "version"])
-        .filter(F.size("spans") > 0)
-        .groupBy("blob")
-        .agg(spans_of.alias("all"))
-        .select("blob", F.transform(ordered, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
-    )
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    """(path, blob, spans): the findings of every path."""
+    of_blob = _by_blob(ledger, rules)
     return blobs(paths, path, text).join(of_blob, "blob", "left").select(
-        path, "blob", F.coalesce("spans", none).alias("spans")
+        path, "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")
     )
 
 
+def redact(
+    docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", mask: str = "[secret]"
+) -> DataFrame:
+    """``docs`` with ``mask`` in place of every finding; findings that overlap are masked as one."""
+    names = docs.columns
+    hashed = docs.withColumn("_blob", F.sha2(F.coalesce(text, F.lit("")), 256))
+    found = _by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    value = F.col(text)
+
+    def add(state: Column, s: Column) -> Column:
+        fresh = s["start"] >= state["at"]
+        gap = F.concat(F.substr(value, state["at"] + 1, s["start"] - state["at"]), F.lit(mask))
+        out = F.concat(state["out"], F.when(fresh, gap).otherwise(""))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = lambda s: F.concat(s["out"], F.substr(value, s["at"] + 1, F.length(value)))
+    masked = F.when(F.col("_spans").isNull(), value).otherwise(F.aggregate("_spans", zero, add, rest))
+    return hashed.join(found, "_blob", "left").withColumn(text, masked).select(*names)
+
+
 def joined(spans_: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans_, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
