@@ -38,7 +38,7 @@ from trendloom.llm.base import query, store, table
 TAIL, END, START, FIRST = 0, 1, 2, 3
 LONGEST = 64
 FLUSH = 300_000
-STEP = 8192
+STEP = 32_768
 BINS = (1 << 13, 1 << 14, 1 << 13)
 WORD_BINS = 1 << 18
 KAPPA = 4.0
@@ -124,7 +124,7 @@ def _numbered(batch: pa.RecordBatch, column: int, ids: _Ids) -> Iterator[tuple[l
         starts.append(len(words))
         words += words_of(texts[i].as_py())
         words.append(b"")
-        if len(words) > 1 << 16 or i == len(texts) - 1:
+        if len(words) > 1 << 18 or i == len(texts) - 1:
             numbers = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
             yield words, numbers, np.array(starts), first
             words, starts, first = [], [], i + 1
@@ -198,8 +198,9 @@ def _gradient(shared: Broadcast):
         model.prepare()
         ids = _ids(model)
         n = len(model.bias)
-        seen, expected = np.zeros(model.weights.shape), np.zeros(model.weights.shape, np.float32)
+        seen, expected = np.zeros(model.weights.shape), np.zeros(model.weights.shape, order="F")
         words, pairs = np.zeros(WORD_BINS), np.zeros((n, n))
+        offsets = (0, BINS[0], BINS[0] + BINS[1])
         for batch in batches:
             for _, numbers, starts, _ in _numbered(batch, 0, ids):
                 bins, before = model.features(numbers, starts)
@@ -210,12 +211,11 @@ def _gradient(shared: Broadcast):
                     seen += np.bincount(bins[f] * n + own, minlength=seen.size).reshape(seen.shape)
                 for at in range(0, len(numbers), STEP):
                     part = bins[:, at : at + STEP]
-                    share = np.exp(model.class_logp(part))
+                    share = np.ascontiguousarray(np.exp(model.class_logp(part)).T, np.float64)
                     for f in range(3):
-                        order = np.argsort(part[f], kind="stable")
-                        row = part[f][order]
-                        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                        expected[row[first]] += np.add.reduceat(share[order], first, axis=0)
+                        row = part[f] - offsets[f]
+                        for c in range(n):
+                            expected[offsets[f] : offsets[f] + BINS[f], c] += np.bincount(row, share[c], BINS[f])
         out = np.concatenate([seen.ravel(), expected.ravel(), words, pairs.ravel()]).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["sums"])
 
