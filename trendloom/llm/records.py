@@ -33,7 +33,7 @@ from trendloom.llm.worker import kept
 HEAD, CHECK, OWN = "<QI", "<I", "<qB"
 HEAD_BYTES, OWN_BYTES = 12, 9
 END_ID = 0
-CACHE = 400_000
+CACHE = 1_000_000
 
 # White space beyond blank, tab and line breaks; texts that hold any are encoded in one go.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -116,8 +116,8 @@ def _writer(path: str):
         encoder = kept(("records", path), lambda: Encoder(path))
         end = END_ID.to_bytes(encoder.width, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 rows = zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True)
                 frames = [frame(struct.pack(OWN, doc, encoder.width) + ids + end) for doc, ids in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
