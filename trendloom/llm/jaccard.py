@@ -58,7 +58,7 @@ def _profiles(k: int, bits: int):
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.nulls(len(rows), pa.binary())], schema=schema)
         if some:
             none = pa.nulls(1, pa.int64())
-            packed = pa.array([zlib.compress(sketch.tobytes(), 1)], pa.binary())
+            packed = pa.array([zlib.compress(sketch.astype(np.uint64).tobytes(), 1)], pa.binary())
             yield pa.RecordBatch.from_arrays([none, none, none, none, none, packed], schema=schema)
 
     return profile
@@ -228,12 +228,21 @@ def join(
     return out, links
 
 
+def _added(a: bytes | None, b: bytes | None) -> bytes | None:
+    """The sum of two packed rows of 64-bit counters; packed, they are small on their way."""
+    if a is None or b is None:
+        return a if b is None else b
+    both = np.frombuffer(zlib.decompress(a), np.uint64) + np.frombuffer(zlib.decompress(b), np.uint64)
+    return zlib.compress(both.tobytes(), 1)
+
+
 def _levels(sketches: DataFrame, bits: int) -> np.ndarray:
     """The base-2 logarithm of each counter of the summed sketches."""
-    unpack = lambda r: np.frombuffer(zlib.decompress(r["sketch"]), np.uint32).astype(np.uint64)
-    packed = sketches.select("sketch").rdd.map(unpack)
-    total = packed.treeReduce(lambda a, b: a + b) if sketches.limit(1).count() else np.zeros(1 << bits, np.uint64)
-    return np.log2(total.astype(np.float64) + 1).astype(np.uint8)
+    packed = sketches.select("sketch").rdd.map(lambda r: bytes(r["sketch"])).treeAggregate(None, _added, _added, depth=4)
+    if packed is None:
+        return np.zeros(1 << bits, np.uint8)
+    total = np.frombuffer(zlib.decompress(packed), np.uint64)
+    return np.frexp(total.astype(np.float32))[1].astype(np.uint8)
 
 
 @query("op7_jaccard_join")
