@@ -12,8 +12,11 @@ The global order puts rare tokens first, as far as a count sketch of fixed size
 covers all texts, and the result does not depend on it. So a passage that a third of all texts
 share stands at the end of their orders and pairs none of them by itself.
 
-Links already implied within a task are not looked at again: only a spanning set of links leaves
-it, and components follow from those. Nothing is capped.
+Groups are first compared inside and, by one member each, with the group they share most with.
+Groups that this puts into one component are not opened against each other, so the opened pairs
+do not grow with the square of a crowd of near copies. All other pairs that share enough are
+opened whole. Only a spanning set of links leaves a task, and components follow from those.
+Nothing is capped.
 
 Edge cases: null text and text without words have the empty set and link with nothing; repeated
 rows are copies; an empty table gives an empty result; other columns are ignored.
@@ -33,8 +36,8 @@ from trendloom.llm.base import query, store, table
 from trendloom.llm.components import components
 from trendloom.llm.shingles import mix, sets, signature
 
-GROUP_ROWS = 64
-GROUP_TOKENS = 1 << 18
+GROUP_ROWS = 1024
+GROUP_TOKENS = 1 << 20
 PROFILE = "doc_id long, n long, s1 long, s2 long, least long, sketch binary"
 
 
@@ -88,7 +91,8 @@ def slack(n: int, extra: int) -> int:
 
 
 def _links(k: int, percent: int):
-    """Verify units of one or two groups; rows of a unit follow each other."""
+    """Verify units: a group by itself, or one and the queries sent to it. Rows of a unit follow
+    each other; rows with the same label are known to be linked."""
 
     def linked(a: np.ndarray, b: np.ndarray) -> bool:
         if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -96,12 +100,14 @@ def _links(k: int, percent: int):
         both = _shared(a, b)
         return 100 * both >= percent * (len(a) + len(b) - both)
 
-    def open_unit(rows: list[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
-        members = {}
-        for side, rep, mark, own in rows:
+    def open_unit(rows: list[tuple[int, int, int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
+        members, labels = {}, {}
+        for side, rep, mark, label, own in rows:
             if signature(own)[0] == mark:  # else another text under the same id
                 members[(rep, mark)] = (side, own)
-        root = {m: m for m in members}
+                labels[(rep, mark)] = label
+        first: dict[int, tuple[int, int]] = {}
+        root = {m: first.setdefault(label, m) for m, label in labels.items()}
 
         def find(x):
             while root[x] != x:
@@ -125,12 +131,12 @@ def _links(k: int, percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rows, out = None, [], []
         for batch in batches:
-            a, b, side, rep, mark = (batch.column(i).to_pylist() for i in range(5))
-            for i, own in enumerate(sets(batch.column(5), k)):
+            a, b, side, rep, mark, label = (batch.column(i).to_pylist() for i in range(6))
+            for i, own in enumerate(sets(batch.column(6), k)):
                 if (a[i], b[i]) != unit:
                     out += open_unit(rows)
                     unit, rows = (a[i], b[i]), []
-                rows.append((side[i], rep[i], mark[i], own))
+                rows.append((side[i], rep[i], mark[i], label[i], own))
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([_signed(x) for x in zip(*out, strict=True)], ["a", "b"])
                 out = []
@@ -192,31 +198,21 @@ def join(
         .agg(F.min("n").alias("least"), F.max("n").alias("most"))
     )
     matrix = store(matrix, "matrix")
-    a, b = (matrix.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("group", "least", "most")]) for x in "ab")
-    close = (100 * F.col("most_a") >= percent * F.col("least_b")) & (100 * F.col("most_b") >= percent * F.col("least_a"))
-    met = F.greatest(F.lit(1), F.floor(F.least(F.min("least_a"), F.min("least_b")) * extra / 100))
-    opened = (
-        a.join(b, "token")
-        .filter((F.col("group_a") < F.col("group_b")) & close)
-        .groupBy("group_a", "group_b")
-        .agg(F.count("*").alias("shared"), met.alias("needed"))
-        .filter("shared >= needed")
-        .select("group_a", "group_b")
-    )
-    single = reps.groupBy("group").agg(F.count("*").alias("rows")).filter("rows > 1")
-    units = store(opened.unionByName(single.select(F.col("group").alias("group_a"), F.col("group").alias("group_b"))), "units")
-    sides = units.select("group_a", "group_b", F.lit(0).alias("side"), F.col("group_a").alias("group")).unionByName(
-        units.filter("group_a <> group_b").select("group_a", "group_b", F.lit(1).alias("side"), F.col("group_b").alias("group"))
-    )
-    needed = sides.join(reps.select("group", "rep", "s1"), "group").select("group_a", "group_b", "side", "rep", "s1")
-    opened_texts = (
-        texts.withColumnRenamed("doc_id", "rep")
-        .join(needed, "rep")
-        .select("group_a", "group_b", "side", "rep", "s1", "text")
-        .repartition("group_a", "group_b")
-        .sortWithinPartitions("group_a", "group_b")
-    )
-    links = store(opened_texts.mapInArrow(_links(k, percent), "a long, b long"), "links")
+    singles = reps.groupBy("group").agg(F.count("*").alias("rows"), F.min(F.struct("rep", "s1")).alias("lead"))
+    singles = store(singles, "groups")
+    own = reps.select("group", "rep", "s1", F.col("rep").alias("label"))
+    leads = singles.select("group", "lead.rep", "lead.s1", F.col("lead.rep").alias("label"))
+    inside = singles.filter("rows > 1").select("group").join(own, "group")
+    inside = inside.select(F.lit(0).alias("part"), "group", F.lit(0).alias("side"), "rep", "s1", "label")
+    verify = lambda needed, name: store(_opened(texts, needed).mapInArrow(_links(k, percent), "a long, b long"), name)
+    links = verify(inside.unionByName(_queries(_nearest(matrix), leads, leads)), "near-links")
+    known = components(links).select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    own = store(own.drop("label").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
+    whole = own.groupBy("group").agg(F.min("label").alias("label"), F.max("label").alias("other"), F.count("*").alias("rows"))
+    label = F.when(F.col("label") == F.col("other"), F.col("label"))
+    labels = whole.select("group", label.alias("label"), "rows")
+    opened = store(_pairs(matrix.join(labels, "group"), percent, extra), "units")
+    links = links.unionByName(verify(_queries(opened, own, own), "far-links"))
     found = components(links)
     labelled = reps.select("n", "s1", "s2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     out = rows.join(labelled, ["n", "s1", "s2"], "left").select(
@@ -228,6 +224,63 @@ def join(
     return out, links
 
 
+def _nearest(matrix: DataFrame) -> DataFrame:
+    """(group_a, group_b): for each group the one it shares most tokens with, of the least groups
+    of its tokens. A row a group, so copies of one text meet without pairing all their groups."""
+    center = F.min("group").over(Window.partitionBy("token"))
+    met = matrix.withColumn("center", center).filter("group <> center").groupBy("group", "center").count()
+    best = met.groupBy("group").agg(F.max(F.struct("count", "center")).alias("best"))
+    return best.select(F.col("best.center").alias("group_a"), F.col("group").alias("group_b"))
+
+
+def _pairs(matrix: DataFrame, percent: int, extra: int) -> DataFrame:
+    """(group_a, group_b): the smaller group asks, the larger is opened. Groups that are known to lie in one component, which
+    ``label`` names, need not be opened against each other."""
+    by_token = Window.partitionBy("token")
+    own = F.coalesce("label", "group")
+    mixed = matrix.withColumn("low", F.min(own).over(by_token)).withColumn("high", F.max(own).over(by_token))
+    mixed = mixed.filter("low <> high").drop("low", "high")
+    names = ("group", "least", "most", "label", "rows")
+    a, b = (mixed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in names]) for x in "ab")
+    close = (100 * F.col("most_a") >= percent * F.col("least_b")) & (100 * F.col("most_b") >= percent * F.col("least_a"))
+    apart = F.coalesce(F.col("label_a") != F.col("label_b"), F.lit(True))
+    needed = F.greatest(F.lit(1), F.floor(F.least(F.min("least_a"), F.min("least_b")) * extra / 100))
+    return (
+        a.join(b, "token")
+        .filter((F.col("group_a") < F.col("group_b")) & close & apart)
+        .groupBy("group_a", "group_b", "rows_a", "rows_b")
+        .agg(F.count("*").alias("shared"), needed.alias("needed"))
+        .filter("shared >= needed")
+        .select(
+            F.when(F.col("rows_a") <= F.col("rows_b"), F.col("group_a")).otherwise(F.col("group_b")).alias("group_a"),
+            F.when(F.col("rows_a") <= F.col("rows_b"), F.col("group_b")).otherwise(F.col("group_a")).alias("group_b"),
+        )
+    )
+
+
+def _queries(pairs: DataFrame, asking: DataFrame, members: DataFrame, crowd: int = 4096) -> DataFrame:
+    """(part, group, side, rep, s1, label): each opened group with its members (side 1) and the
+    queries (side 0) from the groups paired with it, in parts of about ``crowd`` queries."""
+    queries = pairs.withColumnRenamed("group_b", "opened").join(asking.withColumnRenamed("group", "group_a"), "group_a")
+    wide = queries.groupBy("opened").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    sent = queries.join(wide, "opened").select(part.alias("part"), F.col("opened").alias("group"), F.lit(0).alias("side"), "rep", "s1", "label")
+    parts = wide.select(F.col("opened").alias("group"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    held = parts.join(members, "group").select("part", "group", F.lit(1).alias("side"), "rep", "s1", "label")
+    return sent.unionByName(held)
+
+
+def _opened(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """The texts of units, those of a unit one after the other."""
+    return (
+        texts.withColumnRenamed("doc_id", "rep")
+        .join(needed, "rep")
+        .select("part", "group", "side", "rep", "s1", "label", "text")
+        .repartition("part", "group")
+        .sortWithinPartitions("part", "group")
+    )
+
+
 def _added(a: bytes | None, b: bytes | None) -> bytes | None:
     """The sum of two packed rows of 64-bit counters; packed, they are small on their way."""
     if a is None or b is None:
