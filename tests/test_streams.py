@@ -15,20 +15,25 @@ def test_merge_over_several_runs_equals_batch(spark, tmp_path):
     for batch in (first, second):
         batch.write.mode("append").parquet(source)
         stream = stream_merge.read_stream(spark, source, first.schema, files_per_batch=1)
-        stream_merge.stream_merge(stream, out, state, delay="30 days").awaitTermination()
+        stream_merge.stream_merge(stream, out, state).awaitTermination()
     got = rows(spark.read.parquet(out), "text")
     assert got == rows(dedup.dedup_first(first.union(second), ["text"], ["created_at"]), "text")
 
 
-def test_repeat_after_the_delay_passes_again(spark, tmp_path):
+def test_late_dumps_lose_no_row_and_repeat_none(spark, tmp_path):
     source, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
     schema = "text string, created_at string"
-    for when in ("2024-01-01", "2024-02-01", "2024-03-01"):
-        spark.createDataFrame([("a", when)], schema).write.mode("append").parquet(source)
-        stream = stream_merge.read_stream(spark, source, spark.read.parquet(source).schema)
-        stream_merge.stream_merge(stream, out, state, delay="1 day").awaitTermination()
-    # The mark of a run moves with the times of the run before it.
-    assert spark.read.parquet(out).count() == 2
+    dumps = [
+        [("a", "2024-03-01"), ("b", "2024-03-02"), (None, "2024-03-01")],
+        [("old", "2023-01-01"), ("a", "2023-01-01"), (None, None)],
+        [("b", "2024-06-01"), ("older", "bad date"), ("old", "2022-01-01")],
+    ]
+    for dump in dumps:
+        spark.createDataFrame(dump, schema).write.mode("append").parquet(source)
+        stream = stream_merge.read_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+        stream_merge.stream_merge(stream, out, state).awaitTermination()
+    everything = spark.createDataFrame([r for d in dumps for r in d], schema)
+    assert rows(spark.read.parquet(out), "text") == rows(dedup.dedup_first(everything, ["text"], ["created_at"]), "text")
 
 
 def test_metrics_log(spark, tmp_path):

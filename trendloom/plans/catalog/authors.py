@@ -73,16 +73,14 @@ def progress(spark, sf_dir):
 
 @query("SELECT DISTINCT concat(event_type, ' ', CAST(user_id AS VARCHAR)) AS text FROM events")
 def stream_merge(spark, sf_dir):
-    """The merge as a stream. The delay spans all days of the table, so no repeat comes late."""
+    """The merge as a stream."""
     run = session.run_dir(spark, "stream-merge")
     schema = table(spark, sf_dir, "events").schema
     arriving = merge_stream_jobs.read_stream(spark, sf_dir, schema, glob="events.parquet").select(
         F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("text"),
         F.col("ts").alias("created_at"),
     )
-    merge_stream_jobs.stream_merge(
-        arriving, f"{run}/rows", f"{run}/state", delay="60 days"
-    ).awaitTermination()
+    merge_stream_jobs.stream_merge(arriving, f"{run}/rows", f"{run}/state").awaitTermination()
     return spark.read.parquet(f"{run}/rows").select("text")
 
 

@@ -86,24 +86,19 @@ def read_dumps(
     schema: T.StructType,
     glob: str = "*.csv",
     na_values: Sequence[str] = (),
-    same_header: bool = False,
 ) -> DataFrame:
     """All dumps of a folder as one frame; a column that a file lacks is null for its rows.
 
-    Files are grouped by header, one read per group. With ``same_header`` the first file
-    speaks for all, which saves a look at each file of a large folder.
+    Files are grouped by header, one read per group.
     """
     files = [row["path"] for row in list_files(spark, path, glob).select("path").collect()]
     if not files:
         return _empty(spark, schema)
-    if same_header:
-        groups = {header_of(spark, min(files)): files}
-    else:
-        with ThreadPool(min(16, len(files))) as pool:
-            headers = pool.map(lambda f: header_of(spark, f), files)
-        groups = defaultdict(list)
-        for file, header in zip(files, headers):
-            groups[header].append(file)
+    with ThreadPool(min(16, len(files))) as pool:
+        headers = pool.map(lambda f: header_of(spark, f), files)
+    groups = defaultdict(list)
+    for file, header in zip(files, headers):
+        groups[header].append(file)
     frames = [
         read_dump(spark, sorted(members), schema, header, na_values)
         for header, members in sorted(groups.items())

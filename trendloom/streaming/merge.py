@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from trendloom.operators import dedup
+
 
 def read_stream(
     spark: SparkSession,
@@ -26,32 +28,36 @@ def read_stream(
     return reader.load(path)
 
 
-def dedup_stream(
-    rows: DataFrame, key: str = "text", event_time: str = "created_at", delay: str = "1 day"
-) -> DataFrame:
-    """The first row per key; state is dropped ``delay`` behind the newest time seen.
+def stream_merge(
+    rows: DataFrame, out: str, checkpoint: str, key: str = "text", event_time: str = "created_at"
+) -> StreamingQuery:
+    """Append the unseen rows of all files that are there; run again to go on.
 
-    A repeat that comes later than that passes again: operators.dedup.dedup_first over the
-    merged table is the exact form.
+    Dumps come in any order of dates, so nothing is dropped for being late: each batch keeps the
+    first row per key by ``event_time`` and leaves out keys that earlier batches wrote, however
+    long ago. Null keys count as one. Rows go to ``out`` by batch number (column ``batch``), the
+    hashes of their keys to a log beside the checkpoint; a batch that is run again replaces its
+    own files and looks only at the log of the batches before it, so a failure repeats nothing.
     """
-    timed = rows.withColumn(event_time, F.col(event_time).try_cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    log = f"{checkpoint.rstrip('/')}-keys"
+
+    def append(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        keyed = batch.withColumn("_key", F.sha2(F.to_json(F.struct(key)), 256))
+        first = dedup.dedup_first(keyed, ["_key"], [F.col(event_time).try_cast("timestamp")])
+        if number:
+            # Batch 0 writes the log even without rows, so a missing log is an error here.
+            known = spark.read.schema("_key string, batch long").parquet(log).filter(F.col("batch") < number).select("_key").distinct()
+            first = first.join(known, "_key", "left_anti")
+        first.drop("_key").write.mode("overwrite").parquet(f"{out}/batch={number}")
+        own = spark.read.schema(batch.schema).parquet(f"{out}/batch={number}")
+        own.select(F.sha2(F.to_json(F.struct(key)), 256).alias("_key")).write.mode("overwrite").parquet(
+            f"{log}/batch={number}"
+        )
 
-
-def stream_merge(
-    rows: DataFrame,
-    out: str,
-    checkpoint: str,
-    key: str = "text",
-    event_time: str = "created_at",
-    delay: str = "1 day",
-) -> StreamingQuery:
-    """Append the unseen rows of all files that are there; run again to go on."""
     return (
-        dedup_stream(rows, key, event_time, delay)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        rows.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )
