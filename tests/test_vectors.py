@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -104,3 +105,9 @@ def test_score_cross_names_references(spark):
     got = vectors.score_cross(frame(spark, [[1, 0], None]), np.array([[1.0, 0], [0, 1.0]]), ["x", "y"])
     scores = {r["id"]: r["scores"] for r in got.collect()}
     assert [(s["ref"], s["score"]) for s in scores[0]] == [("x", 1.0), ("y", 0.0)]
+
+
+def test_vectors_of_unequal_length_are_refused():
+    with pytest.raises(ValueError, match="2 to 4"):
+        vectors._as_matrix(pa.array([[1.0, 2.0], [1.0, 2.0, 3.0, 4.0]]))
+    assert vectors._as_matrix(pa.array([[1.0, 2.0], None]))[1].shape == (1, 2)

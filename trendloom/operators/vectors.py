@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -94,6 +95,9 @@ def _as_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     valid = np.flatnonzero(np.asarray(column.is_valid()))
     present = column.drop_null()
     flat = np.asarray(present.flatten(), dtype=np.float64)
+    lengths = np.asarray(pc.list_value_length(present))
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError(f"vectors of {lengths.min()} to {lengths.max()} numbers in one column")
     return valid, flat.reshape(len(valid), -1) if len(valid) else flat.reshape(0, 0)
 
 
