@@ -13,9 +13,9 @@ covers all texts, and the result does not depend on it. So a passage that a thir
 share stands at the end of their orders and pairs none of them by itself.
 
 Groups are first compared inside and, by one member each, with the group they share most with.
-Groups that this puts into one component are not opened against each other, so the opened pairs
-do not grow with the square of a crowd of near copies. All other pairs that share enough are
-opened whole. Only a spanning set of links leaves a task, and components follow from those.
+Groups that this puts into one component are not opened against each other. All other pairs that
+share enough are opened whole; their number does grow with the square of a crowd of texts that
+are alike but do not link. Only a spanning set of links leaves a task, and components follow from those.
 Nothing is capped.
 
 Edge cases: null text and text without words have the empty set and link with nothing; repeated
