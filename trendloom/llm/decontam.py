@@ -67,37 +67,60 @@ class Index:
         return place, self.item[entry], self.place[entry]
 
 
-def align(text: np.ndarray, item: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """(edits, start, end) of the best passage whose alignment stays on diagonals low..high.
+def align(jobs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[tuple[int, int, int]]:
+    """(edits, start, end) of the best passage for each (text, item, low, high), its alignment
+    staying on diagonals low..high.
 
     Cell j of row i stands for place low + i + j of the text. A second array carries where the
-    best alignment of each cell starts.
+    best alignment of each cell starts. All jobs advance together, the longest items first, so
+    those that end leave the rear of the arrays.
     """
-    width, n = high - low + 1, len(text)
-    far = len(item) + width + 1
-    place = low + np.arange(width)
-    inside = (place >= 0) & (place <= n)
-    cost, start = np.where(inside, 0, far), place.copy()
+    order = sorted(range(len(jobs)), key=lambda j: -len(jobs[j][1]))
+    sizes = np.array([len(jobs[j][1]) for j in order])
+    widths = np.array([jobs[j][3] - jobs[j][2] + 1 for j in order])
+    lows = np.array([jobs[j][2] for j in order])
+    ends = np.array([len(jobs[j][0]) for j in order])
+    most, width = int(sizes[0]), int(widths.max())
+    items = np.zeros((len(jobs), most), np.int16)
+    window = np.full((len(jobs), most + width), -1, np.int16)  # the texts from place low on
+    for r, j in enumerate(order):
+        text, item, low, _ = jobs[j]
+        items[r, : len(item)] = item
+        part = text[max(low, 0) : max(low + most + width, 0)]
+        window[r, max(-low, 0) : max(-low, 0) + len(part)] = part
+    far = most + width + 1
     steps = np.arange(width)
-    for i in range(1, len(item) + 1):
-        place = low + i + steps
-        inside = (place >= 0) & (place <= n)
-        char = text[np.clip(place - 1, 0, n - 1)] if n else np.zeros(width, np.uint8)
-        swap = cost + np.where((char == item[i - 1]) & (place >= 1), 0, np.where(place >= 1, 1, far))
-        skip = np.append(cost[1:], far) + 1
-        best = np.where(skip < swap, skip, swap)
-        origin = np.where(skip < swap, np.append(start[1:], 0), start)
-        best = np.where(inside, best, far)
-        run = np.minimum.accumulate(best - steps)
-        source = np.maximum.accumulate(np.where(best - steps == run, steps, 0))
-        cost, start = run + steps, origin[source]
-        cost = np.where(inside, cost, far)
-    at = int(np.argmin(cost))
-    return int(cost[at]), int(start[at]), int(low + len(item) + at)
-
-
-def find(text: np.ndarray, index: Index, base: int = 0) -> list[tuple[int, int, int, int]]:
-    """(item number, edits, start, end) for each passage of one text."""
+    outside = lambda i, n: (steps < (-lows[:n] - i)[:, None]) | (steps >= np.minimum(widths[:n], ends[:n] - lows[:n] - i + 1)[:, None])
+    cost, start = np.where(outside(0, len(jobs)), far, 0), lows[:, None] + steps
+    out: list[tuple[int, int, int]] = [(0, 0, 0)] * len(jobs)
+    left = len(jobs)
+    for i in range(most + 1):
+        if i:
+            swap = cost + (window[:left, i - 1 : i - 1 + width] != items[:left, i - 1 : i])
+            best, origin = swap.copy(), start.copy()
+            skip = cost[:, 1:] + 1
+            fewer = skip < swap[:, :-1]
+            np.copyto(best[:, :-1], skip, where=fewer)
+            np.copyto(origin[:, :-1], start[:, 1:], where=fewer)
+            off = outside(i, left)
+            best[off] = far
+            best -= steps
+            run = np.minimum.accumulate(best, axis=1)
+            source = np.maximum.accumulate(np.where(best == run, steps, 0), axis=1)
+            cost, start = run + steps, np.take_along_axis(origin, source, 1)
+            cost[off] = far
+        done = int(np.searchsorted(-sizes[:left], -i, "left"))
+        for r in range(done, left):
+            at = int(np.argmin(cost[r]))
+            out[order[r]] = (int(cost[r, at]), int(start[r, at]), int(lows[r]) + i + at)
+        cost, start, left = cost[:done], start[:done], done
+        if not left:
+            break
+    return out
+
+
+def candidates(text: np.ndarray, index: Index) -> list[tuple[int, int]]:
+    """(item number, lowest diagonal) of the bands that share enough q-grams with an item."""
     place, item, own = index.hits(text)
     if not len(place):
         return []
@@ -108,7 +131,6 @@ def find(text: np.ndarray, index: Index, base: int = 0) -> list[tuple[int, int,
         return []
     step = index.budgets[item] + 1
     diagonal = place - own + index.lengths[item]
-    out: dict[tuple[int, int, int], int] = {}
     band = diagonal // step
     item2 = np.concatenate([item, item])
     band2 = np.concatenate([band, band - 1])  # a band takes in the first half of the next
@@ -116,29 +138,64 @@ def find(text: np.ndarray, index: Index, base: int = 0) -> list[tuple[int, int,
     # An item's gram counts once a band, wherever the text repeats it.
     triples = np.unique(np.stack([item2, band2, own2]), axis=1)
     groups, n = np.unique(triples[:2], axis=1, return_counts=True)
-    for (i, b), shared in zip(groups.T.tolist(), n.tolist(), strict=True):
-        if shared < index.least[i]:
-            continue
-        k = int(index.budgets[i])
-        low = b * (k + 1) - int(index.lengths[i])
-        edits, start, end = align(text, index.items[i][1], low, low + 2 * k + 1)
-        if edits <= k:
-            key = (i, start + base, end + base)
-            out[key] = min(edits, out.get(key, edits))
-    best: list[tuple[int, int, int, int]] = []
-    for (i, start, end), edits in sorted(out.items(), key=lambda x: (x[0][0], x[1], x[0][1], x[0][2])):
-        if not any(i == j and start < e and s < end for j, _, s, e in best):
-            best.append((i, edits, start, end))
-    return best
-
-
-def _passages(data: np.ndarray, index: Index, piece: int) -> list[tuple[int, int, int, int]]:
-    """Passages in one text. Long texts go in pieces that overlap by more than any passage."""
+    enough = groups[:, n >= index.least[groups[0]]]
+    return list(zip(enough[0].tolist(), (enough[1] * (index.budgets[enough[0]] + 1) - index.lengths[enough[0]]).tolist(), strict=True))
+
+
+Found = list[tuple[int, int, int, int]]
+
+
+def _verified(waiting: list[tuple[int, int, np.ndarray, list[tuple[int, int]]]], index: Index) -> dict[int, set]:
+    """{owner: (item number, edits, start, end)} of the bands of some pieces, aligned together.
+    Of passages of one item that overlap in a piece, the one with the fewest edits stands."""
+    jobs = [(text, index.items[i][1], low, low + 2 * int(index.budgets[i]) + 1) for _, _, text, found in waiting for i, low in found]
+    aligned = iter(align(jobs) if jobs else ())
+    out: dict[int, set] = {}
+    for owner, base, _, found in waiting:
+        edits_of: dict[tuple[int, int, int], int] = {}
+        for i, _ in found:
+            edits, start, end = next(aligned)
+            if edits <= index.budgets[i]:
+                key = (i, start + base, end + base)
+                edits_of[key] = min(edits, edits_of.get(key, edits))
+        best: Found = []
+        for (i, start, end), edits in sorted(edits_of.items(), key=lambda x: (x[0][0], x[1], x[0][1], x[0][2])):
+            if not any(i == j and start < e and s < end for j, _, s, e in best):
+                best.append((i, edits, start, end))
+        out.setdefault(owner, set()).update(best)
+    return out
+
+
+def find(text: np.ndarray, index: Index) -> Found:
+    """(item number, edits, start, end) for each passage of one text."""
+    return sorted(_verified([(0, 0, text, candidates(text, index))], index)[0])
+
+
+def passages(column: pa.Array, index: Index, piece: int, cells: int = 1 << 18) -> list[Found]:
+    """The passages in each text of a column. Long texts go in pieces that overlap by more than
+    any passage; bands are aligned together, as many as ``cells`` cells of a row and item allow."""
+    data, ends = buffers(column)
     reach = int((index.lengths + 2 * index.budgets + 2).max())
-    found: set[tuple[int, int, int, int]] = set()
-    for at in range(0, max(len(data), 1), piece):
-        found.update(find(FOLD[data[at : at + piece + reach]], index, at))
-    return sorted(found)
+    found: list[set] = [set() for _ in range(len(column))]
+    waiting, size = [], 0
+
+    def settle() -> None:
+        for owner, more in _verified(waiting, index).items():
+            found[owner] |= more
+        waiting.clear()
+
+    for owner, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        for at in range(a, max(b, a + 1), piece):
+            text = FOLD[data[at : min(at + piece + reach, b)]]
+            bands = candidates(text, index)
+            if bands:
+                waiting.append((owner, at - a, text, bands))
+                size += len(bands) * reach
+                if size > cells:
+                    settle()
+                    size = 0
+    settle()
+    return [sorted(x) for x in found]
 
 
 def _scanner(items: list[tuple[int, bytes]], q: int, rate: float, piece: int):
@@ -147,10 +204,8 @@ def _scanner(items: list[tuple[int, bytes]], q: int, rate: float, piece: int):
         schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "item_id", "start", "end")] + [("edits", pa.int32())])
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            data, ends = buffers(batch.column(1))
-            rows = []
-            for doc, a, b in zip(ids, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                rows += [(doc, index.items[i][0], s, e, n) for i, n, s, e in _passages(data[a:b], index, piece)]
+            found = passages(batch.column(1), index, piece)
+            rows = [(doc, index.items[i][0], s, e, n) for doc, own in zip(ids, found, strict=True) for i, n, s, e in own]
             if rows:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -164,11 +219,8 @@ def _marker(items: list[tuple[int, bytes]], q: int, rate: float, piece: int, nam
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(items, q, rate)
         for batch in batches:
-            data, ends = buffers(batch.column(0))
-            leaks = [
-                before or bool(_passages(data[a:b], index, piece))
-                for before, a, b in zip(batch.column(1).to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
-            ]
+            found = passages(batch.column(0), index, piece)
+            leaks = [before or bool(own) for before, own in zip(batch.column(1).to_pylist(), found, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(leaks, pa.bool_())], [*names, "_leak"])
 
     return mark
