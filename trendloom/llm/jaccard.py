@@ -1,22 +1,23 @@
 """Exact similarity join of word-shingle sets by a token-group matrix.
 
-Copies of a set are joined as one. Sets are put into groups of similar ones: same least hash,
-same class of size, dealt into groups of bounded size if there are many. The matrix holds, for
-each group, the union of its members' prefixes: of a set of n tokens the n - ceil(t * n) + l that
-come first in one global order. Two sets with Jaccard similarity t or more share at least l
-tokens of their prefixes (l being the lesser of theirs), so only groups that share as many are
-opened, and of an opened group only queries whose overlap with the whole union of the group's
-tokens reaches t * n are compared with its members, exactly.
+Copies of a set are joined as one. Sets are put into groups of similar ones: first by least hash
+and class of size, then each such group moves to the one that most of its prefix tokens name (the
+least group that holds the token). Groups of many sets are dealt into groups of bounded size. The
+matrix holds, for each group, the union of its members' prefixes: of a set of n tokens the
+n - ceil(t * n) + l that come first in one global order. Two sets with Jaccard similarity t or more
+share at least l tokens of their prefixes (l being the lesser of theirs), so a set is a query to
+those other groups only whose union holds as many of its own. An opened group is indexed by token;
+queries whose overlap with the whole union of its tokens reaches t * n are compared with its
+members, exactly.
 
 The global order puts rare tokens first, as far as a count sketch of fixed size tells; the sketch
 covers all texts, and the result does not depend on it. So a passage that a third of all texts
 share stands at the end of their orders and pairs none of them by itself.
 
-Groups are first compared inside and, by one member each, with the group they share most with.
-Groups that this puts into one component are not opened against each other. All other pairs that
-share enough are opened whole; their number does grow with the square of a crowd of texts that
-are alike but do not link. Only a spanning set of links leaves a task, and components follow from those.
-Nothing is capped.
+Groups are first compared inside. Sets that this puts into one component are not compared again.
+A crowd of texts that are alike without linking lies in few groups, so rows that are joined grow
+with the crowd, and with its square only in steps of a group's size. Only a spanning set of links
+leaves a task, and components follow from those. Nothing is capped.
 
 Edge cases: null text and text without words have the empty set and link with nothing; repeated
 rows are copies; an empty table gives an empty result; other columns are ignored.
@@ -80,7 +81,7 @@ def _prefixes(k: int, bits: int, percent: int, extra: int, shared):
                 marks.append(signature(own)[0])
             ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*firsts, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _signed(marks), tokens], ["doc_id", "s1", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _signed(marks), tokens], ["rep", "s1", "tokens"])
 
     return prefix
 
@@ -94,20 +95,13 @@ def _links(k: int, percent: int):
     """Verify units: a group by itself, or one and the queries sent to it. Rows of a unit follow
     each other; rows with the same label are known to be linked."""
 
-    def linked(a: np.ndarray, b: np.ndarray) -> bool:
-        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-            return False
-        both = _shared(a, b)
-        return 100 * both >= percent * (len(a) + len(b) - both)
-
     def open_unit(rows: list[tuple[int, int, int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
-        members, labels = {}, {}
+        members = {}
         for side, rep, mark, label, own in rows:
             if signature(own)[0] == mark:  # else another text under the same id
-                members[(rep, mark)] = (side, own)
-                labels[(rep, mark)] = label
+                members[(rep, mark)] = (side, label, own)
         first: dict[int, tuple[int, int]] = {}
-        root = {m: first.setdefault(label, m) for m, label in labels.items()}
+        root = {m: first.setdefault(label, m) for m, (_, label, _) in sorted(members.items())}
 
         def find(x):
             while root[x] != x:
@@ -115,18 +109,29 @@ def _links(k: int, percent: int):
                 x = root[x]
             return x
 
-        sides = [sorted((m for m, (s, _) in members.items() if s == side)) for side in (0, 1)]
-        alone = not sides[1]
-        queries, others = sides[0], sides[0] if alone else sides[1]
-        union = np.unique(np.concatenate([members[m][1] for m in others])) if len(others) > 2 else None
+        queries, others = ([m for m in root if members[m][0] == side] for side in (0, 1))
+        alone = not others
+        if alone:
+            others = queries
+        tokens = np.concatenate([np.zeros(0, np.uint64), *(members[m][2] for m in others)])
+        sizes = np.array([len(members[m][2]) for m in others], np.int64)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], np.repeat(np.arange(len(others)), sizes)[order]
         for i, q in enumerate(queries):
-            own = members[q][1]
-            if union is not None and 100 * _shared(own, union) < percent * len(own):
+            own = members[q][2]
+            low, high = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            held = high - low
+            if 100 * np.count_nonzero(held) < percent * len(own):
                 continue
-            for other in others[:i] if alone else others:
-                if find(q) != find(other) and linked(own, members[other][1]):
-                    root[find(q)] = find(other)
-                    yield q[0], other[0]
+            at = np.arange(held.sum()) + np.repeat(low - np.cumsum(held) + held, held)
+            both = np.bincount(owner[at], minlength=len(others))
+            near = 100 * both >= percent * (len(own) + sizes - both)
+            if alone:
+                near[i:] = False
+            for j in np.flatnonzero(near).tolist():
+                if find(q) != find(others[j]):
+                    root[find(q)] = find(others[j])
+                    yield q[0], others[j][0]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rows, out = None, [], []
@@ -147,14 +152,6 @@ def _links(k: int, percent: int):
     return verify
 
 
-def _shared(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum()) if len(a) and len(b) else 0
-
-
 def join(
     docs: DataFrame, percent: int = 80, k: int = 5, extra: int = 5, sketch_bits: int = 22
 ) -> tuple[DataFrame, DataFrame]:
@@ -175,44 +172,32 @@ def join(
         .agg(F.min("doc_id").alias("rep"))
         .withColumn("size_class", size_class)
     )
-    wide = reps.groupBy("least", "size_class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    parts = F.ceil(F.greatest(F.col("rows") / GROUP_ROWS, F.col("tokens") / GROUP_TOKENS))
-    part = F.pmod(F.xxhash64("s1", "rep"), "parts")
-    reps = store(
-        reps.join(wide.select("least", "size_class", parts.alias("parts")), ["least", "size_class"]).select(
-            "rep", "n", "s1", "s2", F.xxhash64("least", "size_class", part).alias("group")
-        ),
-        "reps",
-    )
+    reps = store(_dealt(reps, "least", "s1"), "reps")
     shared = spark.sparkContext.broadcast(level)
-    firsts = texts.mapInArrow(_prefixes(k, sketch_bits, percent, extra, shared), "doc_id long, s1 long, tokens array<long>")
-    own = reps.select(F.col("rep").alias("doc_id"), "s1", "group", "n")
+    firsts = texts.mapInArrow(_prefixes(k, sketch_bits, percent, extra, shared), "rep long, s1 long, tokens array<long>")
     by_token = Window.partitionBy("token")
-    matrix = (
-        firsts.join(own, ["doc_id", "s1"])
-        .select(F.explode("tokens").alias("token"), "group", "n")
+    postings = (
+        firsts.join(reps.select("rep", "s1", "group", "n"), ["rep", "s1"])
+        .select(F.explode("tokens").alias("token"), "rep", "s1", "n", "group")
         .withColumn("low", F.min("group").over(by_token))
         .withColumn("high", F.max("group").over(by_token))
         .filter("low <> high")
-        .groupBy("token", "group")
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        .drop("high")
     )
-    matrix = store(matrix, "matrix")
-    singles = reps.groupBy("group").agg(F.count("*").alias("rows"), F.min(F.struct("rep", "s1")).alias("lead"))
-    singles = store(singles, "groups")
-    own = reps.select("group", "rep", "s1", F.col("rep").alias("label"))
-    leads = singles.select("group", "lead.rep", "lead.s1", F.col("lead.rep").alias("label"))
-    inside = singles.filter("rows > 1").select("group").join(own, "group")
-    inside = inside.select(F.lit(0).alias("part"), "group", F.lit(0).alias("side"), "rep", "s1", "label")
+    postings = store(postings, "postings")
+    home = reps.join(_named(postings), "group", "left").withColumn("home", F.coalesce("home", "group"))
+    own = store(_dealt(home.withColumn("size_class", size_class), "home", "group").select("rep", "n", "s1", "s2", "group"), "groups")
     verify = lambda needed, name: store(_opened(texts, needed).mapInArrow(_links(k, percent), "a long, b long"), name)
-    links = verify(inside.unionByName(_queries(_nearest(matrix), leads, leads)), "near-links")
+    rows_of = own.groupBy("group").agg(F.count("*").alias("rows"))
+    inside = own.join(rows_of.filter("rows > 1"), "group")
+    links = verify(inside.select(F.lit(0).alias("part"), "group", F.lit(0).alias("side"), "rep", "s1", F.col("rep").alias("label")), "near-links")
     known = components(links).select(F.col("node").alias("rep"), F.col("component").alias("label"))
-    own = store(own.drop("label").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
-    whole = own.groupBy("group").agg(F.min("label").alias("label"), F.max("label").alias("other"), F.count("*").alias("rows"))
-    label = F.when(F.col("label") == F.col("other"), F.col("label"))
-    labels = whole.select("group", label.alias("label"), "rows")
-    opened = store(_pairs(matrix.join(labels, "group"), percent, extra), "units")
-    links = links.unionByName(verify(_queries(opened, own, own), "far-links"))
+    own = own.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    whole = own.groupBy("group").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("rows"))
+    whole = whole.select("group", F.when(F.col("one") == F.col("other"), F.col("one")).alias("one"), "rows")
+    own = store(own.select("rep", "s1", "group", "label").join(whole, "group"), "labelled")
+    asked = store(_asked(postings.select("token", "rep", "s1", "n").join(own, ["rep", "s1"]), percent, extra), "asked")
+    links = links.unionByName(verify(_queries(asked, own), "far-links"))
     found = components(links)
     labelled = reps.select("n", "s1", "s2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     out = rows.join(labelled, ["n", "s1", "s2"], "left").select(
@@ -224,49 +209,55 @@ def join(
     return out, links
 
 
-def _nearest(matrix: DataFrame) -> DataFrame:
-    """(group_a, group_b): for each group the one it shares most tokens with, of the least groups
-    of its tokens. A row a group, so copies of one text meet without pairing all their groups."""
-    center = F.min("group").over(Window.partitionBy("token"))
-    met = matrix.withColumn("center", center).filter("group <> center").groupBy("group", "center").count()
-    best = met.groupBy("group").agg(F.max(F.struct("count", "center")).alias("best"))
-    return best.select(F.col("best.center").alias("group_a"), F.col("group").alias("group_b"))
+def _dealt(reps: DataFrame, alike: str, by: str) -> DataFrame:
+    """Add ``group``: sets with the same ``alike`` and class of size, dealt by ``by`` where they are many."""
+    wide = reps.groupBy(alike, "size_class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+    parts = F.ceil(F.greatest(F.col("rows") / GROUP_ROWS, F.col("tokens") / GROUP_TOKENS)).alias("parts")
+    group = F.xxhash64(alike, "size_class", F.pmod(F.xxhash64(by), "parts"))
+    dealt = reps.join(wide.select(alike, "size_class", parts), [alike, "size_class"])
+    return dealt.withColumn("group", group).drop("size_class", "parts")
+
+
+def _named(postings: DataFrame) -> DataFrame:
+    """(group, home): the group that most of a group's tokens name, maybe itself. A token names the
+    least group that holds it, so texts that are alike meet without pairing all their groups."""
+    votes = postings.groupBy("group", "low").count()
+    best = votes.groupBy("group").agg(F.max(F.struct("count", "low")).alias("best"))
+    return best.select("group", F.col("best.low").alias("home"))
 
 
-def _pairs(matrix: DataFrame, percent: int, extra: int) -> DataFrame:
-    """(group_a, group_b): the smaller group asks, the larger is opened. Groups that are known to lie in one component, which
-    ``label`` names, need not be opened against each other."""
+def _asked(postings: DataFrame, percent: int, extra: int) -> DataFrame:
+    """(rep, s1, label, opened): the groups that a set must be compared with. Of two groups, sets of
+    the smaller ask the larger. A group whose members all lie in the set's own component, which
+    ``one`` names, need not be opened for it."""
     by_token = Window.partitionBy("token")
-    own = F.coalesce("label", "group")
-    mixed = matrix.withColumn("low", F.min(own).over(by_token)).withColumn("high", F.max(own).over(by_token))
-    mixed = mixed.filter("low <> high").drop("low", "high")
-    names = ("group", "least", "most", "label", "rows")
-    a, b = (mixed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in names]) for x in "ab")
-    close = (100 * F.col("most_a") >= percent * F.col("least_b")) & (100 * F.col("most_b") >= percent * F.col("least_a"))
-    apart = F.coalesce(F.col("label_a") != F.col("label_b"), F.lit(True))
-    needed = F.greatest(F.lit(1), F.floor(F.least(F.min("least_a"), F.min("least_b")) * extra / 100))
+    kind = F.coalesce("one", "group")
+    mixed = postings.withColumn("low", F.min(kind).over(by_token)).withColumn("high", F.max(kind).over(by_token))
+    mixed = store(mixed.filter("low <> high").drop("low", "high"), "mixed")
+    matrix = mixed.groupBy("token", "group", "one", "rows").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = matrix.withColumnsRenamed({"group": "opened", "one": "other", "rows": "many"})
+    asks = F.struct("rows", "group") < F.struct("many", "opened")
+    close = (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n"))
+    apart = F.coalesce(F.col("label") != F.col("other"), F.lit(True))
+    needed = F.greatest(F.lit(1), F.floor(F.least(F.min("n"), F.min("least")) * extra / 100))
     return (
-        a.join(b, "token")
-        .filter((F.col("group_a") < F.col("group_b")) & close & apart)
-        .groupBy("group_a", "group_b", "rows_a", "rows_b")
+        mixed.join(matrix, "token")
+        .filter(asks & close & apart)
+        .groupBy("rep", "s1", "label", "opened")
         .agg(F.count("*").alias("shared"), needed.alias("needed"))
         .filter("shared >= needed")
-        .select(
-            F.when(F.col("rows_a") <= F.col("rows_b"), F.col("group_a")).otherwise(F.col("group_b")).alias("group_a"),
-            F.when(F.col("rows_a") <= F.col("rows_b"), F.col("group_b")).otherwise(F.col("group_a")).alias("group_b"),
-        )
+        .drop("shared", "needed")
     )
 
 
-def _queries(pairs: DataFrame, asking: DataFrame, members: DataFrame, crowd: int = 4096) -> DataFrame:
-    """(part, group, side, rep, s1, label): each opened group with its members (side 1) and the
-    queries (side 0) from the groups paired with it, in parts of about ``crowd`` queries."""
-    queries = pairs.withColumnRenamed("group_b", "opened").join(asking.withColumnRenamed("group", "group_a"), "group_a")
-    wide = queries.groupBy("opened").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"))
+def _queries(asked: DataFrame, own: DataFrame, crowd: int = 4096) -> DataFrame:
+    """(part, group, side, rep, s1, label): each opened group with its members (side 1) and its
+    queries (side 0), in parts of about ``crowd`` queries."""
+    wide = asked.groupBy("opened").agg(F.ceil(F.count("*") / crowd).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    sent = queries.join(wide, "opened").select(part.alias("part"), F.col("opened").alias("group"), F.lit(0).alias("side"), "rep", "s1", "label")
+    sent = asked.join(wide, "opened").select(part.alias("part"), F.col("opened").alias("group"), F.lit(0).alias("side"), "rep", "s1", "label")
     parts = wide.select(F.col("opened").alias("group"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    held = parts.join(members, "group").select("part", "group", F.lit(1).alias("side"), "rep", "s1", "label")
+    held = parts.join(own, "group").select("part", "group", F.lit(1).alias("side"), "rep", "s1", "label")
     return sent.unionByName(held)
 
 
