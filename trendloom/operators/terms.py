@@ -46,8 +46,9 @@ def tokenise(
     with_tagger: Callable[[Column], Column] | None = None,
     tags: Sequence[str] = (),
     prefixes: Sequence[str] = ("N",),
+    keep_empty: bool = False,
 ) -> DataFrame:
-    """Add the token array; rows without any token are dropped.
+    """Add the token array; rows without any token are dropped, unless ``keep_empty`` asks for them.
 
     With a tagger, forms whose tag is listed or starts with a prefix are kept; without one,
     runs of two or more letters or digits.
@@ -58,6 +59,8 @@ def tokenise(
     else:
         raw = tx.keep_tags(with_tagger(text), tags, prefixes)
     kept = tx.drop_stopwords(raw, stop) if stop or with_tagger else raw
+    if keep_empty:
+        return tx.with_once(df, out, F.coalesce(kept, F.array().cast("array<string>")))
     return tx.with_once(df, out, kept, lambda tokens: F.size(tokens) > 0)
 
 
