@@ -39,6 +39,7 @@ from trendloom.llm.shingles import mix, sets, signature
 
 GROUP_ROWS = 1024
 GROUP_TOKENS = 1 << 20
+SALTS = 64
 PROFILE = "doc_id long, n long, s1 long, s2 long, least long, sketch binary"
 
 
@@ -210,12 +211,16 @@ def join(
 
 
 def _dealt(reps: DataFrame, alike: str, by: str) -> DataFrame:
-    """Add ``group``: sets with the same ``alike`` and class of size, dealt by ``by`` where they are many."""
+    """Add ``group``: sets with the same ``alike`` and class of size, dealt by ``by`` where they are
+    many. Only crowds are looked up, and sets are salted for it, so that none meets in one task."""
     wide = reps.groupBy(alike, "size_class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     parts = F.ceil(F.greatest(F.col("rows") / GROUP_ROWS, F.col("tokens") / GROUP_TOKENS)).alias("parts")
-    group = F.xxhash64(alike, "size_class", F.pmod(F.xxhash64(by), "parts"))
-    dealt = reps.join(wide.select(alike, "size_class", parts), [alike, "size_class"])
-    return dealt.withColumn("group", group).drop("size_class", "parts")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    crowds = wide.select(alike, "size_class", parts).filter("parts > 1").select("*", salts)
+    salted = reps.withColumn("salt", F.pmod(F.xxhash64("s1", "rep"), F.lit(SALTS)).cast("int"))
+    dealt = salted.join(crowds, [alike, "size_class", "salt"], "left")
+    group = F.xxhash64(alike, "size_class", F.pmod(F.xxhash64(by), F.coalesce("parts", F.lit(1))))
+    return dealt.withColumn("group", group).drop("size_class", "parts", "salt")
 
 
 def _named(postings: DataFrame) -> DataFrame:
