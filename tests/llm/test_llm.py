@@ -118,6 +118,17 @@ def test_decontamination(spark, empty):
     assert decontam.matches(empty, bench).count() == 0 and decontam.matches(own, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_many_blocks(spark):
+    items = [" ".join(random.Random(i).choices(PROSE.split(), k=20)) for i in range(4)]
+    own = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(items)] + [(8, None), (9, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items[1:])), "item_id long, text string")
+    one = decontam.without_leaks(own, bench)
+    assert len(list(decontam.blocks(bench, 10, 10))) == 3
+    many = decontam.without_leaks(own, bench, block_bytes=10)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect())) and many.columns == own.columns == own.schema.names
+    assert {r.doc_id for r in many.collect()} == {0, 8, 9}
+
+
 def test_alignment_equals_brute_force():
     rng = random.Random(1)
     for _ in range(40):

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendloom.llm.base import query, table
 from trendloom.llm.byteops import buffers, gram_hashes
@@ -266,11 +267,12 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no passage of an item; rows need no id for it."""
     names = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("_leak", T.BooleanType())])  # add() would change docs.schema
     out = docs.withColumn("_leak", F.lit(False))
     for block in blocks(benchmark, q, block_bytes):
         text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
         given = out.select(text.alias("_bytes"), F.col("_leak").alias("_before"), *names)
-        out = given.mapInArrow(_marker(block, q, rate, piece, names), docs.schema.add("_leak", "boolean"))
+        out = given.mapInArrow(_marker(block, q, rate, piece, names), schema)
     return out.filter(~F.col("_leak")).select(*names)
 
 
