@@ -89,6 +89,33 @@ def test_secret_scan_and_ledger(table, docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_private_keys_are_masked_whole(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choices("ABCxyz059+/", k=64)) for _ in range(400)] + ["Qm9k+w=="]
+    mark = "-----{} RSA PRIVATE KEY-----".format
+    begin, end, body = mark("BEGIN"), mark("END"), "\n".join(lines)
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    cases = {
+        f"{begin}\n{body}\n{end}": "",
+        f"{begin}\r\n{head}{body}\r\n{end}": "",
+        "\\n".join([begin, *lines, end]): "",
+        " ".join([begin, *lines, end]): "",
+        f"{begin}\n{body}": "",
+        f"{begin}\n{head}{body}\n\nmore words of prose": "\n\nmore words of prose",
+        "\\n".join([begin, *lines]): "",
+        "".join([begin, *lines[:2]]): "",
+        f"{begin}\n{body}\n{mark('BEGIN')}\n{body}\n{end}": "\n[secret]",
+        "-----BEGIN PRIVATE KEY----- is how such files start": " is how such files start",
+    }
+    rows = [(i, f"é see {t}") for i, t in enumerate(cases)] + [(90, f"a {begin}\n{body}\n{end} b")]
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in secrets.redact(own, secrets.scan(own)).collect()}
+    assert [masked[i] for i in range(len(cases))] == [f"é see [secret]{rest}" for rest in cases.values()]
+    assert masked[90] == "a [secret] b"
+    old = secrets.scan(own).withColumn("version", secrets.F.lit(1))
+    assert {r.rule for r in secrets.scan(own, old).collect()} == {"private_key"}
+
+
 def test_quality_statistics_and_rules(spark, table, docs, empty):
     got = quality.with_stats(table).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -6,7 +6,9 @@ only pairs the ledger lacks, once per blob however many paths hold it, and joins
 back to all paths. Raising the version of a rule scans it again, and it alone.
 
 Base rules find assignments, access keys and long hex runs; the further rules know token forms
-that carry their own prefix. Spans are in code points, end exclusive.
+that carry their own prefix. A private key runs from its BEGIN line through the matching END line;
+where that is missing, through its headers and the last of the base64 lines that follow, line
+breaks being real or escaped. Spans are in code points, end exclusive.
 
 Edge cases: null text is empty and has no findings but a row in the ledger; repeated rows are
 paths of one blob; an empty table gives an empty ledger; other columns stay out of the result.
@@ -41,9 +43,17 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 18, hint=r"AKIA[A-Z0-9]{14}"),
     Rule("hex", r"[0-9a-f]{16,}", 16),
 )
+# Loops are possessive: Java walks those without recursion, and bodies have any length.
+KEY_NAME = r"((?:(?!PRIVATE\x20KEY-)[A-Z]++\x20)*+)PRIVATE\x20KEY-----"
+KEY_BREAK = r"(?:[\x20\t\"',;+]*+(?:\\r)?+(?:\r\n?+|\n|\\n)[\x20\t>#*\"'+]*+)++"
+KEY_LINE = r"[A-Za-z0-9+/]++={0,2}+(?=[\x20\t\"',;+]*+(?:[\r\n\\]|\z))"
+KEY_LONG = r"[A-Za-z0-9+/]{40,}+={0,2}+"
+KEY_HEADER = r"[A-Z][A-Za-z0-9]*+-[A-Za-z0-9-]++:[^\r\n\\]*+"
+KEY_CUT = rf"(?:{KEY_BREAK}{KEY_HEADER})*+(?:{KEY_BREAK}(?:{KEY_LONG}|{KEY_LINE})|[\x20\t]*+{KEY_LONG}(?:[\x20\t]++{KEY_LINE})?+)*+"
+PRIVATE_KEY = rf"-----BEGIN\x20{KEY_NAME}(?:(?:[^-]++|-(?!----))*+-----END\x20\1PRIVATE\x20KEY-----|{KEY_CUT})"
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", hint="-----BEGIN "),
+    Rule("private_key", PRIVATE_KEY, hint="-----BEGIN ", version=2),
     Rule("git_token", r"\bgh[opsur]_[A-Za-z0-9]{36,255}", hint="gh[opsur]_"),
     Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint=r"\.eyJ"),
 )
