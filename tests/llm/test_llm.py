@@ -241,6 +241,36 @@ def test_encoders_equal_the_libraries():
     assert one._short(list(PROSE), 5) == one._long(list(PROSE), 5)
 
 
+def test_every_occurrence_is_drawn_by_itself(spark):
+    path = records.tokenizer_path("piece_bpe_32k.model")
+    word = "internationalization"
+    own = spark.createDataFrame([(i, word) for i in range(100)] + [(5, word)], "doc_id long, text string")
+    rows = [(r.doc_id, tuple(r.piece_ids)) for r in pieces.encode(own, path, dropout=0.3).collect()]
+    assert len({ids for _, ids in rows}) > 30 and len(set(rows)) == 100
+    merger = pieces.Merger(path, 0.3, 1, 1000)
+    once = {merger.encode(word, turn) for turn in range(200)}
+    text = " ".join([word] * 200)
+    merger = pieces.Merger(path, 0.3, 1, 1000)
+    merger.encode(text, 7)
+    inside = {merger.node_ids[n] for n, s in enumerate(merger.node_segment) if s == "▁" + word}
+    assert len(once) > 50 and len(inside) > 50
+    assert merger.decode(np.frombuffer(merger.encode(text, 7), "<u4")) == text
+
+
+def test_kept_nodes_equal_plain_draws():
+    """Every text against a run over its segments one by one, with nothing kept."""
+    merger = pieces.Merger(records.tokenizer_path("piece_bpe_32k.model"), 0.2, 3)
+    texts = [PROSE * 3, "short words, internationalization; a\n\nb  c ▁ d\0e " + "x" * 90 + " end", "日本 語 é̀ 123", ""]
+    for turn, text in enumerate(texts * 2):
+        place, plain = 0, b""
+        for node in merger._segments(text):
+            segment = merger.node_segment[node]
+            key = (pieces._mix((turn ^ (3 * pieces.SEED)) & pieces.MASK) + place * pieces.PLACE) & pieces.MASK
+            plain += merger._bytes(merger._long(list(segment), key)) if segment else merger.blank
+            place += len(segment) or 1
+        assert merger.encode(text, turn) == plain
+
+
 def test_pieces_over_a_table(table, docs, empty):
     path = records.tokenizer_path("piece_bpe_32k.model")
     got = pieces.encode(table, path)

@@ -1,13 +1,14 @@
 """SentencePiece encoding with seeded merge dropout, and its decoding without loss.
 
 Encoding is the BPE of the model: the adjacent pair whose union has the best score merges first,
-the leftmost of equals. With dropout, a hash of (seed, variant, segment, place, merged piece)
-decides for each candidate whether it is skipped when the agenda comes to it, so a seed always
-gives the same ids and another seed or variant other ids of the same text. Texts take turns over
-``variants`` by a hash of their id. No dropout gives the ids of the library.
+the leftmost of equals. With dropout, a hash of (seed, id of the text, place in the text, merged
+piece) decides for each candidate whether it is skipped when the agenda comes to it, so a seed
+always gives the same ids, and each occurrence of a word is drawn by itself, in other texts and in
+the same one. A text without an id is drawn by its content. No dropout gives the ids of the library.
 
 Merges cannot cross two neighbouring characters that no piece has side by side; texts are cut
-there into segments, whose ids each worker keeps, a bounded number. A character outside the
+there into segments. Each worker keeps, a bounded number, which merges and ids follow from which
+skips in a segment; the skips themselves are drawn anew for every occurrence. A character outside the
 vocabulary, and the mark that stands for a blank when a text holds it itself, becomes its bytes.
 
 Edge cases: null text is empty and has no ids; empty tables give an empty result; repeated rows
@@ -17,9 +18,9 @@ are encoded alike; other columns stay as they are (``encode`` replaces columns o
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,55 @@ BLANK = "▁"
 CACHE = 400_000
 SHORT = 40
 NEVER = 1 << 60
+MASK = (1 << 64) - 1
+PLACE, RANK, SEED = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x2545F4914F6CDD1D
+MARK = ""  # stands for a blank's own mark among segments, none of which is empty
+SLICE = 1 << 18
 WORD = re.compile(" *\n| *[^ \n]+| +")
 
 
+def _mix(x: int) -> int:
+    """64 well mixed bits of 64 bits; ``_mixed`` does the same to an array, in place."""
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+    return x ^ (x >> 31)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class Growing:
+    """An array that grows at its end, by doubling."""
+
+    def __init__(self, kind: str):
+        self.room, self.size = np.zeros(1024, kind), 0
+
+    def get(self) -> np.ndarray:
+        return self.room[: self.size]
+
+    def add(self, more) -> None:
+        end = self.size + len(more)
+        if end > len(self.room):
+            self.room = np.concatenate([self.get(), np.zeros(2 * end - self.size, self.room.dtype)])
+        self.room[self.size : end] = more
+        self.size = end
+
+
 class Merger:
-    def __init__(self, path: str, dropout: float, seed: int, variants: int):
+    """Encodes texts under the draws of their own keys.
+
+    What is kept does not depend on a draw: a node is a segment and a set of candidates skipped in
+    it, with the merges that follow as long as nothing more is skipped, and their ids. ``room`` is
+    the number of nodes, and of words, to keep.
+    """
+
+    def __init__(self, path: str, dropout: float, seed: int, room: int = CACHE):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -59,35 +104,48 @@ class Merger:
         for b, i in enumerate(self.bytes):
             self.text[i] = bytes([b])
         self.blank = np.array([self.bytes[b] for b in BLANK.encode()], "<u4").tobytes()
-        self.limit, self.seed = int(dropout * (1 << 32)), seed
-        self.words: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.segments: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.limit, self.seed, self.room = int(dropout * (1 << 32)), seed, room
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, list[int]] = {}
+        self.segments: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        self.node_segment: list[str] = []
+        self.node_skipped: list[tuple[int, ...]] = []
+        self.node_ids: list[bytes] = []
+        self.merges: list[int] = []  # of the nodes that the arrays lack, as place << 32 | rank
+        self.n_merges: list[int] = []
+        self.lengths, self.ends = Growing("i8"), Growing("i8")
+        self.ends.add([0])
+        self.packed, self.ats, self.ranked = Growing("u8"), Growing("u8"), Growing("u8")
 
-    def _rank(self, left: str, right: str, at: int, key: int) -> int:
-        """The rank of a candidate merge; NEVER if there is none or if its hash skips it."""
+    def _rank(self, left: str, right: str, at: int, key: int, skipped: Collection | None = None) -> int:
+        """The rank of a candidate merge; NEVER if there is none or if it is skipped: one of
+        ``skipped`` if that is given, or else by its hash."""
         rank = self.ranks.get(left + right)
         if rank is None:
             return NEVER
-        if self.limit:
-            x = (key ^ (rank * 0x9E3779B1) ^ (at * 0x85EBCA6B)) & 0xFFFFFFFF
-            x = ((x ^ (x >> 16)) * 0x7FEB352D) & 0xFFFFFFFF
-            x = ((x ^ (x >> 15)) * 0x846CA68B) & 0xFFFFFFFF
-            if x ^ (x >> 16) < self.limit:
-                return NEVER
+        if skipped is not None:
+            return NEVER if at << 32 | rank in skipped else rank
+        if self.limit and _mix(((key + at * PLACE) & MASK) ^ ((rank * RANK) & MASK)) >> 32 < self.limit:
+            return NEVER
         return rank
 
-    def _short(self, parts: list[str], key: int) -> list[str]:
+    def _short(self, parts: list[str], key: int, skipped: Collection | None = None, merges: list | None = None) -> list[str]:
         at = list(range(len(parts)))
-        ranks = [self._rank(a, b, i, key) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
+        ranks = [self._rank(a, b, i, key, skipped) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
         while ranks and (best := min(ranks)) < NEVER:
             i = ranks.index(best)
+            if merges is not None:
+                merges.append(at[i] << 32 | best)
             parts[i] += parts.pop(i + 1)
             at.pop(i + 1)
             ranks.pop(i)
             if i < len(ranks):
-                ranks[i] = self._rank(parts[i], parts[i + 1], at[i], key)
+                ranks[i] = self._rank(parts[i], parts[i + 1], at[i], key, skipped)
             if i:
-                ranks[i - 1] = self._rank(parts[i - 1], parts[i], at[i - 1], key)
+                ranks[i - 1] = self._rank(parts[i - 1], parts[i], at[i - 1], key, skipped)
         return parts
 
     def _long(self, parts: list[str], key: int) -> list[str]:
@@ -112,72 +170,161 @@ class Merger:
                 heappush(agenda, (r, h, parts[h] + union))
         return [p for p in parts if p]
 
-    def _segment(self, segment: str, variant: int) -> bytes:
-        key = zlib.crc32(segment.encode("utf-8", "surrogatepass"), (self.seed * 0x9E3779B1 + variant) & 0xFFFFFFFF)
-        merge = self._short if len(segment) <= SHORT else self._long
+    def _bytes(self, parts: list[str]) -> bytes:
         out = []
-        for part in merge(list(segment), key):
+        for part in parts:
             i = self.ids.get(part)
             out += [i] if i is not None else [self.bytes[b] for b in part.encode()]
         return np.array(out, "<u4").tobytes()
 
-    def _word(self, word: str, variant: int) -> bytes:
-        """Cut where no piece can reach across."""
-        known, pairs, out, start = self.segments[variant], self.pairs, [], 0
+    def _node(self, segment: str, skipped: tuple[int, ...]) -> int:
+        merges: list[int] = []
+        if segment == MARK:
+            ids = self.blank
+        elif len(segment) > SHORT:
+            ids = b""  # drawn anew for each place
+        else:
+            ids = self._bytes(self._short(list(segment), 0, skipped, merges))
+        self.node_segment.append(segment)
+        self.node_skipped.append(skipped)
+        self.merges += merges
+        self.n_merges.append(len(merges))
+        self.node_ids.append(ids)
+        return len(self.node_ids) - 1
+
+    def _arrays(self) -> None:
+        """Bring the arrays up to the nodes, all new ones at once."""
+        if not self.n_merges:
+            return
+        packed = np.array(self.merges, np.uint64)
+        self.lengths.add([len(x) for x in self.node_segment[len(self.lengths.get()) :]])
+        self.ends.add(self.ends.get()[-1] + np.cumsum(self.n_merges))
+        self.packed.add(packed)
+        self.ats.add((packed >> np.uint64(32)) * np.uint64(PLACE))
+        self.ranked.add((packed & np.uint64((1 << 32) - 1)) * np.uint64(RANK))
+        self.merges, self.n_merges = [], []
+
+    def _word(self, word: str) -> list[int]:
+        """The nodes of a word's segments, cut where no piece can reach across."""
+        known, pairs, out, start = self.segments, self.pairs, [], 0
         for i in range(1, len(word) + 1):
             if i == len(word) or word[i - 1 : i + 1] not in pairs:
                 part = word[start:i]
-                ids = known.get(part)
-                if ids is None:
-                    if len(known) > CACHE:
-                        known.clear()
-                    ids = known[part] = self._segment(part, variant)
-                out.append(ids)
+                node = known.get(part)
+                if node is None:
+                    node = known[part] = self._node(part, ())
+                out.append(node)
                 start = i
-        return b"".join(out)
+        return out
 
-    def _plain(self, text: str, variant: int) -> bytes:
-        """Ids of a text without the blank's own mark; a blank goes before it.
+    def _plain(self, text: str) -> list[int]:
+        """Segments of a text without the blank's own mark; a blank goes before it.
 
         A key is a word without the blank before it, a line feed with what follows directly, or
         zero and a word with all its blanks.
         """
-        known = self.words[variant]
+        known = self.words
         words = text.replace("\n", " \n").split(" ")
         if "" in words:
             words = ["\0" + x for x in WORD.findall(" " + text)]
-        out = []
+        out: list[int] = []
         for word in words:
-            ids = known.get(word)
-            if ids is None:
-                if len(known) > CACHE:
-                    known.clear()
+            own = known.get(word)
+            if own is None:
                 real = word if word[0] == "\n" else word[1:] if word[0] == "\0" else " " + word
-                ids = known[word] = self._word(real.replace(" ", BLANK), variant)
-            out.append(ids)
-        return b"".join(out)
+                own = known[word] = self._word(real.replace(" ", BLANK))
+            out += own
+        return out
 
-    def encode(self, text: str, variant: int) -> bytes:
+    def _segments(self, text: str) -> list[int]:
         if not text:
-            return b""
-        if "\0" in text or BLANK in text:
-            parts = [self._word(p.replace(" ", BLANK), variant) for p in (" " + text).split(BLANK)]
-            return self.blank.join(parts)
-        return self._plain(text, variant)
+            return []
+        if "\0" not in text and BLANK not in text:
+            return self._plain(text)
+        out: list[int] = []
+        for i, part in enumerate((" " + text).split(BLANK)):
+            if i:
+                if MARK not in self.segments:
+                    self.segments[MARK] = self._node(MARK, ())
+                out.append(self.segments[MARK])
+            out += self._word(part.replace(" ", BLANK))
+        return out
+
+    def _draw(self, nodes: np.ndarray, keys: np.ndarray) -> None:
+        """Move each segment from node to node until none of the merges there is skipped.
+
+        ``keys`` are those of the segments' places, so every occurrence is drawn by itself.
+        """
+        live = np.arange(len(nodes))
+        while len(live):
+            self._arrays()
+            ends, packed = self.ends.get(), self.packed.get()
+            first = ends[nodes[live]]
+            many = ends[nodes[live] + 1] - first
+            begin = np.cumsum(many) - many
+            entry = np.repeat(first - begin, many) + np.arange(int(many.sum()))
+            owner = np.repeat(np.arange(len(live)), many)
+            bits = keys[live][owner]
+            bits += self.ats.get()[entry]
+            bits ^= self.ranked.get()[entry]
+            skips = np.flatnonzero(_mixed(bits) >> np.uint64(32) < np.uint64(self.limit))
+            own = owner[skips]
+            lead = np.ones(len(own), bool)
+            lead[1:] = own[1:] != own[:-1]
+            skips, own = skips[lead], own[lead]  # the first merge that each segment skips
+            children, moved = self.children, []
+            steps = skips - begin[own]
+            for node, step, merge in zip(nodes[live[own]].tolist(), steps.tolist(), packed[entry[skips]].tolist(), strict=True):
+                child = children.get(node * SHORT + step)
+                if child is None:
+                    skipped = (*self.node_skipped[node], merge)
+                    child = children[node * SHORT + step] = self._node(self.node_segment[node], skipped)
+                moved.append(child)
+            live = live[own]
+            nodes[live] = moved
+
+    def encode_all(self, texts: list[str], turns: list[int]) -> list[bytes]:
+        """The ids of each text under the draws of its key."""
+        if len(self.node_ids) > self.room or len(self.words) > self.room:
+            self._forget()
+        parts = [self._segments(t) for t in texts]
+        ends = np.cumsum([0, *map(len, parts)])
+        nodes = np.fromiter(chain.from_iterable(parts), np.int64, int(ends[-1]))
+        self._arrays()
+        lengths = self.lengths.get()[nodes]
+        if MARK in self.segments:
+            lengths[nodes == self.segments[MARK]] = 1
+        places = np.cumsum(lengths) - lengths
+        start = np.concatenate([places, [0]])[ends[:-1]]
+        places -= np.repeat(start, np.diff(ends))
+        bases = np.array([_mix((t ^ (self.seed * SEED)) & MASK) for t in turns], np.uint64)
+        keys = np.repeat(bases, np.diff(ends)) + places.astype(np.uint64) * np.uint64(PLACE)
+        long = np.flatnonzero(lengths > SHORT).tolist()
+        drawn = [self._bytes(self._long(list(self.node_segment[nodes[i]]), int(keys[i]))) for i in long]
+        if self.limit:
+            for at in range(0, len(nodes), SLICE):
+                self._draw(nodes[at : at + SLICE], keys[at : at + SLICE])
+        out = list(map(self.node_ids.__getitem__, nodes.tolist()))
+        for i, ids in zip(long, drawn, strict=True):
+            out[i] = ids
+        return [b"".join(out[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def encode(self, text: str, turn: int) -> bytes:
+        return self.encode_all([text], [turn])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         own = self.text
         return b"".join([own[i] for i in ids.tolist()])[1:].decode()
 
 
-def _encoder(path: str, dropout: float, seed: int, variants: int, names: list[str]):
+def _encoder(path: str, dropout: float, seed: int, names: list[str]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = kept(("pieces", path, dropout, seed, variants), lambda: Merger(path, dropout, seed, variants))
+        merger = kept(("pieces", path, dropout, seed), lambda: Merger(path, dropout, seed))
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                text, turn = part.column(0).to_pylist(), part.column(1).to_pylist()
-                ids = [np.frombuffer(merger.encode(t or "", v), "<u4").astype("<i4") for t, v in zip(text, turn, strict=True)]
+                text = [t or "" for t in part.column(0).to_pylist()]
+                ids = [np.frombuffer(x, "<u4").astype("<i4") for x in merger.encode_all(text, part.column(1).to_pylist())]
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
                 flat = np.concatenate([*ids, np.zeros(0, "<i4")])
                 lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))
@@ -187,15 +334,13 @@ def _encoder(path: str, dropout: float, seed: int, variants: int, names: list[st
     return encode
 
 
-def encode(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, key: str = "doc_id"
-) -> DataFrame:
+def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0, key: str = "doc_id") -> DataFrame:
     """``docs`` with ``piece_ids`` and ``decoded``, the text that the ids give back."""
     kept_columns = [c for c in docs.columns if c not in ("piece_ids", "decoded")]
-    turn = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(variants)).cast("int")
-    given = docs.select(F.col("text").alias("_text"), turn.alias("_variant"), *kept_columns)
-    fields = given.drop("_text", "_variant").schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    return given.mapInArrow(_encoder(model, dropout, seed, variants, kept_columns), fields)
+    turn = F.xxhash64(F.col(key), F.when(F.col(key).isNull(), F.col("text")))
+    given = docs.select(F.col("text").alias("_text"), turn.alias("_turn"), *kept_columns)
+    fields = given.drop("_text", "_turn").schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    return given.mapInArrow(_encoder(model, dropout, seed, kept_columns), fields)
 
 
 def digest(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
