@@ -241,6 +241,17 @@ def test_encoders_equal_the_libraries():
     assert one._short(list(PROSE), 5) == one._long(list(PROSE), 5)
 
 
+def test_added_tokens_in_texts_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path = records.tokenizer_path("byte_bpe_50k.json")
+    encoder, plain = records.Encoder(path), Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny", "one two", "<|endoftext", "a |endoftext|> b"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)]
+    assert got == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert got[1] == [50256] and 50256 in got[0] and 50256 not in got[4] + got[5]
+
+
 def test_every_occurrence_is_drawn_by_itself(spark):
     path = records.tokenizer_path("piece_bpe_32k.model")
     word = "internationalization"

@@ -71,7 +71,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]  # one id each, as the library gives it
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.chunks: dict[str, bytes] = {}
 
@@ -92,7 +92,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut: list[list[str] | None] = []
         for text in texts:
-            if "\0" in text or OTHER_SPACE.search(text):
+            if "\0" in text or OTHER_SPACE.search(text) or any(t in text for t in self.added):
                 cut.append(None)
                 continue
             pieces = text.replace("\n", " \n").split(" ")
