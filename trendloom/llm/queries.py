@@ -1,9 +1,11 @@
 """All queries of this subpackage."""
 
-from trendloom.llm import chat, decontam, jaccard, langid, maxent, pieces, quality, records, secrets, suffixes
+from trendloom.llm import (
+    centroids, chat, decontam, jaccard, langid, maxent, merkle, pieces, quality, records, secrets, suffixes,
+)
 from trendloom.llm.base import ORACLES, QUERIES
 
 __all__ = [
-    "ORACLES", "QUERIES", "chat", "decontam", "jaccard", "langid", "maxent", "pieces", "quality", "records",
-    "secrets", "suffixes",
+    "ORACLES", "QUERIES", "centroids", "chat", "decontam", "jaccard", "langid", "maxent", "merkle", "pieces", "quality",
+    "records", "secrets", "suffixes",
 ]
