@@ -5,10 +5,10 @@ A text is the mean of the vectors of all its features: every word, every pair of
 and the blanks around it. A softmax over that mean gives the class. Vectors, softmax and all are
 learned by stochastic gradient descent in numpy.
 
-Training: at most ``max_labelled`` labelled texts (the first by hash of the id) are dealt over
-``shards`` by hash. Each round every shard descends through its own texts, one after another, from
-the same vectors, and the results are averaged; shards are streamed, so none is ever held. What the
-driver sees is the vectors: ``shards`` times ``2^bits`` times ``dims`` numbers.
+Training: at most ``max_labelled`` labelled texts (the first by hash of the id) are dealt by hash
+over shards of about ``per_shard``. Each round every shard descends through its own texts, one after
+another, from the same vectors, and the results are averaged; shards are streamed, so none is ever
+held. What the driver sees is the vectors: ``2^bits`` times ``dims`` numbers a shard.
 
 Scoring: a feature adds its vector's product with the softmax, one number per class, so a text needs
 no vectors; the numbers are whole, in units of 2^-24, and their sums do not depend on how rows are
@@ -35,7 +35,7 @@ from trendloom.llm.base import free, query, store, table
 LONGEST = 5
 PIECE = 1 << 17
 UNIT = float(1 << 24)
-VECTOR_RATE, BIAS_RATE = 30.0, 0.1
+VECTOR_RATE, BIAS_RATE = 100.0, 0.1
 BLANKS = bytes.maketrans(b"\x09\x0a\x0b\x0c\x0d", b" " * 5)
 STEP, MIX, PAIR, REPEAT = (np.uint64(x) for x in (0x100000001B3, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -238,16 +238,17 @@ def fit(
     max_labelled: int = 20_000,
     bits: int = 16,
     dims: int = 8,
-    shards: int = 8,
-    rounds: int = 4,
+    per_shard: int = 2_500,
+    rounds: int = 5,
     rate: float = 1.0,
 ) -> Model:
     """A model of the labelled texts of ``docs``; rows not to learn from are to be left out before."""
-    sample = labelled(docs, labels, label, classes, max_labelled).withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "order"), F.lit(shards)).cast("int"))
-    sample = store(sample.select("shard", "own", "text", "order"), "labelled")
+    sample = store(labelled(docs, labels, label, classes, max_labelled), "labelled")
     found = {r["own"]: r["n"] for r in sample.groupBy("own").agg(F.count("*").alias("n")).collect()}
     model = start(tuple(classes), [found.get(i, 0) for i in range(len(classes))], bits, dims)
-    dealt = sample.repartition(shards, "shard").sortWithinPartitions("shard", "order", F.xxhash64("text")).select("shard", "own", "text")
+    shards = max(1, sum(found.values()) // per_shard)
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "order"), F.lit(shards)).cast("int")
+    dealt = sample.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "order", F.xxhash64("text")).select("shard", "own", "text")
     schema = "shard int, vectors binary, weights binary, bias binary"
     for k in range(rounds):
         got = dealt.mapInArrow(_shard_passes(model, bits, rate * (1 - k / rounds)), schema).collect()  # a row per shard
