@@ -229,16 +229,15 @@ def test_encoders_equal_the_libraries():
     got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(ODD)]
     assert got == [plain.encode(x, add_special_tokens=False).ids for x in ODD]
     path = records.tokenizer_path("piece_bpe_32k.model")
-    merger, library = pieces.Merger(path, 0, 0, 1), sentencepiece.SentencePieceProcessor(model_file=path)
-    for text in ODD:
+    merger, library = pieces.Merger(path, 0, 0), sentencepiece.SentencePieceProcessor(model_file=path)
+    for text in [*ODD, PROSE]:
         if "▁" not in text and "\0" not in text:
-            assert np.frombuffer(merger.encode(text, 0), "<u4").tolist() == library.encode(text)
-    one, other = pieces.Merger(path, 0.3, 1, 2), pieces.Merger(path, 0.3, 2, 2)
+            assert merger.encode(text, 0) == library.encode(text)
+    one, other = pieces.Merger(path, 0.3, 1), pieces.Merger(path, 0.3, 2)
     for text in [*ODD, PROSE]:
         for m in (merger, one, other):
-            assert m.decode(np.frombuffer(m.encode(text, 0), "<u4")) == text
-    assert len({one.encode(PROSE, 0), one.encode(PROSE, 1), other.encode(PROSE, 0), merger.encode(PROSE, 0)}) == 4
-    assert one._short(list(PROSE), 5) == one._long(list(PROSE), 5)
+            assert m.decode(m.encode(text, 0)) == text
+    assert len({tuple(x) for x in (one.encode(PROSE, 0), one.encode(PROSE, 1), other.encode(PROSE, 0), merger.encode(PROSE, 0))}) == 4
 
 
 def test_added_tokens_in_texts_equal_the_library():
@@ -258,28 +257,47 @@ def test_every_occurrence_is_drawn_by_itself(spark):
     own = spark.createDataFrame([(i, word) for i in range(100)] + [(5, word)], "doc_id long, text string")
     rows = [(r.doc_id, tuple(r.piece_ids)) for r in pieces.encode(own, path, dropout=0.3).collect()]
     assert len({ids for _, ids in rows}) > 30 and len(set(rows)) == 100
-    merger = pieces.Merger(path, 0.3, 1, 1000)
-    once = {merger.encode(word, turn) for turn in range(200)}
+    merger = pieces.Merger(path, 0.3, 1)
+    once = {tuple(merger.encode(word, turn)) for turn in range(200)}
     text = " ".join([word] * 200)
-    merger = pieces.Merger(path, 0.3, 1, 1000)
-    merger.encode(text, 7)
-    inside = {merger.node_ids[n] for n, s in enumerate(merger.node_segment) if s == "▁" + word}
-    assert len(once) > 50 and len(inside) > 50
-    assert merger.decode(np.frombuffer(merger.encode(text, 7), "<u4")) == text
-
-
-def test_kept_nodes_equal_plain_draws():
-    """Every text against a run over its segments one by one, with nothing kept."""
-    merger = pieces.Merger(records.tokenizer_path("piece_bpe_32k.model"), 0.2, 3)
-    texts = [PROSE * 3, "short words, internationalization; a\n\nb  c ▁ d\0e " + "x" * 90 + " end", "日本 語 é̀ 123", ""]
-    for turn, text in enumerate(texts * 2):
-        place, plain = 0, b""
-        for node in merger._segments(text):
-            segment = merger.node_segment[node]
-            key = (pieces._mix((turn ^ (3 * pieces.SEED)) & pieces.MASK) + place * pieces.PLACE) & pieces.MASK
-            plain += merger._bytes(merger._long(list(segment), key)) if segment else merger.blank
-            place += len(segment) or 1
-        assert merger.encode(text, turn) == plain
+    ids = merger.encode(text, 7)
+    cuts = [i for i, piece in enumerate(ids) if merger.text[piece][:1] == b" "] + [len(ids)]
+    inside = {tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:])}
+    assert len(once) > 50 and len(inside) > 50 and merger.decode(ids) == text
+
+
+def plain_merges(merger, text, turn):
+    """The agenda of a whole text as strings, one candidate after another."""
+    names = {i: s for s, i in merger.symbols.items()}
+    rank = {names[i]: int(r) for i, r in enumerate(merger.rank_of) if r < pieces.NEVER and i in names}
+    base = pieces._mix((turn ^ (merger.seed * pieces.SEED)) & pieces.MASK)
+    parts = [(i, "▁" if c == " " else "\ue000" if c == "▁" else c) for i, c in enumerate(" " + text)] if text else []
+
+    def worth(k):
+        r = rank.get(parts[k][1] + parts[k + 1][1], int(pieces.NEVER))
+        draw = pieces._mix(((base + parts[k][0] * pieces.PLACE) & pieces.MASK) ^ ((r * pieces.RANK) & pieces.MASK)) >> 32
+        return pieces.NEVER if draw < merger.limit else r
+
+    while len(parts) > 1:
+        best, k = min((worth(k), k) for k in range(len(parts) - 1))
+        if best == pieces.NEVER:
+            break
+        parts[k : k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+    out = []
+    for _, part in parts:
+        own = merger.symbols.get(part, merger.size)
+        out += [own] if own < merger.size else [merger.bytes[b] for b in part.replace("\ue000", "▁").encode()]
+    return out
+
+
+@pytest.mark.parametrize("room", [1 << 18, 30])
+def test_draws_equal_a_plain_agenda(monkeypatch, room):
+    monkeypatch.setattr(pieces, "ROOM", room * 60 if room < 100 else room)
+    texts = [PROSE * 2, "short words, internationalization; a\n\nb  c ▁ d\0e " + "x" * 90 + " end", "日本 語 é̀ 123", "", *ODD]
+    for dropout in (0, 0.2, 1):
+        merger = pieces.Merger(records.tokenizer_path("piece_bpe_32k.model"), dropout, 3)
+        got = merger.encode_all(texts * 2, list(range(2 * len(texts))))
+        assert [g.tolist() for g in got] == [plain_merges(merger, t, turn) for turn, t in enumerate(texts * 2)]
 
 
 def test_pieces_over_a_table(table, docs, empty):

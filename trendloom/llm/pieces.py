@@ -7,9 +7,11 @@ always gives the same ids, and each occurrence of a word is drawn by itself, in
 the same one. A text without an id is drawn by its content. No dropout gives the ids of the library.
 
 Merges cannot cross two neighbouring characters that no piece has side by side; texts are cut
-there into segments. Each worker keeps, a bounded number, which merges and ids follow from which
-skips in a segment; the skips themselves are drawn anew for every occurrence. A character outside the
-vocabulary, and the mark that stands for a blank when a text holds it itself, becomes its bytes.
+there into segments. The agendas of all segments of some texts advance together, as the rows of a
+matrix: each step takes the best candidate of every row, merges it and looks up its two new
+neighbours, until no row has one left. Nothing is kept from text to text but the model's tables.
+Segments above ``SHORT`` characters have agendas of their own. A character outside the vocabulary,
+and the mark that stands for a blank when a text holds it itself, becomes its bytes.
 
 Edge cases: null text is empty and has no ids; empty tables give an empty result; repeated rows
 are encoded alike; other columns stay as they are (``encode`` replaces columns of its own names).
@@ -17,10 +19,8 @@ are encoded alike; other columns stay as they are (``encode`` replaces columns o
 
 from __future__ import annotations
 
-import re
-from collections.abc import Collection, Iterator
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +28,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.base import query, table
+from trendloom.llm.base import free, query, table
 from trendloom.llm.records import tokenizer_path
 from trendloom.llm.worker import kept
 
 BLANK = "▁"
-CACHE = 400_000
 SHORT = 40
-NEVER = 1 << 60
+WIDTHS = (4, 6, 8, 12, 20, SHORT)
+NEVER = np.int32(1 << 30)
 MASK = (1 << 64) - 1
 PLACE, RANK, SEED = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x2545F4914F6CDD1D
-MARK = ""  # stands for a blank's own mark among segments, none of which is empty
-SLICE = 1 << 18
-WORD = re.compile(" *\n| *[^ \n]+| +")
+ROOM = 1 << 18
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(x: int) -> int:
@@ -59,262 +58,269 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Growing:
-    """An array that grows at its end, by doubling."""
-
-    def __init__(self, kind: str):
-        self.room, self.size = np.zeros(1024, kind), 0
-
-    def get(self) -> np.ndarray:
-        return self.room[: self.size]
-
-    def add(self, more) -> None:
-        end = self.size + len(more)
-        if end > len(self.room):
-            self.room = np.concatenate([self.get(), np.zeros(2 * end - self.size, self.room.dtype)])
-        self.room[self.size : end] = more
-        self.size = end
+class Pairs:
+    """Looks up pairs of numbers below 2^21, many at a time: an open table with linear probes."""
+
+    def __init__(self, known: dict[int, int]):
+        """``known``: the first number times 2^21 and the second, to a value."""
+        size = max(4, (4 * len(known)).bit_length())
+        self.shift, self.last = np.uint64(64 - size), (1 << size) - 1
+        self.keys, self.values = np.full(1 << size, -1, np.int64), np.full(1 << size, -1, np.int32)
+        keys = np.array(list(known), np.int64)
+        values = np.array(list(known.values()), np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free_slots = self.keys[slot] < 0
+            _, first = np.unique(np.where(free_slots, slot, -1 - np.arange(len(slot))), return_index=True)
+            first = first[free_slots[first]]
+            self.keys[slot[first]], self.values[slot[first]] = keys[first], values[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values, slot = keys[left], values[left], (slot[left] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The value of each pair, -1 where there is none; negative numbers are in no pair."""
+        keys = left.astype(np.int64) << 21 | right
+        keys[(left < 0) | (right < 0)] = -2
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], np.int32(-1))
+        open_ = np.flatnonzero((there != keys) & (there >= 0) & (keys >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.last
+            there = self.keys[slot[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
 
 
 class Merger:
     """Encodes texts under the draws of their own keys.
 
-    What is kept does not depend on a draw: a node is a segment and a set of candidates skipped in
-    it, with the merges that follow as long as nothing more is skipped, and their ids. ``room`` is
-    the number of nodes, and of words, to keep.
+    A symbol is the number of a piece, from ``size`` on a character that pieces hold but that is
+    none itself, or below zero a character that no piece holds.
     """
 
-    def __init__(self, path: str, dropout: float, seed: int, room: int = CACHE):
+    def __init__(self, path: str, dropout: float, seed: int):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = len(model)
         names = [model.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        self.ids = {names[i]: i for i in plain}
-        by_score = sorted((i for i in plain if len(names[i]) > 1), key=lambda i: (-model.get_score(i), i))
-        scores = sorted({-model.get_score(i) for i in by_score})
+        symbols = {names[i]: i for i in plain}
+        inside = sorted({c for i in plain for c in names[i]}.difference(symbols))
+        symbols |= {c: size + k for k, c in enumerate(inside)}
+        self.size, self.symbols = size, symbols
+        scores = sorted({-model.get_score(i) for i in plain if len(names[i]) > 1})
         rank = {s: k for k, s in enumerate(scores)}
-        self.ranks = {names[i]: rank[-model.get_score(i)] for i in by_score}
+        self.rank_of = np.full(size, NEVER)
+        pairs: dict[tuple[int, int], int] = {}
+        beside = set()
+        for i in plain:
+            name = names[i]
+            beside |= {symbols[a] << 21 | symbols[b] for a, b in zip(name, name[1:], strict=False)}
+            if len(name) > 1:
+                self.rank_of[i] = rank[-model.get_score(i)]
+                for j in range(1, len(name)):
+                    a, b = symbols.get(name[:j]), symbols.get(name[j:])
+                    if a is not None and b is not None:
+                        pairs[a, b] = i
+        self.unions = {a << 21 | b: i for (a, b), i in pairs.items()}
+        self.pairs = Pairs(self.unions)
+        self.beside = Pairs(dict.fromkeys(beside, 1))
+        self.chars = np.arange(-1, -0x110001, -1, dtype=np.int32)
+        for name, i in symbols.items():
+            if len(name) == 1:
+                self.chars[ord(name)] = i
+        self.chars[0x20], self.chars[ord(BLANK)] = symbols.get(BLANK, -1 - 0x20), -1 - ord(BLANK)
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.pairs = {n[j : j + 2] for i in plain if len(n := names[i]) > 1 for j in range(len(n) - 1)}
+        self.extra = {size + k: c for k, c in enumerate(inside)}
         self.text = [b""] * size
         for i in plain:
             self.text[i] = names[i].replace(BLANK, " ").encode()
         for b, i in enumerate(self.bytes):
             self.text[i] = bytes([b])
-        self.blank = np.array([self.bytes[b] for b in BLANK.encode()], "<u4").tobytes()
-        self.limit, self.seed, self.room = int(dropout * (1 << 32)), seed, room
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words: dict[str, list[int]] = {}
-        self.segments: dict[str, int] = {}
-        self.children: dict[int, int] = {}
-        self.node_segment: list[str] = []
-        self.node_skipped: list[tuple[int, ...]] = []
-        self.node_ids: list[bytes] = []
-        self.merges: list[int] = []  # of the nodes that the arrays lack, as place << 32 | rank
-        self.n_merges: list[int] = []
-        self.lengths, self.ends = Growing("i8"), Growing("i8")
-        self.ends.add([0])
-        self.packed, self.ats, self.ranked = Growing("u8"), Growing("u8"), Growing("u8")
-
-    def _rank(self, left: str, right: str, at: int, key: int, skipped: Collection | None = None) -> int:
-        """The rank of a candidate merge; NEVER if there is none or if it is skipped: one of
-        ``skipped`` if that is given, or else by its hash."""
-        rank = self.ranks.get(left + right)
-        if rank is None:
-            return NEVER
-        if skipped is not None:
-            return NEVER if at << 32 | rank in skipped else rank
+        self.limit, self.seed = int(dropout * (1 << 32)), seed
+
+    def _candidates(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The ranks of candidate merges; NEVER where there is none or where its hash skips it."""
+        found = self.pairs.find(left, right)
+        ranks = self.rank_of[found]
+        ranks[found < 0] = NEVER
+        if self.limit:
+            there = np.flatnonzero(found >= 0)
+            draws = keys[there] + at[there].astype(np.uint64) * np.uint64(PLACE)
+            draws ^= ranks[there].astype(np.uint64) * np.uint64(RANK)
+            ranks[there[_mixed(draws) >> np.uint64(32) < np.uint64(self.limit)]] = NEVER
+        return ranks
+
+    def _together(self, symbols: np.ndarray, first: np.ndarray, lengths: np.ndarray, keys: np.ndarray, width: int):
+        """Merge segments of at most ``width`` symbols; yields (segments, numbers left, symbols left)."""
+        columns = np.arange(width)
+        rows = np.arange(len(first))
+        inside = columns < lengths[:, None]
+        own = np.where(inside, symbols[np.minimum(first[:, None] + columns, len(symbols) - 1)], -1)
+        at = np.broadcast_to(columns.astype(np.int16), own.shape).copy()
+        pair = inside[:, 1:]
+        ranks = np.full((len(rows), width), NEVER)
+        r, c = np.nonzero(pair)
+        ranks[r, c] = self._candidates(own[r, c], own[r, c + 1], c, keys[r])
+        left = lengths.copy()
+        while True:
+            best = ranks.argmin(axis=1)
+            n = np.arange(len(rows))
+            open_ = ranks[n, best] < NEVER
+            if not open_.all():
+                done = ~open_
+                yield rows[done], left[done], own[done][columns < left[done][:, None]]
+                rows, own, at, ranks, left, keys, best = (x[open_] for x in (rows, own, at, ranks, left, keys, best))
+                n = np.arange(len(rows))
+            if not len(rows):
+                return
+            own[n, best] = self.pairs.find(own[n, best], own[n, best + 1])
+            beyond = columns[:-1] > best[:, None]
+            for matrix, at_end in ((own, -1), (at, 0)):
+                matrix[:, :-1] = np.where(beyond, matrix[:, 1:], matrix[:, :-1])
+                matrix[:, -1] = at_end
+            ranks[:, :-1] = np.where(beyond, ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NEVER
+            left -= 1
+            after = np.minimum(best + 1, width - 1)
+            ranks[n, best] = np.where(best + 1 < left, self._candidates(own[n, best], own[n, after], at[n, best], keys), NEVER)
+            b = np.flatnonzero(best)
+            before = best[b] - 1
+            ranks[b, before] = self._candidates(own[b, before], own[b, before + 1], at[b, before], keys[b])
+
+    def _rank(self, a: int, b: int, at: int, key: int) -> tuple[int, int]:
+        """(rank, union) of one candidate; see ``_candidates``."""
+        union = self.unions.get(a << 21 | b, -1) if a >= 0 and b >= 0 else -1
+        if union < 0:
+            return int(NEVER), -1
+        rank = int(self.rank_of[union])
         if self.limit and _mix(((key + at * PLACE) & MASK) ^ ((rank * RANK) & MASK)) >> 32 < self.limit:
-            return NEVER
-        return rank
-
-    def _short(self, parts: list[str], key: int, skipped: Collection | None = None, merges: list | None = None) -> list[str]:
-        at = list(range(len(parts)))
-        ranks = [self._rank(a, b, i, key, skipped) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
-        while ranks and (best := min(ranks)) < NEVER:
-            i = ranks.index(best)
-            if merges is not None:
-                merges.append(at[i] << 32 | best)
-            parts[i] += parts.pop(i + 1)
-            at.pop(i + 1)
-            ranks.pop(i)
-            if i < len(ranks):
-                ranks[i] = self._rank(parts[i], parts[i + 1], at[i], key, skipped)
-            if i:
-                ranks[i - 1] = self._rank(parts[i - 1], parts[i], at[i - 1], key, skipped)
-        return parts
-
-    def _long(self, parts: list[str], key: int) -> list[str]:
-        """The same with a heap and links, for segments of any length."""
+            return int(NEVER), -1
+        return rank, union
+
+    def _alone(self, symbols: np.ndarray, key: int) -> np.ndarray:
+        """The same for one segment of any length, with a heap and links."""
+        parts: list[int | None] = symbols.tolist()
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [(r, i, parts[i] + parts[i + 1]) for i in range(n - 1) if (r := self._rank(parts[i], parts[i + 1], i, key)) < NEVER]
+        agenda = []
+        for i in range(n - 1):
+            rank, union = self._rank(parts[i], parts[i + 1], i, key)
+            if union >= 0:
+                agenda.append((rank, i, parts[i], parts[i + 1], union))
         heapify(agenda)
         while agenda:
-            _, i, union = heappop(agenda)
+            _, i, a, b, union = heappop(agenda)
             j = after[i]
-            if not parts[i] or j >= n or parts[i] + parts[j] != union:
+            if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j] = union, ""
+            parts[i], parts[j] = union, None
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                if (r := self._rank(union, parts[after[i]], i, key)) < NEVER:
-                    heappush(agenda, (r, i, union + parts[after[i]]))
-            h = before[i]
-            if h >= 0 and (r := self._rank(parts[h], union, h, key)) < NEVER:
-                heappush(agenda, (r, h, parts[h] + union))
-        return [p for p in parts if p]
-
-    def _bytes(self, parts: list[str]) -> bytes:
-        out = []
-        for part in parts:
-            i = self.ids.get(part)
-            out += [i] if i is not None else [self.bytes[b] for b in part.encode()]
-        return np.array(out, "<u4").tobytes()
-
-    def _node(self, segment: str, skipped: tuple[int, ...]) -> int:
-        merges: list[int] = []
-        if segment == MARK:
-            ids = self.blank
-        elif len(segment) > SHORT:
-            ids = b""  # drawn anew for each place
-        else:
-            ids = self._bytes(self._short(list(segment), 0, skipped, merges))
-        self.node_segment.append(segment)
-        self.node_skipped.append(skipped)
-        self.merges += merges
-        self.n_merges.append(len(merges))
-        self.node_ids.append(ids)
-        return len(self.node_ids) - 1
-
-    def _arrays(self) -> None:
-        """Bring the arrays up to the nodes, all new ones at once."""
-        if not self.n_merges:
-            return
-        packed = np.array(self.merges, np.uint64)
-        self.lengths.add([len(x) for x in self.node_segment[len(self.lengths.get()) :]])
-        self.ends.add(self.ends.get()[-1] + np.cumsum(self.n_merges))
-        self.packed.add(packed)
-        self.ats.add((packed >> np.uint64(32)) * np.uint64(PLACE))
-        self.ranked.add((packed & np.uint64((1 << 32) - 1)) * np.uint64(RANK))
-        self.merges, self.n_merges = [], []
-
-    def _word(self, word: str) -> list[int]:
-        """The nodes of a word's segments, cut where no piece can reach across."""
-        known, pairs, out, start = self.segments, self.pairs, [], 0
-        for i in range(1, len(word) + 1):
-            if i == len(word) or word[i - 1 : i + 1] not in pairs:
-                part = word[start:i]
-                node = known.get(part)
-                if node is None:
-                    node = known[part] = self._node(part, ())
-                out.append(node)
-                start = i
-        return out
-
-    def _plain(self, text: str) -> list[int]:
-        """Segments of a text without the blank's own mark; a blank goes before it.
-
-        A key is a word without the blank before it, a line feed with what follows directly, or
-        zero and a word with all its blanks.
-        """
-        known = self.words
-        words = text.replace("\n", " \n").split(" ")
-        if "" in words:
-            words = ["\0" + x for x in WORD.findall(" " + text)]
-        out: list[int] = []
-        for word in words:
-            own = known.get(word)
-            if own is None:
-                real = word if word[0] == "\n" else word[1:] if word[0] == "\0" else " " + word
-                own = known[word] = self._word(real.replace(" ", BLANK))
-            out += own
-        return out
-
-    def _segments(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if "\0" not in text and BLANK not in text:
-            return self._plain(text)
-        out: list[int] = []
-        for i, part in enumerate((" " + text).split(BLANK)):
-            if i:
-                if MARK not in self.segments:
-                    self.segments[MARK] = self._node(MARK, ())
-                out.append(self.segments[MARK])
-            out += self._word(part.replace(" ", BLANK))
+            for k in (i, before[i]):
+                if k >= 0 and after[k] < n:
+                    x, y = parts[k], parts[after[k]]
+                    rank, union = self._rank(x, y, k, key)
+                    if union >= 0:
+                        heappush(agenda, (rank, k, x, y, union))
+        return np.array([p for p in parts if p is not None], np.int32)
+
+    def _spelled(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each symbol): what is no piece becomes its bytes."""
+        odd = np.flatnonzero((symbols < 0) | (symbols >= self.size))
+        many = np.ones(len(symbols), np.int64)
+        if not len(odd):
+            return symbols, many
+        kinds, which = np.unique(symbols[odd], return_inverse=True)
+        spelled = [[self.bytes[b] for b in (self.extra[k] if k >= 0 else chr(-1 - k)).encode()] for k in kinds.tolist()]
+        many[odd] = np.array([len(x) for x in spelled])[which]
+        start = np.cumsum(many) - many
+        out = np.repeat(symbols, many)
+        for number, ids in enumerate(spelled):
+            own = start[odd[which == number]]
+            for k, i in enumerate(ids):
+                out[own + k] = i
+        return out, many
+
+    def encode_all(self, texts: list[str], turns: list[int]) -> list[np.ndarray]:
+        """The ids of each text under the draws of its key."""
+        out: list[np.ndarray] = []
+        some: list[int] = []
+        size = 0
+        for i, text in enumerate(texts):
+            some.append(i)
+            size += len(text)
+            if size > ROOM or i == len(texts) - 1:
+                out += self._encode([texts[j] for j in some], [turns[j] for j in some])
+                some, size = [], 0
         return out
 
-    def _draw(self, nodes: np.ndarray, keys: np.ndarray) -> None:
-        """Move each segment from node to node until none of the merges there is skipped.
-
-        ``keys`` are those of the segments' places, so every occurrence is drawn by itself.
-        """
-        live = np.arange(len(nodes))
-        while len(live):
-            self._arrays()
-            ends, packed = self.ends.get(), self.packed.get()
-            first = ends[nodes[live]]
-            many = ends[nodes[live] + 1] - first
-            begin = np.cumsum(many) - many
-            entry = np.repeat(first - begin, many) + np.arange(int(many.sum()))
-            owner = np.repeat(np.arange(len(live)), many)
-            bits = keys[live][owner]
-            bits += self.ats.get()[entry]
-            bits ^= self.ranked.get()[entry]
-            skips = np.flatnonzero(_mixed(bits) >> np.uint64(32) < np.uint64(self.limit))
-            own = owner[skips]
-            lead = np.ones(len(own), bool)
-            lead[1:] = own[1:] != own[:-1]
-            skips, own = skips[lead], own[lead]  # the first merge that each segment skips
-            children, moved = self.children, []
-            steps = skips - begin[own]
-            for node, step, merge in zip(nodes[live[own]].tolist(), steps.tolist(), packed[entry[skips]].tolist(), strict=True):
-                child = children.get(node * SHORT + step)
-                if child is None:
-                    skipped = (*self.node_skipped[node], merge)
-                    child = children[node * SHORT + step] = self._node(self.node_segment[node], skipped)
-                moved.append(child)
-            live = live[own]
-            nodes[live] = moved
-
-    def encode_all(self, texts: list[str], turns: list[int]) -> list[bytes]:
-        """The ids of each text under the draws of its key."""
-        if len(self.node_ids) > self.room or len(self.words) > self.room:
-            self._forget()
-        parts = [self._segments(t) for t in texts]
-        ends = np.cumsum([0, *map(len, parts)])
-        nodes = np.fromiter(chain.from_iterable(parts), np.int64, int(ends[-1]))
-        self._arrays()
-        lengths = self.lengths.get()[nodes]
-        if MARK in self.segments:
-            lengths[nodes == self.segments[MARK]] = 1
-        places = np.cumsum(lengths) - lengths
-        start = np.concatenate([places, [0]])[ends[:-1]]
-        places -= np.repeat(start, np.diff(ends))
+    def segments(self, texts: Sequence[str], turns: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(symbols, first symbol, length and key of every segment) of texts, none of them empty."""
+        points = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), "<u4")
+        symbols = self.chars[points]
+        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        cut = np.ones(len(symbols) + 1, bool)
+        cut[1:-1] = self.beside.find(symbols[:-1], symbols[1:]) < 0
+        cut[starts] = True
+        borders = np.flatnonzero(cut)
+        first, lengths = borders[:-1], np.diff(borders)
+        owner = np.searchsorted(starts, first, "right") - 1
         bases = np.array([_mix((t ^ (self.seed * SEED)) & MASK) for t in turns], np.uint64)
-        keys = np.repeat(bases, np.diff(ends)) + places.astype(np.uint64) * np.uint64(PLACE)
-        long = np.flatnonzero(lengths > SHORT).tolist()
-        drawn = [self._bytes(self._long(list(self.node_segment[nodes[i]]), int(keys[i]))) for i in long]
-        if self.limit:
-            for at in range(0, len(nodes), SLICE):
-                self._draw(nodes[at : at + SLICE], keys[at : at + SLICE])
-        out = list(map(self.node_ids.__getitem__, nodes.tolist()))
-        for i, ids in zip(long, drawn, strict=True):
-            out[i] = ids
-        return [b"".join(out[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        keys = bases[owner] + (first - starts[owner]).astype(np.uint64) * np.uint64(PLACE)
+        return symbols, first, lengths, keys
+
+    def _encode(self, texts: list[str], turns: list[int]) -> list[np.ndarray]:
+        full = [i for i, t in enumerate(texts) if t]
+        none = np.zeros(0, np.int32)
+        if not full:
+            return [none] * len(texts)
+        own = [texts[i] for i in full]
+        symbols, first, lengths, keys = self.segments(own, [turns[i] for i in full])
+        found = [(np.flatnonzero(lengths == 1), np.ones(int((lengths == 1).sum()), np.int64), symbols[first[lengths == 1]])]
+        under = 1
+        for width in WIDTHS:
+            chosen = np.flatnonzero((lengths > under) & (lengths <= width))
+            for at in range(0, len(chosen), ROOM // width):
+                part = chosen[at : at + ROOM // width]
+                for rows, left, flat in self._together(symbols, first[part], lengths[part], keys[part], width):
+                    found.append((part[rows], left, flat))
+            under = width
+        for i in np.flatnonzero(lengths > SHORT).tolist():
+            flat = self._alone(symbols[first[i] : first[i] + lengths[i]], int(keys[i]))
+            found.append((np.array([i]), np.array([len(flat)]), flat))
+        counts = np.zeros(len(first), np.int64)
+        for rows, left, _ in found:
+            counts[rows] = left
+        places = np.concatenate([[0], np.cumsum(counts)])
+        merged = np.empty(places[-1], np.int32)
+        for rows, left, flat in found:
+            begin = np.cumsum(left) - left
+            merged[np.repeat(places[rows] - begin, left) + np.arange(len(flat))] = flat
+        ids, many = self._spelled(merged)
+        spelled = np.concatenate([[0], np.cumsum(many)])
+        starts = np.cumsum([0, *[len(t) + 1 for t in own]])
+        ends = spelled[places[np.searchsorted(first, starts)]]
+        out = [none] * len(texts)
+        for i, a, b in zip(full, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = ids[a:b]
+        return out
 
-    def encode(self, text: str, turn: int) -> bytes:
-        return self.encode_all([text], [turn])[0]
+    def encode(self, text: str, turn: int) -> list[int]:
+        return self.encode_all([text], [turn])[0].tolist()
 
-    def decode(self, ids: np.ndarray) -> str:
+    def decode(self, ids) -> str:
         own = self.text
-        return b"".join([own[i] for i in ids.tolist()])[1:].decode()
+        return b"".join([own[i] for i in ids])[1:].decode()
 
 
 def _encoder(path: str, dropout: float, seed: int, names: list[str]):
@@ -324,11 +330,11 @@ def _encoder(path: str, dropout: float, seed: int, names: list[str]):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 text = [t or "" for t in part.column(0).to_pylist()]
-                ids = [np.frombuffer(x, "<u4").astype("<i4") for x in merger.encode_all(text, part.column(1).to_pylist())]
+                ids = merger.encode_all(text, part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-                flat = np.concatenate([*ids, np.zeros(0, "<i4")])
+                flat = np.concatenate([*ids, np.zeros(0, np.int32)])
                 lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))
-                back = pa.array([merger.decode(i) for i in ids], pa.string())
+                back = pa.array([merger.decode(i.tolist()) for i in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], lists, back], names=[*names, "piece_ids", "decoded"])
 
     return encode
@@ -338,8 +344,8 @@ def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0, key
     """``docs`` with ``piece_ids`` and ``decoded``, the text that the ids give back."""
     kept_columns = [c for c in docs.columns if c not in ("piece_ids", "decoded")]
     turn = F.xxhash64(F.col(key), F.when(F.col(key).isNull(), F.col("text")))
-    given = docs.select(F.col("text").alias("_text"), turn.alias("_turn"), *kept_columns)
-    fields = given.drop("_text", "_turn").schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    given = docs.select(F.col("text").alias(free("_text", kept_columns)), turn.alias(free("_turn", kept_columns)), *kept_columns)
+    fields = T.StructType(given.schema.fields[2:]).add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
     return given.mapInArrow(_encoder(model, dropout, seed, kept_columns), fields)
 
 
