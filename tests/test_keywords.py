@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import pytest
 from conftest import rows
@@ -39,18 +40,35 @@ def test_unrank_lists_all_sets_in_order(n, size):
     assert got == list(itertools.combinations(range(n), size))
 
 
-@pytest.mark.parametrize("group", [256, 1])
-def test_detect_keyword(spark, group):
+@pytest.mark.parametrize("block_bytes", [8 << 20, 1])
+def test_detect_keyword(spark, block_bytes):
     posts = spark.createDataFrame(
-        [(1, "q", "about gpu and AI"), (2, "q", "none"), (3, "other", "x"), (4, "q", None), (5, "q", "an ai")],
-        "seq int, search_query string, text string",
+        [(1, "q", "about gpu and AI", 1), (2, "q", "none", 1), (3, "other", "x", 1), (4, "q", None, 1), (5, "q", "an ai", 1),
+         (6, "e", "any", 1), (7, "e", None, 1), (8, None, "gpu", 1), (9, "q", "gpu", 1), (9, "q", "gpu", 1)],
+        "seq int, search_query string, text string, _best int",
     )
     pairs = spark.createDataFrame(
-        [("q", 2, "ai"), ("q", 1, "GPU"), ("q", 0, "tpu"), ("r", 0, "z")], "search_query string, pos int, keyword string"
+        [("q", 2, "ai"), ("q", 1, "GPU"), ("q", 1, "gpu"), ("q", 0, "tpu"), ("r", 0, "z"), ("e", 3, "zz"), ("e", 4, ""), (None, 0, "x"), ("q", 9, None)],
+        "search_query string, pos int, keyword string",
     )
-    got = keywords.detect_keyword(posts, keywords.keyword_groups(pairs, group))
-    expected = [(1, "GPU"), (2, "tpu"), (4, "tpu"), (5, "ai")]
-    assert rows(got, "seq", "search_keyword") == expected
+    got = keywords.detect_keyword(posts, pairs, block_bytes=block_bytes)
+    expected = [(1, "GPU"), (2, "tpu"), (4, "tpu"), (5, "ai"), (6, ""), (7, "zz"), (9, "GPU"), (9, "GPU")]
+    assert rows(got, "seq", "search_keyword") == expected and "_best" in got.columns
+    assert keywords.detect_keyword(posts, pairs.limit(0)).count() == 0
+
+
+def test_detect_keyword_equals_python(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdE ") for _ in range(rng.randint(1, 5)))
+    lists = {q: [word() for _ in range(rng.randint(1, 300))] for q in "pqrs"}
+    data = [(i, rng.choice("pqrst"), "".join(rng.choice("abcdefE ") for _ in range(rng.randint(0, 30)))) for i in range(400)]
+    posts = spark.createDataFrame(data, "seq int, search_query string, text string").repartition(3)
+    pairs = spark.createDataFrame([(q, i, k) for q, ks in lists.items() for i, k in enumerate(ks)], "search_query string, pos int, keyword string")
+    got = dict(rows(keywords.detect_keyword(posts, pairs), "seq", "search_keyword"))
+    first = lambda t, ks: next((k for k in ks if k.lower() in t.lower()), ks[0])
+    assert got == {i: first(t, lists[q]) for i, q, t in data if q in lists}
+    plan = keywords.detect_keyword(posts, pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
 
 
 def test_limit_per_query_order_of_steps(spark):

@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-try:
-    import ahocorasick
-except ImportError:  # long word lists are then tested one by one
-    ahocorasick = None
 
 # Fixed value: what counts as a token without a tagger.
 TOKEN_PATTERN = "[가-힣a-zA-Z0-9]{2,}"
@@ -125,23 +118,14 @@ def with_once(
 
 
 def contains_any(text: Column, strings: Sequence[str]) -> Column:
-    """True where the text holds at least one of the strings; null text stays null.
+    """True where the text holds at least one of a few fixed strings; null text stays null.
 
-    A short list becomes one test per string, compiled into the scan. The cost of that grows
-    with the list, so a long one is looked for all at once by an automaton in Python.
+    One test per string, compiled into the scan. Word lists go to ``matcher.holds_any``.
     """
     usable = sorted({s for s in strings if s})
     if not usable:
         return F.when(text.isNotNull(), F.lit(False))
-    if len(usable) <= _COMPILED:
-        return _any([F.contains(text, F.lit(s)) for s in usable])
-    if ahocorasick is not None:
-        return _automaton(usable)(text)
-    listed = F.array(*[F.lit(s) for s in usable])
-    return let(text, lambda t: F.exists(listed, lambda s: F.contains(t, s)))
-
-
-_COMPILED = 64
+    return _any([F.contains(text, F.lit(s)) for s in usable])
 
 
 def _any(tests: list[Column]) -> Column:
@@ -152,19 +136,6 @@ def _any(tests: list[Column]) -> Column:
     return _any(tests[:middle]) | _any(tests[middle:])
 
 
-def _automaton(strings: Sequence[str]) -> Callable[[Column], Column]:
-    @F.pandas_udf(T.BooleanType())
-    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = ahocorasick.Automaton()
-        for s in strings:
-            finder.add_word(s, True)
-        finder.make_automaton()
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else next(finder.iter(t), None) is not None)
-
-    return holds
-
-
 def digest(value: Column) -> Column:
     """Stands for a text where only equality counts: long text shrinks to its SHA-256."""
     return F.when(F.length(value) > 40, F.sha2(value, 256)).otherwise(value)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.functions import matcher
 from trendloom.functions import text as tx
 
 # The signs that make a headline noise when repeated.
@@ -22,7 +23,7 @@ def has_excluded(text: Column, words: Sequence[str], strict_reference: bool = Fa
     word with capitals then never matches.
     """
     wanted = list(words) if strict_reference else [w.lower() for w in words]
-    return F.coalesce(tx.contains_any(F.lower(text), wanted), F.lit(True))
+    return F.coalesce(matcher.holds_any(F.lower(text), [w for w in wanted if w]), F.lit(True))
 
 
 def drop_excluded(
@@ -42,13 +43,9 @@ def is_clean(df: DataFrame, column: str, words: Sequence[str] = ()) -> DataFrame
 
 def noise_hits(df: DataFrame, column: str, themes: Mapping[str, Sequence[str]]) -> DataFrame:
     """Rows hit per theme of the word list, in one pass."""
-    lowered = F.lower(F.col(column))
-    counts = df.agg(
-        *[
-            F.count_if(tx.contains_any(lowered, [w.lower() for w in words])).alias(theme)
-            for theme, words in themes.items()
-        ]
-    )
+    lists = [[w.lower() for w in words if w] for words in themes.values()]
+    held = df.select(matcher.groups_held(F.lower(F.col(column)), lists).alias("_held"))
+    counts = held.agg(*[F.count_if(F.array_contains("_held", i)).alias(theme) for i, theme in enumerate(themes)])
     return counts.unpivot([], list(themes), "theme", "hits")
 
 

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom import session
+from trendloom.functions import matcher
 from trendloom.functions import text as tx
+from trendloom.functions.lookup import OpenTable
 from trendloom.operators import dedup, filters, skew
 
 
@@ -113,64 +118,82 @@ def _unrank(number: int, n: int, size: int) -> list[int]:
     return out
 
 
-GROUP = 256
-
-
-def keyword_groups(pairs: DataFrame, group: int = GROUP) -> DataFrame:
-    """(search_query, part, parts, keywords) from (search_query, pos, keyword).
-
-    ``keywords`` holds (pos, keyword, lowered) in list order. A query with many keywords is cut by
-    hash into parts of about ``group``, so that no array grows with the list.
-    """
-    sizes = pairs.groupBy("search_query").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
-    parted = skew.lookup(pairs, sizes, ["search_query"], ["pos", "keyword"], "inner")
-    part = F.pmod(F.xxhash64("pos", "keyword"), F.col("parts")).cast("int").alias("part")
-    return parted.groupBy("search_query", part, "parts").agg(
-        F.array_sort(
-            F.collect_list(F.struct("pos", "keyword", F.lower("keyword").alias("lowered")))
-        ).alias("keywords")
-    )
+BLOCK_BYTES = 8 << 20
+
+
+def _blocks(pairs: DataFrame, size: int) -> Iterator[list[tuple[str, int, str, str]]]:
+    """(search_query, pos, keyword, lowered) in blocks of at most ``size`` bytes of text, one at a time."""
+    named = pairs.select("search_query", F.col("pos").cast("bigint").alias("pos"), "keyword", F.lower("keyword").alias("lowered"))
+    block: list[tuple[str, int, str, str]] = []
+    used = 0
+    for row in named.dropna().distinct().toLocalIterator():
+        cost = len(row["search_query"]) + 2 * len(row["keyword"]) + 32
+        if block and used + cost > size:
+            yield block
+            block, used = [], 0
+        block.append(tuple(row))
+        used += cost
+    if block:
+        yield block
+
+
+def _detector(block: list[tuple[str, int, str, str]]) -> Callable[[Column, Column], Column]:
+    """(query, lowered text) to struct<missing, pos, keyword>: the first keyword of the block's list for
+    that query which the text holds, else the first of the list; null for a query that has none here."""
+    block = sorted(block)
+    queries = sorted({b[0] for b in block})
+    lowered = sorted({b[3] for b in block})
+    number, place = {q: i for i, q in enumerate(queries)}, {w: i for i, w in enumerate(lowered)}
+    words = matcher.Matcher(lowered)
+    # The keyword of least rank stands for a word that a query lists twice.
+    rank_of: dict[int, int] = {}
+    head = np.full(len(queries), -1, np.int64)
+    for rank, (query, _, _, word) in enumerate(block):
+        rank_of.setdefault(number[query] * len(lowered) + place[word], rank)
+        if head[number[query]] < 0:
+            head[number[query]] = rank
+    pairs = OpenTable(len(rank_of))
+    pairs.add(np.array(list(rank_of), np.int64), np.array(list(rank_of.values()), np.int32))
+    pos, names = np.array([b[1] for b in block], np.int64), pa.array([b[2] for b in block])
+    known = pa.array(queries)
+
+    @F.arrow_udf("struct<missing: int, pos: bigint, keyword: string>")
+    def detect(query: pa.Array, text: pa.Array) -> pa.Array:
+        own = pc.fill_null(pc.index_in(query, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows, strings = words.matches(text)
+        of_query = np.where(own[rows] >= 0, own[rows] * len(lowered) + strings, -1)
+        ranks = pairs.find(of_query).astype(np.int64)
+        never = len(block)
+        best = np.full(len(query), never)
+        np.minimum.at(best, rows[ranks >= 0], ranks[ranks >= 0])
+        missing = best == never
+        chosen = np.where(missing, head[own], best)
+        chosen[own < 0] = 0
+        picked = pa.array(chosen)
+        parts = [pa.array(missing.astype(np.int32)), pa.array(pos[chosen]), names.take(picked)]
+        return pa.StructArray.from_arrays(parts, ["missing", "pos", "keyword"], mask=pa.array(own < 0))
+
+    return detect
 
 
 def detect_keyword(
-    posts: DataFrame, groups: DataFrame, column: str = "text", key: str = "seq"
+    posts: DataFrame, pairs: DataFrame, column: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The first keyword of the row's query found in the text, else the first of the list.
+    """``posts`` with ``search_keyword``: the first keyword of the row's query found in the text, else
+    the first of the query's list. Rows whose query has no keyword are left out.
 
-    ``key`` is unique per post. Where a query has several parts, a post meets each of them
-    and only the numbers and keywords of the parts are then put together.
+    ``pairs`` is (search_query, pos, keyword); ``pos`` orders a list. All keywords are looked for in one
+    pass over a text. Lists above ``block_bytes`` are handed out in blocks, whose findings are put
+    together; between blocks the rows are written. Posts are neither shuffled nor repeated.
     """
-    groups = session.cut_lineage(groups)  # keyword lists: read for the count and for the join
-    parts = groups.agg(F.coalesce(F.max("parts"), F.lit(1))).first()[0]
-    if parts == 1:
-        joined = skew.lookup(posts, groups.drop("part", "parts"), ["search_query"], [key], "inner")
-        best = _first_match(F.col(column), F.col("keywords"))
-        return joined.withColumn("search_keyword", best["keyword"]).drop("keywords")
-
-    sizes = groups.select("search_query", "parts").distinct()
-    spread = skew.lookup(posts, sizes, ["search_query"], [key], "inner").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    met = skew.lookup(spread, groups.drop("parts"), ["search_query", "part"], [key], "inner")
-    best = _first_match(F.col(column), F.col("keywords"))
-    found = met.select(key, best.alias("best")).groupBy(key).agg(F.min("best")["keyword"].alias("search_keyword"))
-    return posts.join(found, key)
-
-
-def _first_match(text: Column, keywords: Column) -> Column:
-    """struct<missing, pos, keyword> of the first (pos, keyword) found, else of the first one."""
-
-    def best(lowered: Column) -> Column:
-        # The text is lower-cased once and handed to the test of every keyword.
-        hits = F.filter(keywords, lambda k: F.contains(lowered, k["lowered"]))
-        return F.coalesce(_with_rank(F.get(hits, F.lit(0)), 0), _with_rank(F.get(keywords, F.lit(0)), 1))
-
-    return tx.let(F.lower(text), best)
-
-
-def _with_rank(item: Column, missing: int) -> Column:
-    named = F.struct(F.lit(missing).alias("missing"), item["pos"].alias("pos"), item["keyword"].alias("keyword"))
-    return F.when(item.isNotNull(), named)
+    best = next(n for n in (f"_best{'_' * i}" for i in range(99)) if n not in posts.columns)
+    found = posts.withColumn(best, F.lit(None).cast("struct<missing: int, pos: bigint, keyword: string>"))
+    for number, block in enumerate(_blocks(pairs, block_bytes)):
+        if number:
+            found = session.cut_lineage(found)
+        here = _detector(block)(F.col("search_query"), F.lower(F.col(column)))
+        found = found.withColumn(best, F.least(F.col(best), here) if number else here)
+    return found.filter(F.col(best).isNotNull()).withColumn("search_keyword", F.col(best)["keyword"]).drop(best)
 
 
 def limit_per_query(

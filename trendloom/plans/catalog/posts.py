@@ -315,10 +315,49 @@ def detect_keyword(spark, sf_dir):
         .groupBy("search_query", "keyword")
         .agg(F.min(F.col("item_id") * 100000 + F.col("i")).alias("pos"))
     )
-    found = keywords.detect_keyword(posts(spark, sf_dir), keywords.keyword_groups(pairs))
+    found = keywords.detect_keyword(posts(spark, sf_dir), pairs)
     return found.select("seq", "search_query", "search_keyword")
 
 
+_LONG_WORDS = """SELECT w AS keyword, min(item_id * 100000 + i) AS pos FROM (
+        SELECT item_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
+        FROM (SELECT item_id, regexp_extract_all(text, '[가-힣a-zA-Z0-9]{2,}') AS w FROM benchmark))
+    WHERE length(w) >= 4 GROUP BY 1 ORDER BY 2, 1 LIMIT """
+
+
+def _long_words(spark, sf_dir, n):
+    """The first ``n`` different words of the benchmark, as a user's long list."""
+    words = table(spark, sf_dir, "benchmark").select(
+        "item_id", F.posexplode(tx.tokens(F.col("text"))).alias("i", "keyword")
+    )
+    pos = F.min(F.col("item_id") * 100000 + F.col("i") + 1).alias("pos")
+    return words.filter(F.length("keyword") >= 4).groupBy("keyword").agg(pos).orderBy("pos", "keyword").limit(n)
+
+
+@query(
+    f"""WITH k AS ({_LONG_WORDS} 600), g AS (SELECT list(keyword ORDER BY pos, keyword) AS ks FROM k)
+    SELECT doc_id AS seq, source AS search_query, coalesce(
+        [x FOR x IN ks IF contains(lower(text), lower(x))][1], ks[1]) AS search_keyword
+    FROM documents, g WHERE source IN ('src1', 'src2', 'src3')"""
+)
+def detect_keyword_long(spark, sf_dir):
+    """Three search queries, each with a list of 600 keywords."""
+    queries = F.explode(F.array(F.lit("src1"), F.lit("src2"), F.lit("src3"))).alias("search_query")
+    pairs = _long_words(spark, sf_dir, 600).select(queries, "pos", "keyword")
+    found = keywords.detect_keyword(posts(spark, sf_dir), pairs)
+    return found.select("seq", "search_query", "search_keyword")
+
+
+@query(
+    f"""WITH k AS ({_LONG_WORDS} 300), g AS (SELECT list(lower(keyword)) AS ks FROM k)
+    SELECT doc_id FROM documents, g WHERE len([x FOR x IN ks IF contains(lower(text), x)]) = 0"""
+)
+def drop_excluded_long(spark, sf_dir):
+    """A list of 300 excluded words."""
+    words = [r["keyword"] for r in _long_words(spark, sf_dir, 300).collect()]
+    return filters.drop_excluded(table(spark, sf_dir, "documents", spread=True), "text", words).select("doc_id")
+
+
 @query(
     """SELECT doc_id, concat(source, 'x') AS handle,
       split_part(concat(split_part(text, chr(10), 1), ' - ', source), ' - ', 1) AS headline,
