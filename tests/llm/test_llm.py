@@ -210,6 +210,12 @@ def test_token_records(spark, table, docs, empty, tmp_path):
     shuffled = records.read_shuffled(spark, f"{tmp_path}/r", index, seed=3).collect()
     assert sorted(r.doc_id for r in shuffled) == sorted(docs) and [r.doc_id for r in shuffled] != sorted(docs)
     records.write_records(empty, f"{tmp_path}/e", path)
+    odd = spark.createDataFrame([(None, "b a"), (None, None), (4, "x"), (-4, "y"), (4, "x")], "doc_id long, text string")
+    records.write_records(odd, f"{tmp_path}/odd", path, file_bytes=40)
+    own = records.build_index(spark, f"{tmp_path}/odd").orderBy("start").collect()
+    assert [r.doc_id for r in own] == [None, None, -4, 4, 4] and sorted(r.n_tokens for r in own) == [1, 2, 2, 2, 3]
+    back = records.read_shuffled(spark, f"{tmp_path}/odd", records.build_index(spark, f"{tmp_path}/odd")).collect()
+    assert sorted(str(r.doc_id) for r in back) == ["-4", "4", "4", "None", "None"]
     data = bytearray(records.frame(b"payload") + b"\n")
     assert records.unframe(memoryview(data), 0) == (b"payload", len(data))
     data[14] ^= 1
@@ -251,6 +257,18 @@ def test_added_tokens_in_texts_equal_the_library():
     assert got[1] == [50256] and 50256 in got[0] and 50256 not in got[4] + got[5]
 
 
+def test_a_small_cache_gives_the_same_ids(monkeypatch):
+    path = records.tokenizer_path("byte_bpe_50k.json")
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(PROSE) + str(rng.randrange(50)) for _ in range(30)) for _ in range(200)]
+    want = records.Encoder(path).encode(texts)
+    monkeypatch.setattr(records, "ROOM", 50)
+    encoder = records.Encoder(path)
+    assert [encoder.encode([t])[0] for t in texts] == want and encoder.size < 200
+    monkeypatch.setattr(records, "POWERS", np.stack([records.POWERS[0] * np.uint64(0), records.POWERS[1]]))  # all chunks in one slot
+    assert records.Encoder(path).encode(texts) == want
+
+
 def test_every_occurrence_is_drawn_by_itself(spark):
     path = records.tokenizer_path("piece_bpe_32k.model")
     word = "internationalization"

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm.base import free, query, table
+from trendloom.llm.byteops import OpenTable
 from trendloom.llm.records import tokenizer_path
-from trendloom.llm.worker import kept
+from trendloom.llm.worker import kept, slices
 
 BLANK = "▁"
 SHORT = 40
@@ -39,7 +40,6 @@ NEVER = np.int32(1 << 30)
 MASK = (1 << 64) - 1
 PLACE, RANK, SEED = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x2545F4914F6CDD1D
 ROOM = 1 << 18
-SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(x: int) -> int:
@@ -59,43 +59,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Pairs:
-    """Looks up pairs of numbers below 2^21, many at a time: an open table with linear probes."""
+    """Looks up pairs of numbers below 2^21, many at a time."""
 
     def __init__(self, known: dict[int, int]):
         """``known``: the first number times 2^21 and the second, to a value."""
-        size = max(4, (4 * len(known)).bit_length())
-        self.shift, self.last = np.uint64(64 - size), (1 << size) - 1
-        self.keys, self.values = np.full(1 << size, -1, np.int64), np.full(1 << size, -1, np.int32)
-        keys = np.array(list(known), np.int64)
-        values = np.array(list(known.values()), np.int32)
-        slot = self._slot(keys)
-        while len(keys):
-            free_slots = self.keys[slot] < 0
-            _, first = np.unique(np.where(free_slots, slot, -1 - np.arange(len(slot))), return_index=True)
-            first = first[free_slots[first]]
-            self.keys[slot[first]], self.values[slot[first]] = keys[first], values[first]
-            left = np.ones(len(keys), bool)
-            left[first] = False
-            keys, values, slot = keys[left], values[left], (slot[left] + 1) & self.last
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+        self.table = OpenTable(2 * len(known))
+        self.table.add(np.array(list(known), np.int64), np.array(list(known.values()), np.int32))
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The value of each pair, -1 where there is none; negative numbers are in no pair."""
         keys = left.astype(np.int64) << 21 | right
-        keys[(left < 0) | (right < 0)] = -2
-        slot = self._slot(keys)
-        there = self.keys[slot]
-        out = np.where(there == keys, self.values[slot], np.int32(-1))
-        open_ = np.flatnonzero((there != keys) & (there >= 0) & (keys >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & self.last
-            there = self.keys[slot[open_]]
-            hit = there == keys[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
-            open_ = open_[~hit & (there >= 0)]
-        return out
+        keys[(left < 0) | (right < 0)] = -1
+        return self.table.find(keys)
 
 
 class Merger:
@@ -327,8 +302,7 @@ def _encoder(path: str, dropout: float, seed: int, names: list[str]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = kept(("pieces", path, dropout, seed), lambda: Merger(path, dropout, seed))
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in slices(batch, 0, 1000, 1 << 20):
                 text = [t or "" for t in part.column(0).to_pylist()]
                 ids = merger.encode_all(text, part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)

@@ -4,22 +4,29 @@ A record is: payload length (8 bytes), masked CRC-32 of those 8 bytes (4), paylo
 of the payload (4), a line feed. The payload is the document id (8 bytes, signed), the width of an
 id (1 byte: 2 or 4) and the ids; all numbers are little-endian. A checksum is masked by rotating
 it right by 15 bits and adding a constant, so that checksums of data that holds checksums stay
-sound. Files are written by Spark's own writer, one record per row, so that a task that fails and
-runs again leaves one copy, on any file system Spark writes to. File names sort in id order.
-
-Spaces cut a text into chunks whose ids do not depend on their neighbours (byte-level BPE splits
-before every run of spaces), so each worker keeps the ids of chunks it has seen, a bounded number.
-
-Edge cases: null text is empty and gives the end id alone; repeated ids give a record each, in
-order of the text; an empty table gives no record; other columns are not written.
+sound. Texts are encoded where they lie; what is sorted by id and cut into files is the records.
+Files are written by Spark's own writer, one record per row, so that a task that fails and runs
+again leaves one copy, on any file system Spark writes to. File names sort in id order, and files
+hold about ``file_bytes``, for each is read back as one value.
+
+White space cuts a text into chunks, a word with the blanks before it, whose ids do not depend on
+their neighbours (byte-level BPE splits before every run of blanks). Each worker keeps the ids of
+``ROOM`` chunks it has met, in flat arrays of some 30 bytes a chunk, and hands the library only
+others; what it keeps is found by two hashes of 64 bits.
+
+Edge cases: null text is empty and gives the end id alone; a null id comes first and sets the high
+bit of the width; repeated ids give a record each, in order of a hash of the text; an empty table
+gives no record; other columns are not written.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +35,23 @@ from pyspark.sql import functions as F
 
 from trendloom import session
 from trendloom.llm.base import query, table
-from trendloom.llm.worker import kept
+from trendloom.llm.byteops import OpenTable
+from trendloom.llm.worker import drop, kept, slices
 
 HEAD, CHECK, OWN = "<QI", "<I", "<qB"
 HEAD_BYTES, OWN_BYTES = 12, 9
 END_ID = 0
-CACHE = 1_000_000
+ROOM = 1_000_000  # chunks a worker keeps; then it starts anew
+LONG = 64  # chunks with more bytes are not kept
+NO_ID = 0x80
+SAMPLED = 50  # keys a file, on average, to find where files begin
 
 # White space beyond blank, tab and line breaks; texts that hold any are encoded in one go.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-CHUNK = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-LETTERS_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
+LETTERS_SIGNS = re.compile("([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 13, 32]] = True
+POWERS = np.stack([np.cumprod(np.full(LONG, b)) for b in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))])
 
 
 def masked(data: bytes) -> int:
@@ -68,84 +81,172 @@ class Encoder:
     """Ids of texts as bytes of ``width`` an id, through the ids of their chunks."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would each keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]  # one id each, as the library gives it
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.chunks: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in encoded]
-
-    def _learn(self, missing: set[str]) -> None:
-        """A key is a chunk without the blank before it, ``\\n...`` as it is, or zero and a chunk as it is."""
-        parts = {x: ((m[1], "\0" + m[2]) if (m := LETTERS_SIGNS.fullmatch(x)) else (x,)) for x in missing}
-        new = list({y for own in parts.values() for y in own if y not in self.chunks})
-        texts = [x[1:] if x[0] == "\0" else x if x[0] == "\n" else " " + x for x in new]
-        self.chunks.update(zip(new, self._ids(texts), strict=True))
-        for x, own in parts.items():
-            if len(own) == 2:
-                self.chunks[x] = self.chunks[own[0]] + self.chunks[own[1]]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table = OpenTable(ROOM)
+        self.second = np.zeros(ROOM, np.uint64)  # of every chunk: another hash, and where its ids end
+        self.ends = np.zeros(ROOM, np.int64)
+        self.pool = np.zeros(4 * ROOM, f"<u{self.width}")
+        self.size = 1  # chunk 0 has no ids
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, ids: list[list[int]], second: np.ndarray) -> np.ndarray:
+        """Numbers of new chunks."""
+        first, after = self.size, self.size + len(ids)
+        begin = int(self.ends[first - 1])
+        ends = begin + np.cumsum([len(x) for x in ids])
+        flat = np.fromiter(chain.from_iterable(ids), self.pool.dtype, int(ends[-1]) - begin)
+        for name, end in (("second", after), ("ends", after), ("pool", int(ends[-1]))):
+            old = getattr(self, name)
+            if end > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros(end - len(old) + ROOM // 8, old.dtype)]))
+        self.second[first:after], self.ends[first:after], self.pool[begin : ends[-1]] = second, ends, flat
+        self.size = after
+        return np.arange(first, after)
+
+    def _chunks(self, data: np.ndarray, starts: np.ndarray, split: bool = True) -> np.ndarray:
+        """The numbers of the chunks that begin at ``starts``; those not met before are learned."""
+        lengths = np.diff(np.append(starts, len(data)))
+        inside = np.minimum(np.arange(len(data)) - np.repeat(starts, lengths), LONG - 1)
+        wide = data.astype(np.uint64) + np.uint64(1)
+        key, second = (np.add.reduceat(wide * powers[inside], starts) for powers in POWERS)
+        key = (key >> np.uint64(1)).astype(np.int64)
+        out = self.table.find(key)
+        out[(lengths > LONG) | (self.second[out] != second)] = -1
+        fresh = np.flatnonzero(out < 0)
+        if not len(fresh):
+            return out
+        short = fresh[lengths[fresh] <= LONG]
+        _, first, which = np.unique(key[short], return_index=True, return_inverse=True)
+        same = second[short] == second[short[first]][which]
+        alone = np.concatenate([short[~same], fresh[lengths[fresh] > LONG]])
+        asked = np.concatenate([short[first], alone])
+        raw = data.tobytes()
+        texts = [raw[a : a + n].decode() for a, n in zip(starts[asked].tolist(), lengths[asked].tolist(), strict=True)]
+        numbers = self._add(self._learn(texts, split), second[asked])
+        out[short[same]] = numbers[which[same]]
+        out[alone] = numbers[len(first) :]
+        new = self.table.find(key[short[first]]) < 0
+        self.table.add(key[short[first]][new], numbers[: len(first)][new].astype(np.int32))
+        return out
+
+    def _learn(self, texts: list[str], split: bool) -> list[list[int]]:
+        """Ids of chunks. Signs after a word have ids of their own, so the two are asked for apart."""
+        parts = [m.groups() if split and (m := LETTERS_SIGNS.fullmatch(x)) else (x,) for x in texts]
+        if not any(len(p) == 2 for p in parts):
+            return self._ids(texts)
+        both = list({y for p in parts if len(p) == 2 for y in p})
+        coded = [y.encode() for y in both]
+        numbers = self._chunks(np.frombuffer(b"".join(coded), np.uint8), np.cumsum([0, *map(len, coded[:-1])]), False).tolist()
+        known = {y: self.pool[self.ends[n - 1] : self.ends[n]].tolist() for y, n in zip(both, numbers, strict=True)}
+        whole = iter(self._ids([p[0] for p in parts if len(p) == 1]))
+        return [known[p[0]] + known[p[1]] if len(p) == 2 else next(whole) for p in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if "\0" in text or OTHER_SPACE.search(text) or any(t in text for t in self.added):
-                cut.append(None)
-                continue
-            pieces = text.replace("\n", " \n").split(" ")
-            if "" in pieces or "\n" in pieces or "\t" in text or "\r" in text:
-                cut.append(["\0" + x for x in CHUNK.findall(text)])
-                continue
-            pieces[0] = "\0" + pieces[0]
-            cut.append(pieces)
-        known = self.chunks
-        if len(known) > CACHE:
-            known.clear()
-        missing = set().union(*(p for p in cut if p)).difference(known)
-        if missing:
-            self._learn(missing)
-        whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
-        return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
-
-
-def _writer(path: str):
+        if self.size > ROOM:
+            self._forget()
+        whole = [bool(OTHER_SPACE.search(t)) or any(a in t for a in self.added) for t in texts]
+        apart = iter(self._ids([t for t, w in zip(texts, whole, strict=True) if w]))
+        coded = [b"" if w else t.encode() for t, w in zip(texts, whole, strict=True)]
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        borders = np.cumsum([0, *map(len, coded)])
+        if len(data):
+            blank = BLANK[data]
+            begin = blank.copy()
+            begin[1:] &= ~blank[:-1]
+            begin[borders[:-1][np.diff(borders) > 0]] = True
+            starts = np.flatnonzero(begin)
+            numbers = self._chunks(data, starts)
+            ends = self.ends[numbers]
+            many = ends - self.ends[numbers - 1]
+            after = np.cumsum(many)
+            ids = self.pool[np.repeat(ends - after, many) + np.arange(int(after[-1]))]
+            places = np.concatenate([[0], after])[np.searchsorted(starts, borders)].tolist()
+        else:
+            ids, places = self.pool[:0], [0] * len(borders)
+        kind = self.pool.dtype
+        return [
+            np.array(next(apart), kind).tobytes() if w else ids[a:b].tobytes()
+            for w, a, b in zip(whole, places[:-1], places[1:], strict=True)
+        ]
+
+
+def _encoded(path: str, bounds: np.ndarray):
+    """(doc_id, hash, text) to (doc_id, hash, record, file): ``bounds`` are the first keys of files 1, 2 ..."""
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("records", path), lambda: Encoder(path))
         end = END_ID.to_bytes(encoder.width, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True)
-                frames = [frame(struct.pack(OWN, doc, encoder.width) + ids + end) for doc, ids in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
+            for part in slices(batch, 2, 1000, 1 << 19):
+                ids = part.column(0).to_pylist()
+                keys = np.array([_key(i, h) for i, h in zip(ids, part.column(1).to_pylist(), strict=True)], bounds.dtype)
+                files = pa.array(np.searchsorted(bounds, keys, "right"), pa.int32())
+                heads = {True: encoder.width | NO_ID, False: encoder.width}
+                texts = encoder.encode(part.column(2).to_pylist())
+                frames = [frame(struct.pack(OWN, i or 0, heads[i is None]) + own + end) for i, own in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(frames, pa.binary()), files], ["doc_id", "hash", "record", "file"])
 
     return write
 
 
-def write_records(docs: DataFrame, path: str, tokenizer: str) -> None:
-    """Write the ids of every text, in ascending order of doc_id, as record files under ``path``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    records = ordered.mapInArrow(_writer(tokenizer), "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.text(path)
+def _key(doc: int | None, hashed: int) -> bytes:
+    """Sorts like (doc_id, hash), nulls first."""
+    number = 0 if doc is None else doc + (1 << 63) + 1
+    return number.to_bytes(9, "big") + (hashed + (1 << 63)).to_bytes(8, "big") + b"\1"
+
+
+def write_records(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = 24 << 20) -> None:
+    """Write the ids of every text, in ascending order of doc_id, as record files under ``path``.
+
+    A sample of the keys says where files begin, about ``SAMPLED`` keys a file, and decides nothing
+    else; each text is read and encoded once, and only records are moved.
+    """
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    rows, size = texts.agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    # Ids take at most about as many bytes as the text.
+    files = max(-(-(size or 0) // file_bytes), min(cores, -(-(size or 0) // (4 << 20))), 1)
+    every = max(1, rows // (SAMPLED * files))
+    keys = texts.select("doc_id", "hash").filter(F.pmod(F.xxhash64(F.lit("file"), "doc_id", "hash"), F.lit(every)) == 0)
+    found = sorted(_key(*r) for r in keys.collect()) if files > 1 else []
+    bounds = np.array([found[len(found) * k // files] for k in range(1, files)] if found else [], "S18")
+    encoded = texts.mapInArrow(_encoded(tokenizer, bounds), "doc_id long, hash long, record binary, file int")
+    ordered = encoded.repartitionById(files, F.col("file")).sortWithinPartitions("doc_id", "hash")
+    ordered.select(F.col("record").cast("string").alias("value")).write.text(path)
+
+
+def _owner(payload: memoryview) -> tuple[int | None, int]:
+    """The document id of a payload, null if it has none, and the width of its ids."""
+    doc, width = struct.unpack_from(OWN, payload)
+    return (None if width & NO_ID else doc), width & ~NO_ID
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["file", "offset", "length", "doc_id", "n_tokens", "ids_crc32"]
+    drop()  # what the encoding left in this worker
     for batch in batches:
         for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data, at, rows = memoryview(content.as_buffer()), 0, []
             while at < len(data):
                 payload, after = unframe(data, at)
-                doc, width = struct.unpack_from(OWN, payload)
+                doc, width = _owner(payload)
                 ids = np.frombuffer(payload[OWN_BYTES :], f"<u{width}").astype("<u4")
                 rows.append((file, at, after - at, doc, len(ids), zlib.crc32(ids.tobytes())))
                 at = after
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                types = (pa.string(), *[pa.int64()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
 def build_index(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +275,7 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, docs, ids = memoryview(content.as_buffer()), [], []
             for place in places:
                 payload, _ = unframe(data, place["offset"])
-                doc, width = struct.unpack_from(OWN, payload)
+                doc, width = _owner(payload)
                 docs.append(doc)
                 ids.append(np.frombuffer(payload[OWN_BYTES :], f"<u{width}").astype("<i4"))
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
