@@ -389,3 +389,28 @@ def test_pipeline_equals_brute_force(spark, docs, tmp_path):
         if not brute.secrets(kept[r.doc_id]):
             assert r.text == kept[r.doc_id]
         assert r.n_chars == len(r.text) and hashlib.sha256(r.text.encode())
+
+
+CLASHING = ("stats", "kept", "base_failed", "_stats", "_leak", "_before", "_bytes", "_blob", "_spans", "_text", "_turn", "_id", "_row", "lossless", "decoded", "piece_ids")
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_keep_columns_of_any_name(spark, docs, tmp_path, number):
+    import corpus_pipeline
+
+    item = PROSE + " and then some more words follow here"
+    rows = [(i, t, f"mine {i}") for i, t in docs.items()] + [(60, "x " + item, "mine 60"), (None, PROSE, "mine None"), (7, "other text of an id " + PROSE, "mine 7")]
+    own = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    own = own.select("doc_id", "text", *[pieces.F.lit(None).cast("string").alias(c) for c in ("lang", "source")], pieces.F.lit(1).cast("long").alias("n_chars"), *[pieces.F.col("mark").alias(c) for c in CLASHING])
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    name, stage = corpus_pipeline.STAGES[number]
+    out = stage(spark, own, str(tmp_path))
+    got = out.collect()
+    assert set(own.columns) <= set(out.columns) and (number == 4 or out.columns == own.columns)
+    assert got and all(r[c] == f"mine {r.doc_id}" for r in got for c in CLASHING)
+    ids = [r.doc_id for r in got]
+    assert None in ids and (60 in ids) == (number != 2)
+    if number == 1:
+        assert len(ids) == len(set(ids)) and sorted(map(str, stage(spark, own.repartition(7), str(tmp_path)).collect())) == sorted(map(str, got))
+    assert stage(spark, own.limit(0), str(tmp_path)).count() == 0

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.base import query, table
+from trendloom.llm.base import free, query, table
 from trendloom.llm.byteops import buffers, gram_hashes
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -215,14 +215,14 @@ def _scanner(items: list[tuple[int, bytes]], q: int, rate: float, piece: int):
 
 
 def _marker(items: list[tuple[int, bytes]], q: int, rate: float, piece: int, names: list[str]):
-    """Pass rows on with ``_leak``: true if it was or if the text holds an item of this block."""
+    """Pass rows on, last a flag: true if it was or if the text holds an item of this block."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(items, q, rate)
         for batch in batches:
             found = passages(batch.column(0), index, piece)
             leaks = [before or bool(own) for before, own in zip(batch.column(1).to_pylist(), found, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(leaks, pa.bool_())], [*names, "_leak"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(leaks, pa.bool_())], names)
 
     return mark
 
@@ -267,13 +267,14 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no passage of an item; rows need no id for it."""
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("_leak", T.BooleanType())])  # add() would change docs.schema
-    out = docs.withColumn("_leak", F.lit(False))
+    leak, before, raw = (free(name, names) for name in ("_leak", "_before", "_bytes"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(leak, T.BooleanType())])  # add() would change docs.schema
+    out = docs.withColumn(leak, F.lit(False))
     for block in blocks(benchmark, q, block_bytes):
         text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-        given = out.select(text.alias("_bytes"), F.col("_leak").alias("_before"), *names)
-        out = given.mapInArrow(_marker(block, q, rate, piece, names), schema)
-    return out.filter(~F.col("_leak")).select(*names)
+        given = out.select(text.alias(raw), F.col(leak).alias(before), *names)
+        out = given.mapInArrow(_marker(block, q, rate, piece, schema.names), schema)
+    return out.filter(~F.col(leak)).select(*names)
 
 
 @query("op10_decontaminate")

@@ -309,18 +309,26 @@ def _encoder(path: str, dropout: float, seed: int, names: list[str]):
                 flat = np.concatenate([*ids, np.zeros(0, np.int32)])
                 lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))
                 back = pa.array([merger.decode(i.tolist()) for i in ids], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns[2:], lists, back], names=[*names, "piece_ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], lists, back], names=names)
 
     return encode
 
 
-def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0, key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``piece_ids`` and ``decoded``, the text that the ids give back."""
-    kept_columns = [c for c in docs.columns if c not in ("piece_ids", "decoded")]
+def encode(
+    docs: DataFrame,
+    model: str,
+    dropout: float = 0.1,
+    seed: int = 0,
+    key: str = "doc_id",
+    ids: str = "piece_ids",
+    decoded: str = "decoded",
+) -> DataFrame:
+    """``docs`` with the columns ``ids`` and ``decoded``, the text that the ids give back."""
+    kept_columns = [c for c in docs.columns if c not in (ids, decoded)]
     turn = F.xxhash64(F.col(key), F.when(F.col(key).isNull(), F.col("text")))
     given = docs.select(F.col("text").alias(free("_text", kept_columns)), turn.alias(free("_turn", kept_columns)), *kept_columns)
-    fields = T.StructType(given.schema.fields[2:]).add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    return given.mapInArrow(_encoder(model, dropout, seed, kept_columns), fields)
+    fields = T.StructType(given.schema.fields[2:]).add(ids, T.ArrayType(T.IntegerType())).add(decoded, "string")
+    return given.mapInArrow(_encoder(model, dropout, seed, fields.names), fields)
 
 
 def digest(encoded: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -22,7 +22,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm.base import SPACE, let, query, table
+from trendloom.llm.base import SPACE, free, let, query, store, table
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -160,7 +160,8 @@ def labelled(
         .orderBy(F.xxhash64(key), key)
         .limit(max_labelled)
     )
-    known = docs.select(key, text).join(F.broadcast(sample), key)
+    # Written, or Spark would test base_failed below the join and so count all documents.
+    known = store(docs.select(key, text).join(F.broadcast(sample), key), "labelled")
     judged = with_stats(known, text, "_stats").filter(~base_failed(F.col("_stats")))
     return judged.select(
         *features(F.col("_stats")),
@@ -254,12 +255,22 @@ def verdict(stats: Column, rules: list[BadRule]) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
-    """``docs`` with ``stats``, ``base_failed`` and ``kept``; the rules are learned on the way."""
+    """``docs`` with ``stats``, ``base_failed`` and ``kept``, which replace columns of these names; the
+    rules are learned on the way."""
     rules = learn(labelled(docs, labels, max_labelled).collect())  # max_labelled rows at most
     judged = with_stats(docs).withColumn("base_failed", base_failed(F.col("stats")))
     return judged.withColumn("kept", ~F.col("base_failed") & verdict(F.col("stats"), rules))
 
 
+def passing(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` to keep, with the columns of ``docs`` and whatever their names."""
+    rules = learn(labelled(docs, labels, max_labelled).collect())
+    name = free("_stats", docs.columns)
+    stats = F.col(name)
+    judged = with_stats(docs, name=name)
+    return judged.filter(~base_failed(stats) & verdict(stats, rules)).drop(name)
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their counts and the verdict of rules learned from ``labels``."""

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm.base import query, store, table
+from trendloom.llm.base import free, query, store, table
 
 
 @dataclass(frozen=True)
@@ -161,8 +161,9 @@ def redact(
 ) -> DataFrame:
     """``docs`` with ``mask`` in place of every finding; findings that overlap are masked as one."""
     names = docs.columns
-    hashed = docs.withColumn("_blob", F.sha2(F.coalesce(text, F.lit("")), 256))
-    found = _by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    blob, own = free("_blob", names), free("_spans", names)
+    hashed = docs.withColumn(blob, F.sha2(F.coalesce(text, F.lit("")), 256))
+    found = _by_blob(ledger, rules).select(F.col("blob").alias(blob), F.col("spans").alias(own))
     value = F.col(text)
 
     def add(state: Column, s: Column) -> Column:
@@ -173,8 +174,8 @@ def redact(
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = lambda s: F.concat(s["out"], F.substr(value, s["at"] + 1, F.length(value)))
-    masked = F.when(F.col("_spans").isNull(), value).otherwise(F.aggregate("_spans", zero, add, rest))
-    return hashed.join(found, "_blob", "left").withColumn(text, masked).select(*names)
+    masked = F.when(F.col(own).isNull(), value).otherwise(F.aggregate(own, zero, add, rest))
+    return hashed.join(found, blob, "left").withColumn(text, masked).select(*names)
 
 
 def joined(spans_: Column) -> Column:
