@@ -1,4 +1,5 @@
 import os
+import random
 import time
 
 import pytest
@@ -7,7 +8,7 @@ from conftest import rows
 from trendloom import schemas
 from trendloom.operators import enrich
 from trendloom.plans import merge
-from trendloom.sources import dumps, sinks
+from trendloom.sources import dumps, quoted, sinks
 
 HEADER = "text,reply,retweet,like,view,author_id,created_at,search_keyword,search_query\n"
 
@@ -100,3 +101,56 @@ def test_versions(spark, tmp_path):
     assert rows(sinks.read_version(spark, path, 1)) == [("@a", -1)]
     os.makedirs(f"{path}/version=3")  # a write that never finished
     assert sinks.latest_version(spark, path) == 2
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400b")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def messy(seed, end, n=60):
+    """Rows with line breaks, quotes, commas, empty lines and missing values."""
+    rng = random.Random(seed)
+    value = lambda: "".join(rng.choice(["a", "b", "가", ",", '"', end, " ", "x" * 30]) for _ in range(rng.randint(0, 12)))
+    cell = lambda v: '"' + v.replace('"', '""') + '"' if any(c in v for c in ',"\r\n') or rng.random() < 0.2 else v
+    lines = ["n,a,b"]
+    for i in range(n):
+        lines.append(f"{i}," + ",".join(cell(value()) for _ in range(1 if i % 29 == 0 else 2)))
+        lines += [""] * (i % 11 == 0)
+    lines.append('998,5" disc,"abc"def')
+    return end.join(lines) + (end if seed % 2 else "")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("rows_to_send", [500_000, 0])
+def test_split_files_equal_the_one_task_reader(spark, tmp_path, small_splits, monkeypatch, end, rows_to_send):
+    monkeypatch.setattr(quoted, "BROADCAST_ROWS", rows_to_send)
+    for seed in range(2):
+        (tmp_path / f"{seed}.csv").write_bytes((("\ufeff" if seed == 1 else "") + messy(seed, end)).encode())
+    schema = dumps.T.StructType([dumps.T.StructField(c, dumps.T.StringType()) for c in ("n", "a", "b")])
+    got = dumps.read_dumps(spark, str(tmp_path), schema)
+    records, _ = quoted.read_records(spark, str(tmp_path), "*.csv")
+    assert records.rdd.getNumPartitions() > 5
+    raw = schema.add(dumps.CORRUPT, "string", True)
+    one = spark.read.schema(raw).options(header=True, multiLine=True, quote='"', escape='"', columnNameOfCorruptRecord=dumps.CORRUPT)
+    key = ("file_name", "n", "a", "b")
+    want = one.csv(f"{tmp_path}/*.csv").select("*", dumps.F.col("_metadata.file_name").alias("file_name"), dumps.F.col(dumps.CORRUPT).isNotNull().alias("bad"))
+    assert rows(got.withColumn("bad", dumps.F.col(dumps.CORRUPT).isNotNull()), *key, "bad") == rows(want, *key, "bad")
+    order = got.orderBy("file_name", "row_no").select("file_name", "n").collect()
+    numbers = [str(i) for i in range(60)] + ["998"]
+    assert [r["n"] for r in order] == numbers * 2 and got.select("file_name", "row_no").distinct().count() == 122
+
+
+def test_a_value_over_many_blocks_and_an_open_end(spark, tmp_path, small_splits):
+    long = "\n".join(f"line {i}" for i in range(300))
+    (tmp_path / "a.csv").write_text(f'\n\ntext,reply\n1st,1\n"{long}",2\nlast,3\n"never closed\n,x\n')
+    df = dumps.read_dumps(spark, str(tmp_path), schemas.POSTS).orderBy("row_no").collect()
+    assert [r["text"] for r in df][:3] == ["1st", long, "last"] and len(df) == 4 and [r["reply"] for r in df][:3] == [1, 2, 3]
+
+
+def test_states_of_lines():
+    cases = {'a,b': (False, True), 'a,"b': (True, False), '"a""': (True, False), 'x"y': (False, False), '""': (False, True), '"a"b"c,"': (True, True), 'a",""': (False, False)}
+    for line, (outside, inside) in cases.items():
+        assert (quoted.open_after(line, False), quoted.open_after(line, True)) == (outside, inside), line

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.operators import dedup
+from trendloom.functions import text as tx
+from trendloom.operators import skew
+from trendloom.sources import quoted
 
 CORRUPT = "_corrupt"
 FILE, ROW = "file_name", "row_no"
@@ -36,42 +37,63 @@ def read_dump(
     schema: T.StructType,
     header: Sequence[str] | None = None,
     na_values: Sequence[str] = (),
+    glob: str | None = None,
 ) -> DataFrame:
-    """Read dumps that share one header, as the declared schema plus file, row and corrupt text.
+    """Read dumps as the declared schema plus file, size, row and corrupt text.
 
-    Values may hold quoted line breaks, so a file is read by one task: keep files of middle
-    size, or ingest once to Parquet. Rows that do not fit the header are kept and marked.
-    Columns of the schema that the header lacks are left out, so that a union can null them.
+    Values may hold quoted line breaks; files are split all the same (see ``quoted``). Each file's
+    own header names its columns, unless ``header`` does; headers are read within the job and only
+    different ones reach the driver. Columns of the schema that a file lacks are null. Rows that do
+    not fit their header are kept and marked. ``row_no`` is the order within a file.
     """
+    records, headers = quoted.read_records(spark, paths, glob)
+    kinds = sorted(r[0] for r in headers.select("header").distinct().collect()) if header is None else []
+    # A row per file; beyond the bound the join is salted.
+    records = skew.lookup(records, headers, ["path"], ["row_no"], "inner", max_rows=100_000)
+    # Two signs that end the lines of a file are one within its values too.
+    text = F.when(F.col("crlf"), F.replace("record", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("record"))
     if header is None:
-        header = header_of(spark, paths if isinstance(paths, str) else paths[0])
-    raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, CORRUPT]])
-    raw = (
-        spark.read.schema(raw_schema)
-        .options(header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
-    columns = []
-    for field in schema.fields:
-        if field.name in header:
-            value = F.col(f"`{field.name}`")
-            if na_values:
-                value = F.when(~value.isin(list(na_values)), value)
-            columns.append(_typed(value, field.dataType).alias(field.name))
-    return raw.select(
-        *columns,
-        F.col("_metadata.file_name").alias(FILE),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.monotonically_increasing_id().alias(ROW),
-        _marked(header).alias(CORRUPT),
+        parsed = [(F.col("header") == kind, _parsed(text, _split_header(kind), schema, na_values)) for kind in kinds]
+    else:
+        parsed = [(F.lit(True), _parsed(text, list(header), schema, na_values))]
+    if not parsed:
+        return _empty(spark, schema)
+    row = F.when(*parsed[0])
+    for test, value in parsed[1:]:
+        row = row.when(test, value)
+    return tx.with_once(records, "_row", row).select(
+        *[F.col("_row")[f.name].alias(f.name) for f in schema.fields],
+        F.col("name").alias(FILE),
+        F.col("size").alias("file_size"),
+        F.col("row_no").alias(ROW),
+        F.col("_row")[CORRUPT].alias(CORRUPT),
     )
 
 
-def _marked(header: Sequence[str]):
-    """The corrupt text, tied to a column of the file: Spark cannot read it on its own."""
-    first = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
-    return F.when(F.length(first) >= 0, F.col(CORRUPT))
+def _split_header(text: str) -> list[str]:
+    """Names of a header; repeated and empty ones are told apart by place, as no schema names them."""
+    names = [n.strip() for n in next(csv.reader([text]))]
+    return [n if n and n != CORRUPT and names.index(n) == i else f"_c{i}" for i, n in enumerate(names)]
+
+
+def _parsed(record, names: Sequence[str], schema: T.StructType, na_values: Sequence[str]):
+    """A record as a struct of the schema's columns and its text where it does not fit the header."""
+    raw = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+    def struct(row):
+        columns = []
+        for field in schema.fields:
+            if field.name in names:
+                value = row[field.name]
+                if na_values:
+                    value = F.when(~value.isin(list(na_values)), value)
+                columns.append(_typed(value, field.dataType).alias(field.name))
+            else:
+                columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+        return F.struct(*columns, row[CORRUPT].alias(CORRUPT))
+
+    return tx.let(F.from_csv(record, raw.toDDL(), options), struct)
 
 
 def _typed(value, data_type: T.DataType):
@@ -87,24 +109,8 @@ def read_dumps(
     glob: str = "*.csv",
     na_values: Sequence[str] = (),
 ) -> DataFrame:
-    """All dumps of a folder as one frame; a column that a file lacks is null for its rows.
-
-    Files are grouped by header, one read per group.
-    """
-    files = [row["path"] for row in list_files(spark, path, glob).select("path").collect()]
-    if not files:
-        return _empty(spark, schema)
-    with ThreadPool(min(16, len(files))) as pool:
-        headers = pool.map(lambda f: header_of(spark, f), files)
-    groups = defaultdict(list)
-    for file, header in zip(files, headers):
-        groups[header].append(file)
-    frames = [
-        read_dump(spark, sorted(members), schema, header, na_values)
-        for header, members in sorted(groups.items())
-        if header
-    ]
-    return dedup.union_by_name([_empty(spark, schema), *frames])
+    """All dumps of a folder as one frame; a column that a file lacks is null for its rows."""
+    return read_dump(spark, path, schema, na_values=na_values, glob=glob)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
