@@ -242,7 +242,7 @@ def video_rows(spark, sf_dir):
 _CARDS = {
     "seq": "doc_id",
     "search_query": "source",
-    "text": "CASE WHEN doc_id % 9 = 0 THEN '' ELSE substring(text, 1, 40) END",
+    "text": "CASE WHEN doc_id % 9 = 0 THEN '' ELSE text END",
     "datetime": "CASE WHEN doc_id % 3 = 0 THEN CAST(NULL AS STRING) ELSE '2024-01-05T10:00:00.000Z' END",
     "reply_label": raw("doc_id", "n_chars"),
     "retweet_label": raw("(doc_id + 1)", "n_chars"),

@@ -156,11 +156,9 @@ def videos_per_keyword(spark, sf_dir):
     return keywords.videos_per_keyword(_links(spark, sf_dir))
 
 
-@query("SELECT DISTINCT split_part(text, chr(10), 1) AS title FROM documents WHERE split_part(text, chr(10), 1) <> ''")
+@query("SELECT DISTINCT title FROM (SELECT unnest(string_split(text, chr(10))) AS title FROM documents) WHERE title <> ''")
 def distinct_titles(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select(
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title")
-    )
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("title"))
     return dedup.distinct_values(lines, "title")
 
 
@@ -247,7 +245,7 @@ def drop_empty(spark, sf_dir):
 
 
 @query(
-    """WITH k AS (SELECT DISTINCT split_part(text, chr(10), 1) AS keyword FROM documents),
+    """WITH k AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS keyword FROM documents),
     p AS (SELECT keyword, [w FOR w IN string_split_regex(
         regexp_replace(keyword, '[^\\p{L}\\p{N}_\\s]', '', 'g'), '\\s+') IF w <> ''] AS w FROM k),
     q AS (SELECT CASE WHEN len(w) = 1 THEN concat('"', w[1], '"') ELSE array_to_string(w, ' ') END
@@ -255,9 +253,7 @@ def drop_empty(spark, sf_dir):
     SELECT query, md5(keyword) AS keyword_md5 FROM q WHERE length(query) <= 500"""
 )
 def build_queries(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select(
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("keyword")
-    )
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("keyword"))
     return keywords.build_queries(lines).select("query", F.md5("keyword").alias("keyword_md5"))
 
 
@@ -360,23 +356,23 @@ def drop_excluded_long(spark, sf_dir):
 
 @query(
     """SELECT doc_id, concat(source, 'x') AS handle,
-      split_part(concat(split_part(text, chr(10), 1), ' - ', source), ' - ', 1) AS headline,
-      concat('[', source, '] ', substring(text, 1, 30)) AS tagged,
-      substring(text, 1, 80) AS preview_80, lower(substring(text, 1, 40)) AS preview_40,
-      trim(regexp_replace(substring(text, 1, 20), '[^\\p{L}\\p{N}_\\s]', '', 'g'), chr(10) || ' ')
+      split_part(concat(text, ' - ', source), ' - ', 1) AS headline,
+      concat('[', source, '] ', text) AS tagged,
+      substring(text, 1, 80) AS preview_80, lower(text) AS lowered,
+      trim(regexp_replace(text, '[^\\p{L}\\p{N}_\\s]', '', 'g'), chr(9) || chr(10) || chr(12) || chr(13) || ' ')
         AS cleaned FROM documents"""
 )
 def text_fields(spark, sf_dir):
     text, source = F.col("text"), F.col("source")
-    titled = F.concat(F.split_part(text, F.lit("\n"), F.lit(1)), F.lit(" - "), source)
+    titled = F.concat(text, F.lit(" - "), source)
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         tx.clean_handle(F.concat(F.lit(" @"), source, F.lit("x\t"))).alias("handle"),
         tx.strip_publisher(titled).alias("headline"),
-        tx.tag_source(source, tx.preview(text, 30)).alias("tagged"),
+        tx.tag_source(source, text).alias("tagged"),
         tx.preview(text).alias("preview_80"),
-        F.lower(tx.preview(text, 40)).alias("preview_40"),
-        tx.clean_keyword(tx.preview(text, 20)).alias("cleaned"),
+        F.lower(text).alias("lowered"),
+        tx.clean_keyword(text).alias("cleaned"),
     )
 
 
@@ -485,13 +481,13 @@ def sample_docs(spark, sf_dir):
 
 
 @query(
-    """SELECT substring(text, 1, 60) AS text, CAST(0 AS BIGINT) AS reply, CAST(0 AS BIGINT) AS retweet,
+    """SELECT text, CAST(0 AS BIGINT) AS reply, CAST(0 AS BIGINT) AS retweet,
       n_chars AS "like", CAST(0 AS BIGINT) AS view, '' AS author_id, '' AS created_at,
       '' AS search_keyword, source AS search_query FROM documents"""
 )
 def conform(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(
-        tx.preview(F.col("text"), 60).alias("text"),
+        "text",
         F.col("n_chars").alias("like"),
         F.col("source").alias("search_query"),
         "lang",

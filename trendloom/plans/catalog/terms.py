@@ -102,16 +102,17 @@ def top_terms(spark, sf_dir):
     return terms.top_terms(counts, 10, "source", "tf")
 
 
-# Topics of a document: the label of its vector; label 0 plays the part of noise.
+# Topics of a document: the label of its vector; label 0 plays the part of noise, and so do
+# documents without a vector.
 _LABELLED_SQL = f"""{_TOKENS_SQL.replace("toks AS", "all_toks AS")},
-    toks AS (SELECT doc_id, tokens, label - 1 AS topic_id FROM all_toks JOIN embeddings ON doc_id = vec_id)"""
+    toks AS (SELECT doc_id, tokens, coalesce(label - 1, -1) AS topic_id FROM all_toks LEFT JOIN embeddings ON doc_id = vec_id)"""
 
 
 def _labelled(spark, sf_dir):
     labels = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), (F.col("label") - 1).alias("topic_id")
     )
-    return _docs(spark, sf_dir).join(labels, "doc_id")
+    return _docs(spark, sf_dir).join(labels, "doc_id", "left").fillna(-1, ["topic_id"])
 
 
 _TOPICS_SQL = f"""{_class_sql("topic_id", _LABELLED_SQL, _BIGRAMS)},

@@ -8,7 +8,7 @@ from trendloom.plans.catalog.base import query, table
 from trendloom.sources import texts
 
 # One feed document per text: RSS, Atom with its namespace, broken, or with an empty title.
-_ITEM = "trim(regexp_replace(substring(text, 1, 60), '[^a-zA-Z ]', ' '{g}))"
+_ITEM = "trim(regexp_replace(text, '[^a-zA-Z ]', ' '{g}))"
 
 
 def _feeds(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from trendloom.operators import filters, reports, vectors
+from trendloom.operators import encoding, filters, reports, vectors
 from trendloom.plans import domain
 from trendloom.plans.catalog.base import EXCLUDED, EXCLUDED_SQL, query, table
 
@@ -124,65 +124,84 @@ def best_k(spark, sf_dir):
     return reports.best_k(scores)
 
 
-def _posts_with_vectors(spark, sf_dir):
+def _encoded_sql(texts: str) -> str:
+    """Unit vectors u (k, id, b, x) of texts (id, t), k = 'd', which fit the weights, and of the benchmark, k = 'r'."""
+    return f"""texts AS (SELECT 'd' AS k, id, t FROM ({texts}) UNION ALL SELECT 'r', item_id, text FROM benchmark),
+    tf AS (SELECT k, id, CAST(concat('0x', substring(md5(w), 1, 7)) AS BIGINT) % 512 AS b, count(*) AS n
+        FROM (SELECT k, id, unnest(regexp_extract_all(lower(t), '[가-힣a-zA-Z0-9]{{2,}}')) AS w FROM texts) GROUP BY 1, 2, 3),
+    nd AS (SELECT count(*) AS nd FROM texts WHERE k = 'd'),
+    idf AS (SELECT b, ln((nd + 1) / (count(*) FILTER (k = 'd') + 1)) AS w FROM tf, nd GROUP BY b, nd),
+    u AS (SELECT k, id, b, x / nullif(sqrt(sum(x * x) OVER (PARTITION BY k, id)), 0) AS x
+        FROM (SELECT k, id, b, n * w AS x FROM tf JOIN idf USING (b)))"""
+
+
+_POSTS_SQL = f"""{_encoded_sql("SELECT doc_id AS id, text AS t FROM documents")}, scored AS (
+    SELECT doc_id, text, coalesce(s, 0) AS s FROM documents LEFT JOIN (SELECT id AS doc_id, max(s) AS s FROM (
+        SELECT d.id, r.id AS item, sum(d.x * r.x) AS s FROM u d JOIN u r ON d.b = r.b WHERE d.k = 'd' AND r.k = 'r'
+        GROUP BY 1, 2) GROUP BY 1) USING (doc_id))"""
+_POST_THRESHOLD = 0.25
+
+
+def _posts_and_sentences(spark, sf_dir):
+    """All documents, the benchmark items as reference sentences, and the encoder of both."""
     docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
-    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return docs.join(vecs, "doc_id")
+    return docs, table(spark, sf_dir, "benchmark").select("text"), encoding.fit(docs)
 
 
 @query(
-    f"""WITH {_MAX_SQL} SELECT doc_id, round(s, 4) + 0.0 AS tech_similarity
-    FROM documents JOIN scored ON doc_id = vec_id
-    WHERE NOT ({EXCLUDED_SQL}) AND s >= {_THRESHOLD}"""
+    f"""WITH {_POSTS_SQL} SELECT doc_id, round(s, 4) + 0.0 AS tech_similarity
+    FROM scored WHERE NOT ({EXCLUDED_SQL}) AND s >= {_POST_THRESHOLD}"""
 )
 def domain_filter_posts(spark, sf_dir):
-    kept = domain.domain_filter_posts(
-        _posts_with_vectors(spark, sf_dir), _references(spark, sf_dir), EXCLUDED, _THRESHOLD
-    )
+    docs, sentences, encode = _posts_and_sentences(spark, sf_dir)
+    kept = domain.domain_filter_posts(docs, sentences, EXCLUDED, _POST_THRESHOLD, encode=encode)
     return kept.select("doc_id", F.round("tech_similarity", 4).alias("tech_similarity"))
 
 
-# A video is titled by its number and first turn; its vector is the one with the same number.
+# A video is titled by its number and first turn.
 _TITLES_SQL = """titles AS (SELECT conv_id, concat(CAST(conv_id AS VARCHAR), ' ', text) AS text
       FROM conversations WHERE turn = 0)"""
-_CENTRE_SQL = f"""{_REFS_SQL}, {_TITLES_SQL}, scored AS (
-    SELECT conv_id, text, list_cosine_similarity(e, ref) AS s
-    FROM titles JOIN vecs ON conv_id = vec_id, centre WHERE NOT ({EXCLUDED_SQL}))"""
+_CENTRE_SQL = f"""{_TITLES_SQL}, {_encoded_sql("SELECT conv_id AS id, text AS t FROM titles")},
+    centre AS (SELECT b, x / sqrt(sum(x * x) OVER ()) AS x FROM (SELECT b, sum(x) AS x FROM u WHERE k = 'r' GROUP BY b)),
+    scored AS (SELECT conv_id, text, coalesce(s, 0) AS s FROM titles LEFT JOIN (SELECT id AS conv_id, sum(u.x * c.x) AS s
+        FROM u JOIN centre c USING (b) WHERE k = 'd' GROUP BY 1) USING (conv_id) WHERE NOT ({EXCLUDED_SQL}))"""
+_VIDEO_THRESHOLD = 0.1
 
 
 def _titled_rows(spark, sf_dir):
+    """All rows with their titles, the titles, reference sentences, and the encoder of both."""
     rows = table(spark, sf_dir, "conversations")
     titles = rows.filter(F.col("turn") == 0).select(
         "conv_id", F.concat_ws(" ", F.col("conv_id").cast("string"), "text").alias("video_title")
     )
-    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("conv_id"), "embedding")
-    with_vectors = titles.join(vecs, "conv_id").select("video_title", "embedding")
-    return rows.join(titles, "conv_id").select("conv_id", "turn", "video_title"), with_vectors
+    sentences = table(spark, sf_dir, "benchmark").select("text")
+    named = rows.join(titles, "conv_id").select("conv_id", "turn", "video_title")
+    return named, titles.select("video_title"), sentences, encoding.fit(titles, "video_title")
 
 
-def _video_scores(spark, sf_dir, titles):
-    return domain.score_titles(titles, _references(spark, sf_dir), EXCLUDED)
+def _video_scores(titles, sentences, encode):
+    return domain.score_titles(titles, sentences, EXCLUDED, encode=encode)
 
 
 @query(
     f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn, round(s, 4) + 0.0 AS tech_similarity
-    FROM conversations c JOIN scored USING (conv_id) WHERE s >= 0.0"""
+    FROM conversations c JOIN scored USING (conv_id) WHERE s >= {_VIDEO_THRESHOLD}"""
 )
 def domain_filter_videos(spark, sf_dir):
-    rows, titles = _titled_rows(spark, sf_dir)
+    rows, titles, sentences, encode = _titled_rows(spark, sf_dir)
     kept = domain.domain_filter_videos(
-        rows, _references(spark, sf_dir), EXCLUDED, 0.0, titles, ["conv_id", "turn"]
+        rows, sentences, EXCLUDED, _VIDEO_THRESHOLD, titles, ["conv_id", "turn"], encode=encode
     )
     return kept.select("conv_id", "turn", F.round("tech_similarity", 4).alias("tech_similarity"))
 
 
 @query(
     f"""WITH {_CENTRE_SQL} SELECT c.conv_id, turn FROM conversations c
-    WHERE conv_id IN (SELECT conv_id FROM scored WHERE s >= 0.0)"""
+    WHERE conv_id IN (SELECT conv_id FROM scored WHERE s >= {_VIDEO_THRESHOLD})"""
 )
 def keep_related(spark, sf_dir):
-    rows, titles = _titled_rows(spark, sf_dir)
-    accepted = filters.min_similarity(_video_scores(spark, sf_dir, titles), 0.0)
+    rows, *scoring = _titled_rows(spark, sf_dir)
+    accepted = filters.min_similarity(_video_scores(*scoring), _VIDEO_THRESHOLD)
     return domain.keep_related(rows, accepted).select("conv_id", "turn")
 
 
@@ -191,35 +210,34 @@ def keep_related(spark, sf_dir):
     FROM conversations c LEFT JOIN scored USING (conv_id)"""
 )
 def attach_score(spark, sf_dir):
-    rows, titles = _titled_rows(spark, sf_dir)
-    scored = domain.attach_score(rows, _video_scores(spark, sf_dir, titles))
+    rows, *scoring = _titled_rows(spark, sf_dir)
+    scored = domain.attach_score(rows, _video_scores(*scoring))
     return scored.select("conv_id", "turn", F.round("tech_similarity", 4).alias("tech_similarity"))
 
 
 @query(
-    f"""WITH {_MAX_SQL}, p AS (SELECT ({EXCLUDED_SQL}) AS bad, s FROM documents JOIN scored ON doc_id = vec_id),
+    f"""WITH {_POSTS_SQL}, p AS (SELECT ({EXCLUDED_SQL}) AS bad, s FROM scored),
     c AS (SELECT count(*) AS c0, count(*) FILTER (WHERE NOT bad) AS c1,
-        count(*) FILTER (WHERE NOT bad AND s >= {_THRESHOLD}) AS c2 FROM p)
+        count(*) FILTER (WHERE NOT bad AND s >= {_POST_THRESHOLD}) AS c2 FROM p)
     SELECT 1 AS step_no, 'words' AS step, c0 AS "before", c0 - c1 AS removed, c1 AS "after",
       round(c1 * 100.0 / c0, 4) AS pct_kept FROM c
     UNION ALL SELECT 2, 'similarity', c1, c1 - c2, c2, round(c2 * 100.0 / c0, 4) FROM c"""
 )
 def domain_report_posts(spark, sf_dir):
-    report = domain.post_report(
-        _posts_with_vectors(spark, sf_dir), _references(spark, sf_dir), EXCLUDED, _THRESHOLD
-    )
+    docs, sentences, encode = _posts_and_sentences(spark, sf_dir)
+    report = domain.post_report(docs, sentences, EXCLUDED, _POST_THRESHOLD, encode=encode)
     return report.withColumn("pct_kept", F.round("pct_kept", 4))
 
 
 @query(
     f"""WITH {_CENTRE_SQL}, n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1),
     m AS (SELECT n, s FROM n JOIN titles USING (conv_id) LEFT JOIN scored USING (conv_id))
-    SELECT count(*) AS titles, count(s) AS clean_titles, count(*) FILTER (WHERE s >= 0.0) AS videos,
-      CAST(sum(n) FILTER (WHERE s >= 0.0) AS BIGINT) AS "rows",
-      round(sum(n) FILTER (WHERE s >= 0.0) / count(*) FILTER (WHERE s >= 0.0), 4) AS rows_per_video,
-      round(count(*) FILTER (WHERE s >= 0.0) * 100.0 / count(*), 4) AS pct_kept FROM m"""
+    SELECT count(*) AS titles, count(s) AS clean_titles, count(*) FILTER (WHERE s >= {_VIDEO_THRESHOLD}) AS videos,
+      CAST(sum(n) FILTER (WHERE s >= {_VIDEO_THRESHOLD}) AS BIGINT) AS "rows",
+      round(sum(n) FILTER (WHERE s >= {_VIDEO_THRESHOLD}) / count(*) FILTER (WHERE s >= {_VIDEO_THRESHOLD}), 4) AS rows_per_video,
+      round(count(*) FILTER (WHERE s >= {_VIDEO_THRESHOLD}) * 100.0 / count(*), 4) AS pct_kept FROM m"""
 )
 def domain_report_videos(spark, sf_dir):
-    rows, titles = _titled_rows(spark, sf_dir)
-    report = domain.video_report(rows, _references(spark, sf_dir), EXCLUDED, 0.0, titles)
+    rows, titles, sentences, encode = _titled_rows(spark, sf_dir)
+    report = domain.video_report(rows, sentences, EXCLUDED, _VIDEO_THRESHOLD, titles, encode=encode)
     return report.withColumns({c: F.round(c, 4) for c in ("rows_per_video", "pct_kept")})

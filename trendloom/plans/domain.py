@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.functions import text as tx
@@ -16,9 +16,28 @@ POST_THRESHOLD = 0.5
 VIDEO_THRESHOLD = 0.42
 
 
+def reference_vectors(
+    references: DataFrame | np.ndarray | Sequence[str],
+    spark: SparkSession,
+    vector: str = "embedding",
+    encode: Callable[[Column], Column] | None = None,
+) -> DataFrame | np.ndarray:
+    """References as vectors: sentences, in a list or in the column ``text`` of a table without
+    vectors, go through the encoder that the posts go through."""
+    if isinstance(references, np.ndarray):
+        return references
+    if not isinstance(references, DataFrame):
+        references = spark.createDataFrame([(t,) for t in references], "text string")
+    if vector in references.columns:
+        return references
+    if encode is None:
+        raise ValueError("sentences need an encoder, the one of the texts they are compared with")
+    return references.select(encode(F.col("text")).alias(vector))
+
+
 def score_posts(
     posts: DataFrame,
-    references: DataFrame | np.ndarray,
+    references: DataFrame | np.ndarray | Sequence[str],
     words: Sequence[str],
     column: str = "text",
     vector: str = "embedding",
@@ -26,8 +45,10 @@ def score_posts(
 ) -> DataFrame:
     """Posts without excluded words, with their highest similarity to any reference.
 
-    The word test runs first and natively, so no vector is made for a post that it drops.
+    The word test runs first, so no vector is made for a post that it drops. References may be
+    sentences, see ``reference_vectors``.
     """
+    references = reference_vectors(references, posts.sparkSession, vector, encode)
     clean = filters.drop_excluded(posts, column, words)
     if vector not in clean.columns:
         clean = vectors.embed(clean, column, encode, vector)
@@ -36,7 +57,7 @@ def score_posts(
 
 def domain_filter_posts(
     posts: DataFrame,
-    references: DataFrame | np.ndarray,
+    references: DataFrame | np.ndarray | Sequence[str],
     words: Sequence[str],
     threshold: float = POST_THRESHOLD,
     **options,
@@ -46,18 +67,26 @@ def domain_filter_posts(
 
 def post_report(
     posts: DataFrame,
-    references: DataFrame | np.ndarray,
+    references: DataFrame | np.ndarray | Sequence[str],
     words: Sequence[str],
     threshold: float = POST_THRESHOLD,
     column: str = "text",
     vector: str = "embedding",
+    encode: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Rows before, removed and after the word step and the similarity step, in one pass.
 
     Excluded posts reach the scoring without a vector, so nothing is computed for them.
     """
-    clean = ~filters.has_excluded(F.col(column), words)
-    marked = posts.select(clean.alias("_clean"), F.when(clean, F.col(vector)).alias(vector))
+    references = reference_vectors(references, posts.sparkSession, vector, encode)
+    given = posts.withColumn("_clean", ~filters.has_excluded(F.col(column), words))
+    if vector in posts.columns:
+        own = F.when(F.col("_clean"), F.col(vector))
+    elif encode is not None:
+        own = encode(F.when(F.col("_clean"), F.col(column)))
+    else:
+        raise ValueError(f"no column '{vector}' and no encoder")
+    marked = given.select("_clean", own.alias(vector))
     scored = vectors.max_similarity(marked, references, vector, "_score")
     steps = {"words": F.col("_clean"), "similarity": F.col("_score") >= threshold}
     return reports.step_counts(scored, steps)
@@ -104,8 +133,10 @@ def score_titles(
 
     Similarity is taken to the mean of the references.
     """
-    columns = ["video_title", vector] if vector in titles.columns else ["video_title"]
-    distinct = titles.select(columns).dropDuplicates(["video_title"])
+    references = reference_vectors(references, titles.sparkSession, vector, encode)
+    distinct = titles.select("video_title").distinct()
+    if vector in titles.columns:  # of several vectors of a title the least
+        distinct = titles.groupBy("video_title").agg(F.min(vector).alias(vector))
     clean = filters.drop_excluded(distinct, "video_title", words)
     if vector not in clean.columns:
         clean = vectors.embed(clean, "video_title", encode, vector)
