@@ -44,7 +44,7 @@ def test_encoder_equals_brute_force(spark, tmp_path, monkeypatch, dim):
 
 
 def test_sentences_and_posts_lie_in_one_space(spark):
-    posts = spark.createDataFrame([(1, "gpu chip news"), (2, "stock market news"), (3, "GPU spam"), (4, None), (5, "")], "id int, text string")
+    posts = spark.createDataFrame([(1, "gpu chip news"), (2, "bond trader news"), (3, "GPU spam"), (4, None), (5, "")], "id int, text string")
     encode = encoding.fit(posts, dim=4096)
     scored = domain.score_posts(posts, ["a new gpu chip", "unseen words"], ["spam"], encode=encode)
     got = dict(rows(scored, "id", "tech_similarity"))
