@@ -10,7 +10,7 @@ smoothed count. The probabilities of all words, one unknown word and the end add
 
 Training: the learning texts are dealt over ``rounds`` by hash, so that all take part. Each round
 every task adds up the seen and the expected features of its texts under the present weights; the
-sums (of a size that parameters fix) are added in a tree and the weights move along the gradient,
+sums (of a size that parameters fix) are added by blocks and the weights move along the gradient,
 seen minus expected, divided by the mean of both. Word counts are a grouped sum over all texts.
 
 The head is broadcast: at most ``head`` words of at most 64 bytes. Counts of all other words are
@@ -42,6 +42,7 @@ STEP = 32_768
 BINS = (1 << 13, 1 << 14, 1 << 13)
 WORD_BINS = 1 << 18
 KAPPA = 4.0
+BLOCK = 1 << 14
 TEN = log(10)
 
 
@@ -74,17 +75,29 @@ class Model:
         self.bin3 = (_mix(ids, 3) % np.uint64(BINS[2])).astype(np.int32) + BINS[0] + BINS[1]
         self.key2 = _mix(ids, 2)
         n = len(self.bias)
+        self.word_bins = np.empty((n, len(ids)), np.int32)
+        self.word_logp = np.empty((n, len(ids)), np.float32)
+        for before, (bins, logp) in enumerate(self.word_rows()):
+            self.word_bins[before], self.word_logp[before] = bins, logp
+
+    def word_rows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For every previous class: the bins of all words, and their log share of their class."""
+        n = len(self.bias)
         share = np.maximum(self.counts, 0.5)
         share[START] = 1e-30
         total = np.bincount(self.classes, share, n)
         base = np.log(share / total[self.classes]).astype(np.float32)
-        self.word_bins = (_mix(ids[None, :] + (np.arange(n, dtype=np.uint64)[:, None] << np.uint64(32)), 5) % np.uint64(WORD_BINS)).astype(np.int32)
-        self.word_logp = np.empty((n, len(ids)), np.float32)
+        ids = np.arange(len(self.classes), dtype=np.uint64)
         for before in range(n):
-            score = base + self.word_weights[self.word_bins[before]]
+            bins = (_mix(ids + np.uint64(before << 32), 5) % np.uint64(WORD_BINS)).astype(np.int32)
+            score = base + self.word_weights[bins]
             score[[TAIL, END]] = 0
-            z = np.log(np.bincount(self.classes, np.exp(score), n))
-            self.word_logp[before] = score - z[self.classes].astype(np.float32)
+            z = np.log(np.maximum(np.bincount(self.classes, np.exp(score), n), 1e-300))  # classes may be empty
+            yield bins, score - z[self.classes].astype(np.float32)
+
+    def plain(self) -> tuple:
+        """What a broadcast carries: no class of this package, which executors may lack."""
+        return self.words, self.counts, self.classes, self.bias, self.weights, self.word_weights
 
     def features(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Feature bins (3 x tokens) and the previous word of each token."""
@@ -172,10 +185,10 @@ def start_model(counts: DataFrame, head: int, n_classes: int) -> tuple[Model, in
         if room < 0:
             break
         least = row["level"]
-    top = fits.filter(level >= (least if least is not None else 1 << 20)).collect()  # head rows at most
-    top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
+    kept = fits.filter(level >= (least if least is not None else 1 << 20)).select("word", "n").toArrow()  # head rows at most
+    top = sorted(zip(kept.column("word").to_pylist(), kept.column("n").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
     ends = counts.filter(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    own = np.array([r["n"] for r in top], np.float64)
+    own = np.array([n for _, n in top], np.float64)
     numbers = np.concatenate([[total[0] - ends - own.sum(), ends, 0], own])
     mass = np.cumsum(np.sqrt(own)) if len(own) else np.zeros(0)
     classes = np.zeros(len(numbers), np.int64)
@@ -186,7 +199,7 @@ def start_model(counts: DataFrame, head: int, n_classes: int) -> tuple[Model, in
     by_class = np.bincount(classes, numbers, n_classes) + 1
     bias = np.log(by_class / by_class.sum()).astype(np.float32)
     model = Model(
-        [bytes(r["word"]) for r in top], numbers, classes, bias,
+        [w for w, _ in top], numbers, classes, bias,
         np.zeros((sum(BINS), n_classes), np.float32), np.zeros(WORD_BINS, np.float32),
     )
     return model, int(total[0]), int(total[1])
@@ -194,7 +207,7 @@ def start_model(counts: DataFrame, head: int, n_classes: int) -> tuple[Model, in
 
 def _gradient(shared: Broadcast):
     def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         model.prepare()
         ids = _ids(model)
         n = len(model.bias)
@@ -216,12 +229,21 @@ def _gradient(shared: Broadcast):
                         row = part[f] - offsets[f]
                         for c in range(n):
                             expected[offsets[f] : offsets[f] + BINS[f], c] += np.bincount(row, share[c], BINS[f])
-        out = np.concatenate([seen.ravel(), expected.ravel(), words, pairs.ravel()]).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["sums"])
+        out = np.concatenate([seen.ravel(), expected.ravel(), words, pairs.ravel()])
+        blocks = range(0, len(out), BLOCK)
+        parts = [out[at : at + BLOCK].tobytes() for at in blocks]
+        yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK for at in blocks], pa.int32()), pa.array(parts, pa.binary())], ["block", "sums"])
 
     return gradient
 
 
+def _add_up(parts: pa.Table) -> pa.Table:
+    """The sums of one block, a row per task before; added in an order that does not depend on tasks."""
+    rows = sorted(parts.column("sums").to_pylist())
+    total = np.sum([np.frombuffer(r, np.float64) for r in rows], axis=0)
+    return pa.table([pa.array([parts.column("block")[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "sums"])
+
+
 def train(
     texts: DataFrame,
     counts: DataFrame,
@@ -237,25 +259,23 @@ def train(
     """
     spark = texts.sparkSession
     model, n_tokens, n_distinct = start_model(counts, head, n_classes)
-    add = lambda a, b: np.add(a, b, out=a)
-    zero = np.zeros(2 * model.weights.size + WORD_BINS + n_classes * n_classes)
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
+        shared = spark.sparkContext.broadcast(model.plain())
         own = texts.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == k).select("text")
-        sums = (
-            own.coalesce(max(1, spark.sparkContext.defaultParallelism))
-            .mapInArrow(_gradient(shared), "sums binary")
-            .rdd.map(lambda r: np.frombuffer(r["sums"], np.float32).astype(np.float64))
-            .treeAggregate(zero, add, add)
-        )
+        # Sums meet by block of BLOCK numbers; what the driver gets is one set of them.
+        tasks = own.coalesce(max(1, 2 * spark.sparkContext.defaultParallelism))
+        parts = tasks.mapInArrow(_gradient(shared), "block int, sums binary")
+        whole = parts.groupBy("block").applyInArrow(_add_up, "block int, sums binary").toArrow()
+        sums = np.zeros(2 * model.weights.size + WORD_BINS + n_classes * n_classes)
+        for block, values in zip(whole.column(0).to_pylist(), whole.column(1), strict=True):
+            found = np.frombuffer(values.as_buffer(), np.float64)
+            sums[block * BLOCK : block * BLOCK + len(found)] = found
         size = model.weights.size
         seen, expected = sums[:size].reshape(model.weights.shape), sums[size : 2 * size].reshape(model.weights.shape)
         words, pairs = sums[2 * size : 2 * size + WORD_BINS], sums[2 * size + WORD_BINS :].reshape(n_classes, n_classes)
-        model.prepare()
         hoped = np.zeros(WORD_BINS)
-        for before in range(n_classes):
-            share = np.exp(model.word_logp[before]) * pairs[before][model.classes]
-            hoped += np.bincount(model.word_bins[before], share, WORD_BINS)
+        for before, (bins, logp) in enumerate(model.word_rows()):
+            hoped += np.bincount(bins, np.exp(logp) * pairs[before][model.classes], WORD_BINS)
         model = Model(
             model.words, model.counts, model.classes, model.bias,
             (model.weights + rate * (seen - expected) / ((seen + expected) / 2 + KAPPA)).astype(np.float32),
@@ -272,7 +292,7 @@ def _scorer(shared: Broadcast, norm: float):
     """A row per text (word null), and a row per text and word of it beyond the head."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         model.prepare()
         ids = _ids(model)
         schema = pa.schema([("row", pa.int64()), ("word", pa.binary()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
@@ -322,7 +342,7 @@ def score(docs: DataFrame, learn_from: Column, **parameters) -> DataFrame:
     norm = n_tokens + n_distinct + 1
     tail = int(model.counts[TAIL])
     tail_norm = tail + (n_distinct - len(model.words) - (1 if model.counts[END] else 0)) + 1
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.plain())
     numbered = raw.withColumn("row", F.monotonically_increasing_id())
     out = numbered.select("row", "text", "doc_id").mapInArrow(_with_id(_scorer(shared, norm)), "doc_id long, " + SCORED)
     out = store(out, "scored")
