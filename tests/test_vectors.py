@@ -42,11 +42,20 @@ def test_exact_median(spark, values):
 
 
 @pytest.mark.parametrize("n", [999, 1000])
-def test_exact_median_of_many(spark, n):
+@pytest.mark.parametrize("accuracy", [20_000, 10, 4])
+def test_exact_median_of_many(spark, n, accuracy):
     values = np.random.default_rng(n).beta(2, 5, n) * 1e-3
+    values[: n // 3] = values[n // 2]
     df = spark.createDataFrame([(float(v),) for v in values], "s double").repartition(6)
-    assert quantiles.exact_median(df, "s").first()[0] == float(np.median(values))
-    assert quantiles.exact_median(df.filter("s > 9"), "s").first()[0] is None
+    assert quantiles.exact_median(df, "s", accuracy).first()[0] == float(np.median(values))
+
+
+def test_a_bracket_that_misses_is_replaced(spark, monkeypatch):
+    df = spark.createDataFrame([(float(v),) for v in range(11)], "s double")
+    missed = quantiles.F.array(quantiles.F.lit(7.0), quantiles.F.lit(9.0))
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *_: quantiles.F.first(missed))
+    assert quantiles.exact_median(df, "s").first()[0] == 5.0
+    assert quantiles.exact_median(df.filter("s > 99"), "s").first()[0] is None
 
 
 def test_stats_populations(spark):

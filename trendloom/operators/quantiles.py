@@ -1,76 +1,70 @@
-"""An exact median that never gathers the values in one place."""
+"""An exact median in two reads, which never gathers the values in one place."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-_BINS = 1 << 16
-_LEVELS = 3
+from trendloom import session
 
+ACCURACY = 20_000
 
-def exact_median(df: DataFrame, column: str, low: float = -1.0, high: float = 1.0) -> DataFrame:
-    """One row (median): the middle value, or the mean of the two middle values.
 
-    Values are counted in 65,536 bins; the bin that holds the middle is cut into 65,536
-    again, three times over, and what is left is ordered by value. Each step aggregates
-    before its shuffle and hands on at most 65,536 counts. Values outside [low, high] fall
-    into the outer bins, so the result stays exact. The input is read once per level: pass
-    a table that was written or checkpointed, not a long plan.
+def exact_median(df: DataFrame, column: str, accuracy: int = ACCURACY) -> DataFrame:
+    """One row (median): the middle value, or the mean of the two middle values; null on no values.
+
+    The first read counts the values and, by a sketch whose ranks are off by 1 / ``accuracy`` at
+    most, brackets the middle. The second counts what lies below the bracket and, value by value,
+    what lies in it, so that the counts prove the bracket; if it does not hold the middle, all values
+    take its place. The bracket, a few values in ``accuracy``, is sorted in ranges; the driver sees a
+    row per range. Pass a table that was written or checkpointed, not a long plan.
     """
+    spark = df.sparkSession
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    targets: DataFrame | None = None
-    for level in range(_LEVELS):
-        cell = _bin(level, low, high)
-        if targets is None:
-            counts = values.groupBy(cell.alias("b0")).agg(F.count("*").alias("n"))
-            targets = _start(counts)
-        else:
-            path = [f"b{i}" for i in range(level)]
-            binned = values.withColumns({f"b{i}": _bin(i, low, high) for i in range(level)})
-            counts = (
-                binned.join(F.broadcast(targets), path)  # two rows
-                .groupBy("which", "rank", *path, cell.alias(f"b{level}"))
-                .agg(F.count("*").alias("n"))
-            )
-            targets = _select(counts, f"b{level}", [*path, f"b{level}"])
-    path = [f"b{i}" for i in range(_LEVELS)]
-    binned = values.withColumns({f"b{i}": _bin(i, low, high) for i in range(_LEVELS)})
-    last = binned.join(F.broadcast(targets), path).groupBy("which", "rank", "v").agg(
-        F.count("*").alias("n")
-    )
-    return _select(last, "v", ["v"]).agg(F.avg("v").alias("median"))
-
-
-def _bin(level: int, low: float, high: float) -> Column:
-    """Cell of this level inside the cell of the level above, by fixed-point digits."""
-    scaled = (F.col("v") - F.lit(low)) / F.lit(high - low)
-    bounded = F.greatest(F.lit(0.0), F.least(scaled, F.lit(1.0 - 2.0**-48)))
-    digits = F.floor(bounded * F.lit(float(_BINS) ** (level + 1)))
-    return F.pmod(digits, F.lit(_BINS)).cast("int")
+    margin = 2 / accuracy
+    ends = F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy)
+    n, bracket = values.agg(F.count("v"), ends).first()
+    if not n:
+        return spark.createDataFrame([(None,)], "median double")
+    ranks = sorted({(n + 1) // 2, (n + 2) // 2})
+    counted, below = _counted(values, *bracket)
+    inside = counted.agg(F.sum("n")).first()[0] or 0
+    if not below < ranks[0] <= ranks[-1] <= below + inside:
+        counted, below = _counted(values, None, None)
+    found = _at(counted, [r - below for r in ranks])
+    return spark.createDataFrame([(sum(found) / len(found),)], "median double")
 
 
-def _start(counts: DataFrame) -> DataFrame:
-    """The one or two middle ranks and the first-level bins they fall into."""
-    upto = Window.orderBy("b0").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(Window.partitionBy())
-    ranks = F.array(
-        F.struct(F.lit(0).alias("which"), F.floor((total + 1) / 2).alias("rank")),
-        F.struct(F.lit(1).alias("which"), F.floor((total + 2) / 2).alias("rank")),
-    )
-    placed = counts.select("b0", "n", F.sum("n").over(upto).alias("upto"), ranks.alias("ranks"))
-    spread = placed.select("b0", "n", "upto", F.inline("ranks"))
-    return _keep_holder(spread).select("which", "rank", "b0")
+def _counted(values: DataFrame, low: float | None, high: float | None) -> tuple[DataFrame, int]:
+    """(v, n) of the values from ``low`` to ``high``, and how many lie below."""
+    if low is None:
+        marked = values.select(F.lit(0).alias("side"), "v")
+    else:
+        side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
+        marked = values.select(side.alias("side"), F.when(side == 0, F.col("v")).alias("v"))
+    counts = _stored(marked.groupBy("side", "v").agg(F.count("*").alias("n")), "bracket")
+    below = counts.filter("side = -1").agg(F.sum("n")).first()[0] or 0
+    return counts.filter("side = 0").select("v", "n"), below
 
 
-def _select(counts: DataFrame, by: str, keep: list[str]) -> DataFrame:
-    upto = Window.partitionBy("which").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
-    return _keep_holder(counts.withColumn("upto", F.sum("n").over(upto))).select(
-        "which", "rank", *keep
-    )
+def _at(counted: DataFrame, ranks: list[int]) -> list[float]:
+    """The values of these ranks among values that come ``n`` times each."""
+    ranged = _stored(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # a row per range
+    out = []
+    for rank in ranks:
+        for row in sizes:
+            if rank <= row["n"]:
+                upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+                own = ranged.filter(F.col("part") == row["part"]).withColumn("upto", F.sum("n").over(upto))
+                out.append(own.filter(F.col("upto") >= rank).agg(F.min("v")).first()[0])
+                break
+            rank -= row["n"]
+    return out
 
 
-def _keep_holder(df: DataFrame) -> DataFrame:
-    before = F.col("upto") - F.col("n")
-    hit = (before < F.col("rank")) & (F.col("rank") <= F.col("upto"))
-    return df.filter(hit).withColumn("rank", F.col("rank") - before)
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = session.run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
