@@ -74,6 +74,10 @@ def test_suffix_dedup_equals_brute_force(table, docs, empty, hot):
     got = suffixes.dedup(table.unionByName(table.filter("doc_id = 3")), hot=hot).distinct().collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.without_repeats(docs)
     assert suffixes.dedup(empty).count() == 0
+    copied = table.unionByName(table.filter("doc_id < 20").withColumn("doc_id", pieces.F.lit(None).cast("long")))
+    again = suffixes.dedup(copied, hot=hot).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in again if r.doc_id is not None} == brute.without_repeats(docs)
+    assert [r.n_removed for r in again if r.doc_id is None] == [0] * 20
 
 
 def test_secret_scan_and_ledger(table, docs, empty):
