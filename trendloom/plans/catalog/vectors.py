@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from trendloom.operators import encoding, filters, reports, vectors
+from trendloom.operators import encoding, filters, neighbours, reports, vectors
 from trendloom.plans import domain
 from trendloom.plans.catalog.base import EXCLUDED, EXCLUDED_SQL, query, table
 
@@ -241,3 +241,41 @@ def domain_report_videos(spark, sf_dir):
     rows, titles, sentences, encode = _titled_rows(spark, sf_dir)
     report = domain.video_report(rows, sentences, EXCLUDED, _VIDEO_THRESHOLD, titles, encode=encode)
     return report.withColumns({c: F.round(c, 4) for c in ("rows_per_video", "pct_kept")})
+
+
+# The vectors of the table lie far apart, so the radius is wide.
+_RADIUS, _MIN_SAMPLES, _MIN_SIZE = 1.2, 8, 5
+_NEAR_SQL = f"""unit AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u
+      FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+    near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, list_dot_product(a.u, b.u) AS s FROM unit a, unit b
+      WHERE list_dot_product(a.u, b.u) >= 1 - {_RADIUS} * {_RADIUS} / 2.0),
+    counted AS (SELECT a AS vec_id, count(*) AS neighbours FROM near GROUP BY a)"""
+
+
+@query(f"WITH {_NEAR_SQL} SELECT vec_id, neighbours FROM counted")
+def neighbour_counts(spark, sf_dir):
+    """How many vectors lie near each."""
+    return neighbours.neighbour_counts(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64, _RADIUS)
+
+
+@query(
+    f"""WITH RECURSIVE {_NEAR_SQL},
+    core AS (SELECT vec_id FROM counted WHERE neighbours >= {_MIN_SAMPLES}),
+    links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+    reach(a, label) AS (SELECT vec_id, vec_id FROM core
+      UNION SELECT links.b, reach.label FROM reach JOIN links ON links.a = reach.a),
+    labels AS (SELECT a AS vec_id, min(label) AS cluster FROM reach GROUP BY a),
+    edge AS (SELECT a AS vec_id, arg_min(cluster, (-round(s, 9), b)) AS cluster FROM near
+      JOIN labels ON labels.vec_id = near.b WHERE a NOT IN (FROM core) GROUP BY a),
+    named AS (SELECT * FROM labels UNION ALL SELECT * FROM edge),
+    large AS (SELECT cluster FROM named GROUP BY cluster HAVING count(*) >= {_MIN_SIZE})
+    SELECT vec_id, neighbours, neighbours >= {_MIN_SAMPLES} AS core,
+      CASE WHEN cluster IN (FROM large) THEN cluster END AS cluster
+    FROM counted LEFT JOIN named USING (vec_id)"""
+)
+def density_clusters(spark, sf_dir):
+    """Clusters of any shape among the vectors, by links between neighbours."""
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.density_clusters(
+        rows, radius=_RADIUS, min_samples=_MIN_SAMPLES, min_cluster_size=_MIN_SIZE
+    )
