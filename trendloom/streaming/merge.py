@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from trendloom.operators import dedup
+# A row travels as JSON, with all digits of its times.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+_PARCEL = "_key binary, _time long, _row string"
 
 
 def read_stream(
@@ -34,30 +43,69 @@ def stream_merge(
     """Append the unseen rows of all files that are there; run again to go on.
 
     Dumps come in any order of dates, so nothing is dropped for being late: each batch keeps the
-    first row per key by ``event_time`` and leaves out keys that earlier batches wrote, however
-    long ago. Null keys count as one. Rows go to ``out`` by batch number (column ``batch``), the
-    hashes of their keys to a log beside the checkpoint; a batch that is run again replaces its
-    own files and looks only at the log of the batches before it, so a failure repeats nothing.
+    first row per key by ``event_time`` (no or a bad time first, then the row's content) and leaves
+    out keys that earlier batches wrote, however long ago. Null keys count as one. Rows go to
+    ``out`` by batch number (column ``batch``, which the rows must not have).
+
+    The keys seen are keyed state, as hashes: a batch looks up its own keys and reads no log of
+    the others. State lies in as many partitions as the session shuffles to when the stream first
+    starts; many keys want the session's RocksDB state store. A batch that is run again starts from
+    the state before it and replaces its own files, so a failure repeats nothing. Each task keeps one
+    row of a key per Arrow batch before the shuffle. Maps need strings as keys.
     """
-    log = f"{checkpoint.rstrip('/')}-keys"
+    if "batch" in rows.columns:
+        raise ValueError("a column named batch would clash with the number of the batch")
+    parcels = rows.select(
+        F.unhex(F.sha2(F.to_json(F.struct(key)), 256)).alias("_key"),
+        F.unix_micros(F.col(event_time).try_cast("timestamp")).alias("_time"),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), _JSON).alias("_row"),
+    )
+    schema = rows.schema
+    unseen = (
+        parcels.mapInArrow(_first_of_batches(), _PARCEL)
+        .groupBy("_key")
+        .applyInPandasWithState(_first_unseen(), "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    )
 
     def append(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        keyed = batch.withColumn("_key", F.sha2(F.to_json(F.struct(key)), 256))
-        first = dedup.dedup_first(keyed, ["_key"], [F.col(event_time).try_cast("timestamp")])
-        if number:
-            # Batch 0 writes the log even without rows, so a missing log is an error here.
-            known = spark.read.schema("_key string, batch long").parquet(log).filter(F.col("batch") < number).select("_key").distinct()
-            first = first.join(known, "_key", "left_anti")
-        first.drop("_key").write.mode("overwrite").parquet(f"{out}/batch={number}")
-        own = spark.read.schema(batch.schema).parquet(f"{out}/batch={number}")
-        own.select(F.sha2(F.to_json(F.struct(key)), 256).alias("_key")).write.mode("overwrite").parquet(
-            f"{log}/batch={number}"
-        )
+        parsed = batch.select(F.from_json("_row", schema, _JSON).alias("_row")).select("_row.*")
+        parsed.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        rows.writeStream.foreachBatch(append)
+        unseen.writeStream.foreachBatch(append)
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _first_of_batches():
+    order = [("_key", "ascending"), ("_time", "ascending"), ("_row", "ascending")]
+
+    def first(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table.take(pc.sort_indices(table, sort_keys=order, null_placement="at_start")).combine_chunks()
+            keys = table["_key"]
+            if len(keys) > 1:
+                new = pc.not_equal(keys.slice(1).combine_chunks(), keys.slice(0, len(keys) - 1).combine_chunks())
+                table = table.filter(pa.concat_arrays([pa.array([True]), new]))
+            yield from table.to_batches()
+
+    return first
+
+
+def _first_unseen():
+    def first(key, parts, state):
+        if state.exists:
+            return
+        least = None
+        for part in parts:
+            for time, row in zip(part["_time"], part["_row"]):
+                found = (not pd.isna(time), 0 if pd.isna(time) else int(time), row)
+                least = found if least is None or found < least else least
+        state.update((True,))
+        yield pd.DataFrame({"_row": [least[2]]})
+
+    return first
