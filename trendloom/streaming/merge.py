@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-# A row travels as JSON, with all digits of its times.
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-_PARCEL = "_key binary, _time long, _row string"
 
 
 def read_stream(
@@ -47,32 +38,35 @@ def stream_merge(
     out keys that earlier batches wrote, however long ago. Null keys count as one. Rows go to
     ``out`` by batch number (column ``batch``, which the rows must not have).
 
-    The keys seen are keyed state, as hashes: a batch looks up its own keys and reads no log of
-    the others. State lies in as many partitions as the session shuffles to when the stream first
-    starts; many keys want the session's RocksDB state store. A batch that is run again starts from
-    the state before it and replaces its own files, so a failure repeats nothing. Each task keeps one
-    row of a key per Arrow batch before the shuffle. Maps need strings as keys.
+    The keys seen are the state of a streaming ``dropDuplicates``, as hashes: a batch looks up its own
+    keys there and reads no log of the others. The micro-batch is the union of its new keys and its
+    rows, so one aggregation picks the first row of each new key. State lies in as many partitions as
+    the session shuffles to when the stream first starts; many keys want the session's RocksDB state
+    store. A batch that is run again starts from the state before it and replaces its own files, so a
+    failure repeats nothing. Keys repeat at most once per Arrow batch of a task before they are
+    shuffled, and rows are aggregated in their tasks first.
     """
     if "batch" in rows.columns:
         raise ValueError("a column named batch would clash with the number of the batch")
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    order = F.struct(F.col(event_time).try_cast("timestamp").alias("time"), F.to_json(whole).alias("row"))
     parcels = rows.select(
-        F.unhex(F.sha2(F.to_json(F.struct(key)), 256)).alias("_key"),
-        F.unix_micros(F.col(event_time).try_cast("timestamp")).alias("_time"),
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), _JSON).alias("_row"),
+        F.unhex(F.sha2(F.to_json(F.struct(key)), 256)).alias("_key"), order.alias("_order"), whole.alias("_row")
     )
-    schema = rows.schema
-    unseen = (
-        parcels.mapInArrow(_first_of_batches(), _PARCEL)
-        .groupBy("_key")
-        .applyInPandasWithState(_first_unseen(), "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    unseen = parcels.select("_key").mapInArrow(_different(), "_key binary").dropDuplicates(["_key"])
+    both = parcels.withColumn("_new", F.lit(False)).unionByName(
+        unseen.withColumn("_new", F.lit(True)), allowMissingColumns=True
     )
 
     def append(batch: DataFrame, number: int) -> None:
-        parsed = batch.select(F.from_json("_row", schema, _JSON).alias("_row")).select("_row.*")
-        parsed.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        # One action: a second one would look the keys up again.
+        first = batch.groupBy("_key").agg(
+            F.max("_new").alias("_new"), F.min_by(F.when(~F.col("_new"), F.col("_row")), "_order").alias("_row")
+        )
+        first.filter("_new").select("_row.*").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        unseen.writeStream.foreachBatch(append)
+        both.writeStream.foreachBatch(append)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -80,32 +74,9 @@ def stream_merge(
     )
 
 
-def _first_of_batches():
-    order = [("_key", "ascending"), ("_time", "ascending"), ("_row", "ascending")]
-
-    def first(batches):
+def _different():
+    def different(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table.take(pc.sort_indices(table, sort_keys=order, null_placement="at_start")).combine_chunks()
-            keys = table["_key"]
-            if len(keys) > 1:
-                new = pc.not_equal(keys.slice(1).combine_chunks(), keys.slice(0, len(keys) - 1).combine_chunks())
-                table = table.filter(pa.concat_arrays([pa.array([True]), new]))
-            yield from table.to_batches()
-
-    return first
-
-
-def _first_unseen():
-    def first(key, parts, state):
-        if state.exists:
-            return
-        least = None
-        for part in parts:
-            for time, row in zip(part["_time"], part["_row"]):
-                found = (not pd.isna(time), 0 if pd.isna(time) else int(time), row)
-                least = found if least is None or found < least else least
-        state.update((True,))
-        yield pd.DataFrame({"_row": [least[2]]})
+            yield pa.RecordBatch.from_arrays([pc.unique(batch.column(0))], names=["_key"])
 
-    return first
+    return different
