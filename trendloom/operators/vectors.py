@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.functions import text as tx
-from trendloom.operators import skew
+from trendloom.operators import neighbours, skew
 
-# Reference vectors that one scoring function carries.
+# Reference vectors that one scoring function carries, and that a table is collected up to.
 BLOCK = 4096
 
 
@@ -125,31 +125,23 @@ def max_similarity(
 ) -> DataFrame:
     """Add the highest cosine to any reference vector; the n x m scores are never written.
 
-    The reference set is a parameter of the job, dozens of sentences as a rule. It travels
-    to the tasks in blocks of at most ``block`` vectors, as many as there are.
+    Up to ``block`` reference rows, counted first, travel to the tasks as one matrix. A larger
+    table stays a table: its rows lie in cells, of which a vector opens those that can hold its
+    best (see ``neighbours.max_cosine``). A larger array goes in blocks.
     """
     if isinstance(references, DataFrame):
-        blocks = _collect_blocks(references, column, block)
-    else:
-        blocks = [references[at : at + block] for at in range(0, len(references), block)]
+        given = references.select(column).filter(F.col(column).isNotNull())
+        few = [np.asarray(row[0], dtype=np.float64) for row in given.limit(block + 1).collect()]
+        if not few:
+            raise ValueError("no reference vectors")
+        if len(few) > block:
+            return neighbours.max_cosine(df, references, column, out)
+        references = np.stack(few)
+    blocks = [references[at : at + block] for at in range(0, len(references), block)]
     scores = [max_cosine(b)(F.col(column)) for b in blocks]
     return df.withColumn(out, F.greatest(*scores) if len(scores) > 1 else scores[0])
 
 
-def _collect_blocks(references: DataFrame, column: str, block: int) -> list[np.ndarray]:
-    blocks, rows = [], []
-    for row in references.select(column).filter(F.col(column).isNotNull()).toLocalIterator():
-        rows.append(np.asarray(row[0], dtype=np.float64))
-        if len(rows) == block:
-            blocks.append(np.stack(rows))
-            rows = []
-    if rows:
-        blocks.append(np.stack(rows))
-    if not blocks:
-        raise ValueError("no reference vectors")
-    return blocks
-
-
 def centroid_similarity(
     df: DataFrame,
     references: DataFrame,

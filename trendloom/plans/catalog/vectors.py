@@ -279,3 +279,16 @@ def density_clusters(spark, sf_dir):
     return neighbours.density_clusters(
         rows, radius=_RADIUS, min_samples=_MIN_SAMPLES, min_cluster_size=_MIN_SIZE
     )
+
+
+@query(
+    """WITH vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+    SELECT a.vec_id, round(max(list_cosine_similarity(a.e, list_reverse(b.e))), 4) + 0.0 AS tech_similarity
+    FROM vecs a, vecs b GROUP BY a.vec_id"""
+)
+def max_similarity_table(spark, sf_dir):
+    """The best of as many references as there are vectors: the vectors read backwards."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    references = rows.select(F.reverse("embedding").alias("embedding"))
+    scored = neighbours.max_cosine(rows, references, "embedding", "tech_similarity", block=256)
+    return scored.select("vec_id", F.round("tech_similarity", 4).alias("tech_similarity"))
