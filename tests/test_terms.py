@@ -81,20 +81,47 @@ def _windows(tokens, size):
     return [tokens[i : i + size] for i in range(len(tokens) - size + 1)]
 
 
-@pytest.mark.parametrize("size", [None, 2, 5, 110])
-def test_window_counts_by_brute_force(spark, docs, size):
+@pytest.mark.parametrize("size, max_pairs", [(None, 99), (2, 99), (5, 99), (110, 99), (5, 0), (None, 0)])
+def test_window_counts_by_brute_force(spark, docs, size, max_pairs):
     topics = spark.createDataFrame(
         [(t, w, r) for t, ws in enumerate([WORDS[:4], WORDS[3:8]]) for r, w in enumerate(ws, 1)],
         "topic_id int, term string, rank int",
     )
     windows = [set(w) for _, _, ts in DOCS for w in _windows(ts, size)]
-    got = {(r["a"], r["b"]): (r["n_a"], r["n_b"], r["n_ab"], r["n"]) for r in coherence.window_counts(docs, topics, size).collect()}
+    got = {(r["a"], r["b"]): (r["n_a"], r["n_b"], r["n_ab"], r["n"]) for r in coherence.window_counts(docs, topics, size, max_pairs).collect()}
     for ws in (WORDS[:4], WORDS[3:8]):
         for a, b in [*combinations(sorted(ws), 2), *((w, w) for w in ws)]:
             one = lambda w: sum(w in x for x in windows)
             assert got[a, b] == (one(a), one(b), sum(a in x and b in x for x in windows), len(windows))
 
 
+def test_odd_token_lists(spark):
+    topics = spark.createDataFrame([(0, "a", 1), (0, "b", 2)], "topic_id int, term string, rank int")
+    odd = [(1, None), (2, []), (3, [None, "a"]), (3, ["a", "x", "b"]), (4, ["b", "a"] * 500)]
+    schema = "doc_id int, tokens array<string>"
+    for most in (99, 0):
+        got = coherence.window_counts(spark.createDataFrame(odd, schema).repartition(3), topics, 2, most)
+        assert rows(got) == [("a", "a", 1001, 1001, 1001, 1004), ("a", "b", 1001, 1000, 999, 1004), ("b", "b", 1000, 1000, 1000, 1004)]
+        none = coherence.window_counts(spark.createDataFrame([], schema), topics, 2, most)
+        assert {r[2:] for r in rows(none)} == {(0, 0, 0, None)}
+
+
+def test_documents_are_read_once(spark, docs, tmp_path):
+    """Words, unions and the number of windows come from one pass over the texts."""
+    topics = spark.createDataFrame([(0, "a", 1), (0, "b", 2)], "topic_id int, term string, rank int")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    n = docs.count()
+    seen = docs.select("doc_id", "tokens").mapInArrow(count, "doc_id int, tokens array<string>")
+    coherence.window_counts(seen, topics, 5).collect()
+    assert read.value == n
+
+
 def test_coherence_prefers_words_that_meet(spark):
     data = [(i, ["a", "b", "c"] if i % 2 else ["x", "y", "z"]) for i in range(20)]
     docs = spark.createDataFrame(data, "doc_id int, tokens array<string>")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from trendloom import session
 from trendloom.operators import enrich
+from trendloom.plans import enrichment
 from trendloom.plans.catalog.base import query, table
+from trendloom.sources import snapshots
 from trendloom.streaming import enrich as enrich_stream_jobs
 from trendloom.streaming import merge as merge_stream_jobs
 
@@ -101,3 +103,17 @@ def stream_enrich(spark, sf_dir):
     enrich_stream_jobs.stream_metrics(arriving, f"{run}/log", f"{run}/state").awaitTermination()
     metrics = enrich_stream_jobs.read_metrics(spark, f"{run}/log")
     return enrich.enrich_authors(_posts(spark, sf_dir), metrics, ["seq"])
+
+
+@query(
+    f"""WITH p AS (SELECT seq, author_id, follower_count, trim(replace(author_id, '@', '')) AS author FROM ({_POSTS})),
+    asked AS (SELECT DISTINCT author FROM p WHERE coalesce(follower_count, -1) = -1 AND author <> '')
+    SELECT seq, author_id, coalesce(new_count, follower_count, -1) AS follower_count
+    FROM p LEFT JOIN (SELECT * FROM ({_NEWEST_SQL}) WHERE author IN (FROM asked)) n ON n.author = p.author"""
+)
+def enrich_snapshot(spark, sf_dir):
+    """The enrichment as one job on a snapshot table: known counts stay, pending ones are written."""
+    path = session.run_dir(spark, "enrich-snapshot")
+    enrichment.start(_posts(spark, sf_dir), path, buckets=16)
+    done = enrichment.apply_metrics(spark, path, _metrics(spark, sf_dir), ["seq"])
+    return snapshots.read(spark, path, done)
