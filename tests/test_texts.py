@@ -1,6 +1,7 @@
+import pytest
 from conftest import rows
 
-from trendloom.sources import texts
+from trendloom.sources import selectors, texts
 
 RSS = "<?xml version='1.0'?><rss><channel><title>c</title><item><title>A &amp; B</title></item><item><title/></item><item><link/></item></channel></rss>"
 ATOM = "<feed xmlns='http://www.w3.org/2005/Atom'><title>f</title><entry><title>E1</title></entry><entry><title>E2</title></entry></feed>"
@@ -30,6 +31,53 @@ def test_pages(spark):
     assert rows(texts.page_titles(pages, ["tr.row .name a"], per_page=1), "title") == [("One <b> bold",)]
 
 
+OPEN = """<ul id=top><li class="x y">a<ul><li>b<li>c</ul>d<li class=y><script>s</script>e <p>f<div>g</div></ul>
+<table><tr><td>1<td><a>2</a><table><tr><td>3</table><tr class=r><td>4<td>5<tbody><tr><td data-k="v w">6</table>
+<p>h<p>i<ul><li>j</ul>k</p><select><optgroup><option>o1<option>o2<optgroup><option>o3</select>"""
+
+
+@pytest.mark.parametrize(
+    "selector, expected",
+    [
+        ("li", ["abcd", "b", "c", "e fg", "j"]),
+        ("li li", ["b", "c"]),
+        ("#top > li", ["abcd", "e fg"]),
+        ("ul ul > li, li.y.x", ["abcd", "b", "c"]),
+        (".y div", ["g"]),
+        ("p", ["f", "h", "i"]),
+        ("tr > td", ["1", "23", "3", "4", "5", "6"]),
+        ("td td", ["3"]),
+        ("table table tr", ["3"]),
+        ("tr.r td, [data-k='v w']", ["4", "5", "6"]),
+        ("[class=y] *", ["s", "f", "g"]),
+        ("option", ["o1", "o2", "o3"]),
+        ("select > optgroup", ["o1o2", "o3"]),
+        ("ul > ul", []),
+    ],
+)
+def test_selectors_on_pages_with_open_ends(selector, expected):
+    found = selectors.find(OPEN, [selectors.compile_selector(selector)])
+    assert [f.text for f in found] == expected
+
+
+@pytest.mark.parametrize("bad", ["", "a,", "> a", "a >", "a > > b", "a:hover", "a + b", "a[", "a ~ b"])
+def test_selectors_that_are_not_supported(bad):
+    with pytest.raises(ValueError):
+        selectors.compile_selector(bad)
+
+
+def test_rows_then_cells(spark):
+    pages = spark.createDataFrame([("u", PAGE), ("v", None), ("w", OPEN)], "url string, html string")
+    got = texts.page_rows(pages, ["tr.missing", "tr"], ".name > a, td a")
+    assert rows(got) == [("u", 0, "One <b> bold"), ("w", 0, "2")]
+    assert rows(texts.page_rows(pages, ["tr"], "td"), "url", "pos", "title") == [
+        ("u", 0, "One <b> bold\nsecond"), ("u", 1, "Two"), ("w", 0, "1"), ("w", 1, "3"), ("w", 2, "4"), ("w", 3, "6")
+    ]
+    assert rows(texts.page_rows(pages, ["tr"], "td", per_page=1), "url", "pos") == [("u", 0), ("w", 0)]
+    deep = "<div>" * 3000 + "<p class=t>x"
+    assert [f.text for f in selectors.find(deep, [selectors.compile_selector("div div > p.t")])] == ["x"]
+
+
 def test_replies(spark):
     reply = "```csv\nkeyword\n그래프 DB,\n\n  양자 내성 암호, \n}} done\nEdge chip }} tail\n로봇 팔\n```"
     df = spark.createDataFrame([(1, reply), (2, None), (3, "")], "reply_id long, text string")

@@ -73,6 +73,30 @@ def page_links(spark, sf_dir):
     return texts.page_titles(pages, ["nav li a"], per_page=3)
 
 
+@query(
+    f"""WITH l AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1),
+        '<a[^>]*>(.*?)</a>', 1) AS links FROM pages),
+    e AS (SELECT page_id, unnest(range(0, least(len(links), 5))) AS pos, links FROM l)
+    SELECT page_id, CAST(pos AS INTEGER) AS pos, {_unescape("links[pos + 1]")} AS title FROM e"""
+)
+def page_rows(spark, sf_dir):
+    """Rows by the second selector, then the first cell of each."""
+    pages = table(spark, sf_dir, "pages", spread=True).select("page_id", "html")
+    return texts.page_rows(pages, ["nav > li.main", "nav li"], "ul > li > a[href]", per_page=5)
+
+
+@query(
+    f"""SELECT * FROM (SELECT page_id, CAST(0 AS INTEGER) AS pos,
+        {_unescape("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title FROM pages
+      UNION ALL SELECT page_id, CAST(1 AS INTEGER) AS pos,
+        {_unescape("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS title FROM pages) WHERE title <> ''"""
+)
+def page_headings(spark, sf_dir):
+    """Elements of a list of selectors, in the order of the page."""
+    pages = table(spark, sf_dir, "pages", spread=True).select("page_id", "html")
+    return texts.page_titles(pages, ["article > h1, head > title"])
+
+
 _REPLY = "concat('```csv', chr(10), 'keyword', chr(10), text, ',', chr(10), '}}} end', chr(10), ' last }}x', chr(10), '```')"
 
 

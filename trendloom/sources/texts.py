@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.functions import text as tx
+from trendloom.sources import selectors as selector
 
 _ITEMS = "array<struct<title: string>>"
 _FEED = f"channel struct<item: {_ITEMS}>, item {_ITEMS}, entry {_ITEMS}"
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
 def feed_titles(feeds: DataFrame, atom_marks: Sequence[str] | None = None) -> DataFrame:
@@ -42,64 +41,6 @@ def feed_titles(feeds: DataFrame, atom_marks: Sequence[str] | None = None) -> Da
     return with_feed.select("source", "url", F.posexplode(chosen).alias("pos", "title"))
 
 
-class _Finder(HTMLParser):
-    """Texts of the elements that match 'tag.class tag.class ...' (each part inside the former)."""
-
-    def __init__(self, selector: str):
-        super().__init__(convert_charrefs=True)
-        self.parts = [self._part(p) for p in selector.split()]
-        self.open: list[tuple[str, int]] = []  # tag, number of leading parts matched so far
-        self.texts: list[list[str]] = []
-        self.inside: list[tuple[int, list[str]]] = []  # depth, text pieces of open matches
-
-    @staticmethod
-    def _part(text: str) -> tuple[str, frozenset[str]]:
-        tag, *classes = text.split(".")
-        return tag, frozenset(classes)
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _VOID:
-            return
-        classes = frozenset((dict(attrs).get("class") or "").split())
-        done = self.open[-1][1] if self.open else 0
-        last = len(self.parts) - 1
-        if self._fits(self.parts[min(done, last)], tag, classes):
-            if done >= last:
-                pieces: list[str] = []
-                self.texts.append(pieces)
-                self.inside.append((len(self.open), pieces))
-            else:
-                done += 1
-        self.open.append((tag, done))
-
-    @staticmethod
-    def _fits(part, tag, classes) -> bool:
-        return (not part[0] or part[0] == tag) and part[1] <= classes
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                del self.open[depth:]
-                while self.inside and self.inside[-1][0] >= depth:
-                    self.inside.pop()
-                return
-
-    def handle_data(self, data):
-        for _, pieces in self.inside:
-            pieces.append(data)
-
-
-def _find(html: str | None, selectors: Sequence[str]) -> list[str]:
-    """Texts of the first selector that matches anything."""
-    for selector in selectors:
-        finder = _Finder(selector)
-        finder.feed(html or "")
-        finder.close()
-        if finder.texts:
-            return ["".join(pieces).strip() for pieces in finder.texts]
-    return []
-
-
 def page_titles(
     pages: DataFrame, selectors: Sequence[str], per_page: int | None = None, html: str = "html"
 ) -> DataFrame:
@@ -108,17 +49,34 @@ def page_titles(
     The first selector that matches is used. ``per_page`` keeps the first titles of a page,
     as one page form asks for. Empty titles are left out.
     """
+    compiled = [selector.compile_selector(s) for s in selectors]
+    return _titles(pages, html, lambda h: [f.text for f in selector.find(h, compiled)][:per_page])
+
+
+def page_rows(
+    pages: DataFrame, rows: Sequence[str], cell: str, per_page: int | None = None, html: str = "html"
+) -> DataFrame:
+    """The page columns without the html, plus (pos, title): the first ``cell`` inside each row.
+
+    The first row selector that matches is used; ``per_page`` keeps the first rows of a page, with
+    or without a cell. Rows without a cell and empty titles are left out; ``pos`` is the row's place.
+    """
+    compiled, inner = [selector.compile_selector(s) for s in rows], selector.compile_selector(cell)
+
+    def texts(h):
+        return [f.cell.text if f.cell else "" for f in selector.find(h, compiled, inner)][:per_page]
+
+    return _titles(pages, html, texts)
+
 
+def _titles(pages: DataFrame, html: str, texts: Callable[[str | None], list[str]]) -> DataFrame:
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(lambda h: _find(h, selectors))
+            yield batch.map(texts)
 
-    found = find(F.col(html))
-    if per_page is not None:
-        found = F.slice(found, 1, per_page)
-    rest = [c for c in pages.columns if c != html]
-    return pages.select(*rest, F.posexplode(found).alias("pos", "title")).filter(F.col("title") != "")
+    rest = [f"`{c}`" for c in pages.columns if c != html]
+    return pages.select(*rest, F.posexplode(find(F.col(html))).alias("pos", "title")).filter(F.col("title") != "")
 
 
 def keyword_replies(replies: DataFrame, column: str = "text") -> DataFrame:
