@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,6 +51,11 @@ def _local_fallback() -> str:
     return _fallback[0]
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """True when nothing lies at the path that was to be read; any other error is one."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

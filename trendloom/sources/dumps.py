@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom import session
 from trendloom.functions import text as tx
 from trendloom.operators import skew
 from trendloom.sources import quoted
@@ -146,7 +147,9 @@ def latest_file(spark: SparkSession, path: str, globs: Sequence[str]) -> str | N
                 .limit(1)
                 .collect()
             )
-        except AnalysisException:
+        except AnalysisException as error:
+            if not session.is_missing(error):
+                raise
             continue
         if newest:
             return newest[0]["path"]

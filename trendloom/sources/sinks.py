@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendloom import session
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
@@ -46,8 +48,10 @@ def save_version(df: DataFrame, path: str) -> int:
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """The highest version whose write was finished."""
     try:
-        return spark.read.parquet(f"{path}/finished").agg(F.max("done")).first()[0]
-    except AnalysisException:
+        return spark.read.schema("done int").parquet(f"{path}/finished").agg(F.max("done")).first()[0]
+    except AnalysisException as error:
+        if not session.is_missing(error):
+            raise
         return None
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom import session
+
 _BUCKET = "_bucket"
 
 
@@ -44,8 +46,8 @@ def current(spark: SparkSession, path: str, version: int | None = None) -> Snaps
     try:
         manifests = spark.read.format("binaryFile").option("pathGlobFilter", name).load(f"{path}/commits")
         newest = manifests.select("path").agg(F.max("path")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+    except AnalysisException as error:
+        if not session.is_missing(error):
             raise
         return None
     if newest is None:

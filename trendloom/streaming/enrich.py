@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendloom import schemas
+from trendloom import schemas, session
 from trendloom.operators import enrich
 
 
@@ -44,7 +44,9 @@ def read_metrics(spark: SparkSession, log: str) -> DataFrame:
     """The newest count per author over all batches."""
     try:
         batches = spark.read.schema(schemas.AUTHOR_METRICS).parquet(f"{log}/batch=*")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not session.is_missing(error):
+            raise
         return spark.createDataFrame([], schemas.AUTHOR_METRICS)
     return newest_per_author(batches)
 
