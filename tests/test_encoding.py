@@ -61,3 +61,26 @@ def test_least_vector_of_a_title(spark):
     titles = spark.createDataFrame([("t", [1.0, 0.0]), ("t", [0.0, 1.0]), ("t", None)], "video_title string, embedding array<double>")
     got = domain.score_titles(titles.repartition(3), spark.createDataFrame([([0.0, 1.0],)], "embedding array<double>"), [])
     assert rows(got, "tech_similarity") == [(1.0,)]
+
+
+def test_slices_give_the_same_vectors(spark, monkeypatch):
+    """Vectors and scores are made in slices, with null and empty texts at their borders."""
+    import numpy as np
+
+    from trendloom.operators import vectors
+
+    texts = [None, "", "one two", None, "two three four", "", "four", None, "one one", "three"] * 7
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").coalesce(1)
+    refs = np.random.default_rng(0).normal(size=(3, 16))
+    encode = encoding.fit(df, dim=16)
+
+    def made():
+        scored = vectors.max_similarity(df.withColumn("embedding", encode(df["text"])), refs)
+        return [tuple(r) for r in scored.orderBy("doc_id").collect()]
+
+    whole = made()
+    monkeypatch.setattr(encoding, "SLICE", 4)
+    monkeypatch.setattr(vectors, "SLICE", 3)
+    for (i, text, v, s), (j, _, w, t) in zip(whole, made(), strict=True):
+        assert i == j and (v is None) == (w is None) == (text is None) == (s is None)
+        assert v is None or (np.allclose(v, w) and np.isclose(s, t))

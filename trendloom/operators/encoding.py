@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from trendloom.functions import text as tx
 
-SLICE = 4096
+SLICE = 1024
 
 
 def _buckets(text: Column, dim: int, pattern: str) -> Column:
@@ -41,8 +41,14 @@ class HashedTfidf:
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def vectors(buckets: pa.Array) -> pa.Array:
-            parts = [_encode(buckets.slice(at, SLICE), weights) for at in range(0, len(buckets), SLICE)]
-            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
+            valid = np.asarray(buckets.is_valid())
+            values, done = np.empty((int(valid.sum()), dim)), 0
+            for at in range(0, len(buckets), SLICE):
+                part = _encode(buckets.slice(at, SLICE), weights)
+                values[done : done + len(part)] = part
+                done += len(part)
+            ends = np.concatenate([[0], np.cumsum(np.where(valid, dim, 0))])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel()), mask=pa.array(~valid))
 
         return vectors(_buckets(text, dim, self.pattern))
 
@@ -56,19 +62,15 @@ class HashedTfidf:
         return cls(np.array(row["weights"]), row["pattern"])
 
 
-def _encode(buckets: pa.Array, weights: np.ndarray) -> pa.Array:
-    dim, n = len(weights), len(buckets)
-    valid = np.asarray(buckets.is_valid())
-    lengths = np.zeros(n, np.int64)
+def _encode(buckets: pa.Array, weights: np.ndarray) -> np.ndarray:
+    """The vectors of the rows that are not null."""
     present = buckets.drop_null()
-    lengths[valid] = np.asarray(present.value_lengths())
+    dim, n = len(weights), len(present)
     flat = np.asarray(present.flatten(), dtype=np.int64)
-    places = np.repeat(np.arange(n), lengths) * dim + flat
-    matrix = np.bincount(places, minlength=n * dim).reshape(n, dim) * weights
+    flat = flat + np.repeat(np.arange(n) * dim, np.asarray(present.value_lengths()))
+    matrix = np.bincount(flat, minlength=n * dim).reshape(n, dim) * weights
     norms = np.sqrt((matrix**2).sum(axis=1, keepdims=True))
-    np.divide(matrix, norms, out=matrix, where=norms > 0)
-    ends = np.concatenate([[0], np.cumsum(np.where(valid, dim, 0))])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(matrix[valid].ravel()), mask=pa.array(~valid))
+    return np.divide(matrix, norms, out=matrix, where=norms > 0)
 
 
 def fit(df: DataFrame, column: str = "text", dim: int = 512, pattern: str = tx.TOKEN_PATTERN) -> HashedTfidf:

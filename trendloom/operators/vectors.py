@@ -21,6 +21,8 @@ from trendloom.operators import neighbours, skew
 
 # Reference vectors that one scoring function carries, and that a table is collected up to.
 BLOCK = 4096
+# Vectors that are scored at once.
+SLICE = 1024
 
 
 def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = 100):
@@ -108,9 +110,10 @@ def max_cosine(references: np.ndarray) -> Callable[[Column], Column]:
     @F.arrow_udf(T.DoubleType())
     def score(vectors: pa.Array) -> pa.Array:
         out = np.full(len(vectors), np.nan)
-        valid, matrix = _as_matrix(vectors)
-        if len(valid):
-            out[valid] = (_unit(matrix) @ refs).max(axis=1)
+        for at in range(0, len(vectors), SLICE):
+            valid, matrix = _as_matrix(vectors.slice(at, SLICE))
+            if len(valid):
+                out[at + valid] = (_unit(matrix) @ refs).max(axis=1)
         return pa.array(out, mask=np.isnan(out))
 
     return score
