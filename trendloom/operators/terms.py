@@ -78,10 +78,11 @@ def doc_term_counts(docs: DataFrame) -> DataFrame:
     In sorted tokens a word's repeats are neighbours, so its count is the distance from its
     first place to the next word's.
     """
-    ordered = tx.with_once(docs.select("doc_id", "tokens"), "_s", F.array_sort("tokens")).drop("tokens")
-    shifted = F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", F.lit(1), F.size("_s") - 1))
-    new = F.zip_with("_s", shifted, lambda here, before: ~here.eqNullSafe(before))
-    places = F.filter(F.transform(new, lambda is_new, i: F.when(is_new, i)), lambda i: i.isNotNull())
+    # sort_array compares strings as such, array_sort by a lambda; nulls come last in both.
+    in_order = F.sort_array("tokens", asc=False)
+    ordered = tx.with_once(docs.select("doc_id", "tokens"), "_s", in_order).drop("tokens")
+    new = F.transform("_s", lambda here, i: F.when(~here.eqNullSafe(F.get("_s", i - 1)), i))
+    places = F.filter(new, lambda i: i.isNotNull())
     placed = tx.with_once(ordered, "_at", places)
     ends = F.concat(F.slice("_at", F.lit(2), F.size("_at") - 1), F.array(F.size("_s")))
     counted = F.zip_with(
@@ -92,15 +93,29 @@ def doc_term_counts(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", F.inline(counted))
 
 
+def _first_place() -> Column:
+    """1 on one row of each document, also on that of a document without a token."""
+    return F.when(F.coalesce("_pos", F.lit(0)) == 0, 1)
+
+
+def _document_counts(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """(term, df) of all terms, written, and the number of documents, from one reading of the text."""
+    placed = docs.select(F.posexplode_outer(F.array_distinct("tokens")).alias("_pos", "term"))
+    counts = session.cut_lineage(
+        placed.groupBy("term").agg(F.count("_pos").alias("df"), F.count(_first_place()).alias("_docs"))
+    )
+    n = counts.agg(F.coalesce(F.sum("_docs"), F.lit(0))).scalar()
+    return counts.filter("df > 0").select("term", "df"), n
+
+
 def vocabulary(docs: DataFrame, min_df: int = 2, max_df: float = 0.8) -> DataFrame:
     """(term, df) of the terms found in at least min_df documents and at most a share max_df."""
-    n = docs.agg(F.count("*")).scalar()
-    return (
-        docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-        .filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
-    )
+    counts, n = _document_counts(docs)
+    return counts.filter(_in_vocabulary(n, min_df, max_df))
+
+
+def _in_vocabulary(n: Column, min_df: int, max_df: float) -> Column:
+    return (F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df))
 
 
 def tfidf(
@@ -112,9 +127,9 @@ def tfidf(
     counts are then shuffled once, by document, for their length; a larger one is joined
     with salted keys, as the most common terms appear in most documents.
     """
-    n = docs.agg(F.count("*")).scalar()
+    counts, n = _document_counts(docs)
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1.0
-    terms = session.cut_lineage(vocabulary(docs, min_df, max_df).withColumn("idf", idf).drop("df"))
+    terms = counts.filter(_in_vocabulary(n, min_df, max_df)).select("term", idf.alias("idf"))
     weighted = skew.lookup(
         doc_term_counts(docs), terms, ["term"], ["doc_id"], "inner", max_rows=broadcast_rows
     ).select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
