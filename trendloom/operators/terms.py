@@ -149,8 +149,26 @@ def class_tfidf(
     f is the count of the term over all classes, A the whole part of the mean word count of
     a class. Noise documents take part as a class of their own.
     """
-    # Far smaller than the text and used four times: written once.
-    counts = session.cut_lineage(term_counts(docs, [label], tx.ngrams(F.col(tokens), low, high)))
+    return _class_tfidf(_class_counts(docs, label, tokens, low, high), label)
+
+
+def _class_counts(docs: DataFrame, label: str, tokens: str, low: int, high: int) -> DataFrame:
+    """(label, term, tf, _docs), written: ``_docs`` adds up to the documents of a class.
+
+    A class has a row with tf 0 for its documents without a term.
+    """
+    grams = tx.ngrams(F.col(tokens), low, high)
+    placed = docs.select(label, F.posexplode_outer(grams).alias("_pos", "term"))
+    # Far smaller than the text and used several times: written once.
+    return session.cut_lineage(
+        placed.groupBy(label, "term").agg(
+            F.count("_pos").alias("tf"), F.count(_first_place()).alias("_docs")
+        )
+    )
+
+
+def _class_tfidf(class_counts: DataFrame, label: str) -> DataFrame:
+    counts = class_counts.filter("tf > 0").drop("_docs")
     totals = counts.groupBy(label).agg(F.sum("tf").alias("words"))
     average = totals.agg(F.floor(F.avg("words"))).scalar()
     everywhere = F.sum("tf").over(Window.partitionBy("term"))  # one row per class and term
@@ -177,10 +195,9 @@ def topic_keywords(
     high: int = 2,
 ) -> DataFrame:
     """(topic_id, topic_name, doc_count, keyword, score): the words that mark each topic."""
-    ranked = top_terms(class_tfidf(docs, label, tokens, 1, high), k, label).filter(
-        F.col(label) != noise
-    )
-    sizes = docs.groupBy(label).agg(F.count("*").alias("doc_count"))
+    counts = _class_counts(docs, label, tokens, 1, high)
+    ranked = top_terms(_class_tfidf(counts, label), k, label).filter(F.col(label) != noise)
+    sizes = counts.groupBy(label).agg(F.sum("_docs").alias("doc_count"))
     # k rows per topic: the window sees a handful of rows.
     whole = Window.partitionBy(label)
     first = F.array_sort(
