@@ -132,3 +132,42 @@ def test_coherence_prefers_words_that_meet(spark):
     assert good == pytest.approx(1.0) and bad < 0.9
     good, bad = [r["coherence"] for r in coherence.umass(docs, topics).orderBy("topic_id").collect()]
     assert good == pytest.approx(0.0, abs=1e-9) and bad < -5
+
+
+def _counted(spark, docs):
+    """The same documents, and how many rows of them were read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    columns = "doc_id int, topic_id int, tokens array<string>"
+    return docs.mapInArrow(count, columns), read
+
+
+def test_vocabulary_and_number_of_documents_come_from_one_reading(spark, docs):
+    seen, read = _counted(spark, docs)
+    terms.vocabulary(seen).collect()
+    assert read.value == len(DOCS)
+    seen, read = _counted(spark, docs)
+    terms.tfidf(seen).collect()
+    assert read.value == 2 * len(DOCS)  # once for the vocabulary, once for the counts
+
+
+def test_topic_samples_read_documents_once(spark, docs):
+    seen, read = _counted(spark, docs)
+    terms.topic_samples(terms.topic_keywords(seen, k=4)).collect()
+    assert read.value == len(DOCS)
+
+
+def test_documents_without_tokens_count(spark):
+    rows_in = [(1, 0, ["a", "b"]), (2, 0, []), (3, 0, None), (4, 1, ["a", None, None]), (5, 1, ["b"]), (6, 2, [])]
+    docs = spark.createDataFrame(rows_in, "doc_id int, topic_id int, tokens array<string>")
+    assert rows(terms.vocabulary(docs, 1, 0.34)) == [(None, 1), ("a", 2), ("b", 2)]  # at most 2.04 of 6
+    assert rows(terms.vocabulary(docs, 1, 0.33)) == [(None, 1)]
+    sizes = terms.topic_keywords(docs, high=1).select("topic_id", "doc_count").distinct()
+    assert rows(sizes) == [(0, 3), (1, 2)]  # class 2 has no word
+    worded = docs.filter("size(tokens) > 0")
+    assert rows(terms.doc_term_counts(worded)) == [(1, "a", 1), (1, "b", 1), (4, None, 2), (4, "a", 1), (5, "b", 1)]

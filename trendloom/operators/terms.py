@@ -249,6 +249,7 @@ def cluster_keywords(
 
 def topic_samples(keywords: DataFrame, topics: int = 3, words: int = 10) -> DataFrame:
     """(topic_id, topic_name, doc_count, keywords) of the first topics."""
+    keywords = session.cut_lineage(keywords)  # a few rows per topic, used twice
     first = keywords.select("topic_id").distinct().orderBy("topic_id").limit(topics)
     ordered = F.array_sort(F.collect_list(F.struct("rank", "keyword")))
     return (
